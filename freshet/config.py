@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -47,6 +47,11 @@ class IngestConfig:
     def checkpoint_path(self, table: str) -> str:
         return f"{self.checkpoints}/bronze/{table}"
 
+    def at_replay_rate(self, delay_seconds: float) -> "IngestConfig":
+        """Read broker topics no faster than one row per ``delay_seconds`` and topic."""
+        rows = max(1, round(self.trigger_seconds / delay_seconds))
+        return replace(self, max_offsets_per_trigger=rows)
+
     @classmethod
     def from_env(cls, env: Mapping[str, str], **overrides) -> "IngestConfig":
         """Settings from environment variables; keyword arguments win."""

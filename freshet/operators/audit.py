@@ -7,6 +7,9 @@ run over groups bounded by construction.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,18 +37,14 @@ def duplicate_events(bronze: DataFrame, by: tuple[str, ...] = ("_event_id",)) ->
 def dedup_events(bronze: DataFrame, by: tuple[str, ...] = ("_event_id",)) -> DataFrame:
     """One row per event: the copy at the lowest topic, partition and offset.
 
-    Rows lacking an id are all kept, each under its own position. Every task
-    reduces its copies to one before the shuffle.
+    Rows lacking an id are all kept, each under its own position. As only the
+    first row of a group is wanted, Spark cuts every task's copies of an id down
+    to one before the shuffle, so that a much-copied id stays small.
     """
-    identified = F.lit(True)
-    for name in by:
-        identified &= F.col(name).isNotNull()
-    own_position = F.when(~identified, F.struct(*POSITION))
-    return (
-        bronze.groupBy(*(F.col(c).alias(f"by_{i}") for i, c in enumerate(by)), own_position)
-        .agg(F.min_by(F.struct(*bronze.columns), F.struct(*POSITION)).alias("kept"))
-        .select("kept.*")
-    )
+    unidentified = reduce(or_, (F.col(name).isNull() for name in by))
+    own_position = F.when(unidentified, F.struct(*POSITION))
+    copies = Window.partitionBy(*by, own_position).orderBy(*POSITION)
+    return bronze.withColumn("copy", F.row_number().over(copies)).where("copy = 1").drop("copy")
 
 
 def offset_gaps(bronze: DataFrame) -> DataFrame:

@@ -67,10 +67,9 @@ def counts_by_day_sql(name: str) -> str:
 def envelope_sql() -> str:
     feed = FEEDS["events"]
     mapped = field_sql(feed)
-    content = ", ".join(f"'{f}', {sql}" for f, sql in mapped.items())
     digest = (
         f"md5(concat_ws('|', '{feed.spec.topic}', 'events.parquet', cast(event_id as varchar),"
-        f" cast(json_object({content}) as varchar)))"
+        f" {', '.join(mapped.values())}))"
     )
     fields = ", ".join(f"{sql} as {f}" for f, sql in mapped.items())
     return f"""

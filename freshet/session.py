@@ -37,11 +37,31 @@ def build_session(app_name: str = "freshet", table_format: str = "parquet") -> S
     return builder.getOrCreate()
 
 
+def _located(spark: SparkSession, path: str):
+    """The file system a path lies on, and the path in its terms."""
+    located = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return located.getFileSystem(conf), located
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, located = _located(spark, path)
+    return files.exists(located)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, located = _located(spark, path)
+    files.mkdirs(located)
+
+
 @functools.cache
 def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="freshet-")
 
 
+_scratch: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path for intermediate tables, visible to every executor.
 
@@ -53,4 +73,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = _local_scratch()
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/freshet/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables made so far; frames over them end with them."""
+    while _scratch:
+        files, located = _located(spark, _scratch.pop())
+        files.delete(located, True)

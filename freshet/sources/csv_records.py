@@ -14,7 +14,7 @@ import csv
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from freshet.session import scratch_dir
+from freshet.session import path_exists, scratch_dir
 
 # Broadcast block totals up to this many rows (about 20 MB); join by shuffle beyond.
 BROADCAST_BLOCKS = 100_000
@@ -32,14 +32,7 @@ class MissingInputs(FileNotFoundError):
 
 def require_inputs(spark: SparkSession, paths: list[str]) -> None:
     """Check all paths before any work starts."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    missing = []
-    for path in paths:
-        located = hadoop_path(path)
-        if not located.getFileSystem(conf).exists(located):
-            missing.append(path)
-    if missing:
+    if missing := [path for path in paths if not path_exists(spark, path)]:
         raise MissingInputs(missing)
 
 
@@ -49,7 +42,8 @@ def leaves_quote_open(line: Column) -> Column:
     Doubled quotes cancel out; a quote only opens a field at the field's start.
     """
     single = F.replace(line, F.lit('""'), F.lit(""))
-    return F.regexp_replace(single, '(^|,)"[^"]*"', "$1").rlike('(^|,)"')
+    unclosed = F.regexp_replace(single, '(^|,)"[^"]*"', "$1").rlike('(^|,)"')
+    return F.contains(line, F.lit('"')) & unclosed
 
 
 def _stage_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -9,23 +9,30 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from freshet.config import IngestConfig
 from freshet.functions import key_partition
 from freshet.registry import RECORD_SCHEMA, TOPIC_PARTITIONS, TopicSpec
+from freshet.session import make_folder, path_exists
 from freshet.sources.csv_records import FILE, ORDINAL
 
 # Rows numbered together; bounds the groups offsets are counted in.
 OFFSET_BLOCK = 1_000_000
+BLOCK = ["topic", "partition", FILE, "block"]
 
 
 def topic_path(log_dir: str, topic: str) -> str:
     return f"{log_dir}/log={topic}"
 
 
+def create_topics(spark: SparkSession, log_dir: str, topics: list[str]) -> None:
+    """Make empty topics, which streams may read at once; existing ones stay as they are."""
+    for topic in topics:
+        make_folder(spark, topic_path(log_dir, topic))
+
+
 def read_options(cfg: IngestConfig) -> dict[str, str]:
     options = {"ignoreMissingFiles": str(not cfg.fail_on_data_loss).lower()}
     if cfg.max_files_per_trigger:
@@ -46,15 +53,11 @@ def read_batch(spark: SparkSession, log_dir: str, topic: str) -> DataFrame:
 
 def next_offsets(spark: SparkSession, log_dir: str, topics: list[str]) -> DataFrame | None:
     """First free offset of each ``(topic, partition)`` already in the log."""
-    logs = []
-    for topic in topics:
-        try:
-            log = spark.read.parquet(topic_path(log_dir, topic))
-        except AnalysisException as missing:
-            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-        else:
-            logs.append(log.select("topic", "partition", "offset"))
+    logs = [
+        read_batch(spark, log_dir, topic).select("topic", "partition", "offset")
+        for topic in topics
+        if path_exists(spark, topic_path(log_dir, topic))
+    ]
     if not logs:
         return None
     return (
@@ -74,28 +77,27 @@ def assign_offsets(
     records are shuffled once, to their block; block totals are a side table.
     ``start`` gives the first offset per ``(topic, partition)``, 0 where absent.
     """
-    block = ["topic", "partition", FILE, "block"]
-    blocked = records.withColumn("block", F.floor(F.col(ORDINAL) / block_rows))
+    blocked = records.withColumn("block", F.expr(f"{ORDINAL} div {block_rows}"))
     earlier = (
         Window.partitionBy("topic", "partition")
         .orderBy(FILE, "block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     bases = (
-        blocked.groupBy(*block)
+        blocked.groupBy(*BLOCK)
         .count()
-        .select(*block, F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("base"))
+        .select(*BLOCK, F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("base"))
     )
     if start is not None:
         bases = bases.join(start, ["topic", "partition"], "left").select(
-            *block, (F.col("base") + F.coalesce("next", F.lit(0))).alias("base")
+            *BLOCK, (F.col("base") + F.coalesce("next", F.lit(0))).alias("base")
         )
-    rank = F.row_number().over(Window.partitionBy(*block).orderBy(ORDINAL))
+    rank = F.row_number().over(Window.partitionBy(*BLOCK).orderBy(ORDINAL))
     return (
         blocked.withColumn("rank", rank)
-        .join(bases, block)
-        .withColumn("offset", (F.col("base") + F.col("rank") - 1).cast("bigint"))
-        .drop("base", "rank", "block")
+        .join(bases, BLOCK)
+        .withColumn("offset", F.col("base") + F.col("rank") - 1)
+        .drop("base", "rank")
     )
 
 
@@ -106,24 +108,29 @@ def append(
     partitions: int = TOPIC_PARTITIONS,
     max_rows_per_file: int = 0,
 ) -> None:
-    """Append ``(topic, key, value, __file, __ordinal)`` to the log in one job."""
+    """Append ``(topic, key, value, __file, __ordinal)`` to the log in one job.
+
+    Records keep the ``timestamp`` they come with, or get the time of the write.
+    """
     spark = records.sparkSession
     placed = records.withColumn("partition", key_partition(F.col("key"), partitions))
+    if "timestamp" not in placed.columns:
+        placed = placed.withColumn("timestamp", F.current_timestamp())
     numbered = assign_offsets(placed, next_offsets(spark, log_dir, topics))
-    write_records(
-        numbered.withColumn("timestamp", F.current_timestamp()).withColumn(
-            "timestampType", F.lit(0)
-        ),
-        log_dir,
-        max_rows_per_file,
-    )
+    # Rows leave the numbering in this order already, so Spark drops the sort.
+    ordered = numbered.withColumn("timestampType", F.lit(0)).sortWithinPartitions(*BLOCK)
+    _write(ordered, log_dir, max_rows_per_file)
 
 
 def write_records(records: DataFrame, log_dir: str, max_rows_per_file: int = 0) -> None:
     """Write records that have their positions, in position order per file."""
+    ordered = records.sortWithinPartitions("topic", "partition", "offset")
+    _write(ordered, log_dir, max_rows_per_file)
+
+
+def _write(ordered: DataFrame, log_dir: str, max_rows_per_file: int) -> None:
     (
-        records.select(*RECORD_SCHEMA.names, F.col("topic").alias("log"))
-        .sortWithinPartitions("log", "partition", "offset")
+        ordered.select(*RECORD_SCHEMA.names, F.col("topic").alias("log"))
         .write.mode("append")
         .partitionBy("log")
         .option("compression", "lz4_raw")

@@ -1,0 +1,139 @@
+import json
+import uuid
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from freshet.functions import key_partition, record_key, utf8
+from freshet.operators import replay
+from freshet.registry import registry
+from freshet.sources import topic_log
+from freshet.sources.csv_records import FILE, ORDINAL, MissingInputs
+
+SPECS = registry("shop")
+STAMP = "2024-01-15T08:23:11.432000+00:00"
+
+
+@pytest.fixture
+def data_dir(tmp_path):
+    """Five small exports; orders hold an extra column, a newline and a short row."""
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for spec in SPECS.values():
+        rows = [",".join(spec.fields)]
+        rows += [",".join(f"{f}-{i}" for f in spec.fields) for i in range(5)]
+        (folder / spec.source_file).write_text("\n".join(rows) + "\n")
+    (folder / SPECS["shop.orders"].source_file).write_text(
+        'order_id,note,order_status\no1,"two\nlines é",sent\no2,,\no3,x\no3,x\n'
+    )
+    return str(folder)
+
+
+def order_values(records):
+    rows = records.where("topic = 'shop.orders'").orderBy(ORDINAL).collect()
+    return [(bytes(r.key).decode(), json.loads(bytes(r.value))) for r in rows]
+
+
+def test_records_carry_all_csv_fields_and_the_audit_fields(spark, data_dir):
+    records = replay.replay_records(spark, SPECS.values(), data_dir, F.lit(STAMP))
+    values = order_values(records)
+    assert [key for key, _ in values] == ["o1", "o2", "o3", "o3"]
+    first, second, third, fourth = (value for _, value in values)
+    assert list(first) == [
+        "order_id",
+        "note",
+        "order_status",
+        "_topic",
+        "_ingested_at",
+        "_event_id",
+    ]
+    assert (first["note"], first["order_status"]) == ("two\nlines é", "sent")
+    assert (second["note"], second["order_status"]) == ("", "")
+    assert (third["note"], third["order_status"]) == ("x", None)
+    assert first["_topic"] == "shop.orders"
+    assert first["_ingested_at"] == "2024-01-15T08:23:11.432000+00:00"
+    # Equal rows are still two events.
+    assert third["_event_id"] != fourth["_event_id"]
+    assert records.groupBy("topic").count().count() == 5
+
+
+def test_ids_are_stable_uuids_or_random_ones(spark, data_dir):
+    def ids(**options):
+        records = replay.replay_records(spark, SPECS.values(), data_dir, **options)
+        return [value["_event_id"] for _, value in order_values(records)]
+
+    stable = ids()
+    assert stable == ids()
+    assert {str(uuid.UUID(i)) for i in stable} == set(stable)
+    assert not set(stable) & set(ids(stable_ids=False))
+
+
+def test_missing_exports_stop_the_replay(spark, data_dir, tmp_path):
+    specs = registry("other").values()
+    with pytest.raises(MissingInputs) as error:
+        replay.replay_records(spark, specs, data_dir)
+    assert len(error.value.paths) == 5
+
+
+def test_key_falls_back_to_the_row_number(spark):
+    rows = spark.createDataFrame([("k", 0), (None, 1), ("", 2)], f"id string, {ORDINAL} long")
+    number = F.col(ORDINAL)
+    got = rows.select(
+        record_key(rows.columns, "id", number).alias("field"),
+        record_key(rows.columns, "absent", number).alias("none"),
+    ).collect()
+    assert [tuple(r) for r in got] == [("k", "0"), ("1", "1"), ("", "2")]
+
+
+def test_partition_is_crc32_of_the_key_bytes(spark):
+    keys = ["", "a", "ão", "e481f51cbdc54678b7cc49136f2d6af7"] + [str(i) for i in range(200)]
+    frame = spark.createDataFrame([(k,) for k in keys], "k string")
+    got = frame.select("k", key_partition(utf8(F.col("k")), 3).alias("p")).collect()
+    assert {r.k: r.p for r in got} == {k: zlib.crc32(k.encode()) % 3 for k in keys}
+
+
+def test_schedule_spaces_rows_by_the_delay(spark):
+    rows = spark.range(3).withColumnRenamed("id", ORDINAL)
+    start = F.lit("2024-01-15T00:00:00+00:00").cast("timestamp")
+    got = replay.replay_schedule(rows, start, 0.05).orderBy(ORDINAL)
+    micros = [r.m for r in got.select(F.unix_micros("arrival_ts").alias("m")).collect()]
+    assert [m - micros[0] for m in micros] == [0, 50_000, 100_000]
+
+
+def numbered(spark, rows):
+    """Records of (file, ordinal, partition)."""
+    return spark.createDataFrame(
+        [("t", f, o, p, f"{f}{o}") for f, o, p in rows],
+        f"topic string, {FILE} string, {ORDINAL} long, partition int, name string",
+    )
+
+
+def test_offsets_are_dense_and_follow_file_order(spark):
+    # Partition 0 holds nearly everything; blocks of 7 rows.
+    rows = [(f, o, 0 if o % 10 else 1) for f in "ab" for o in range(100)]
+    start = spark.createDataFrame([("t", 1, 5)], "topic string, partition int, next long")
+    got = topic_log.assign_offsets(numbered(spark, rows), start, block_rows=7).collect()
+    for partition, first in ((0, 0), (1, 5)):
+        names = sorted((r.offset, r.name) for r in got if r.partition == partition)
+        expected = [f"{f}{o}" for f, o, p in rows if p == partition]
+        assert names == [(first + i, name) for i, name in enumerate(expected)]
+
+
+def test_log_appends_continue_offsets(spark, tmp_path, data_dir):
+    log = str(tmp_path / "log")
+    topics = list(SPECS)
+    topic_log.create_topics(spark, log, topics)
+    topic_log.create_topics(spark, log, topics)
+    assert topic_log.read_batch(spark, log, "shop.orders").count() == 0
+    for _ in range(2):
+        records = replay.replay_records(spark, SPECS.values(), data_dir, F.lit(STAMP))
+        topic_log.append(records, log, topics)
+    for topic in topics:
+        rows = topic_log.read_batch(spark, log, topic).collect()
+        assert len(rows) == (8 if topic == "shop.orders" else 10)
+        assert {r.topic for r in rows} == {topic}
+        for partition in {r.partition for r in rows}:
+            offsets = sorted(r.offset for r in rows if r.partition == partition)
+            assert offsets == list(range(len(offsets)))
+        assert all(r.partition == zlib.crc32(bytes(r.key)) % 3 for r in rows)
