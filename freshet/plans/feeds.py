@@ -1,7 +1,7 @@
 """Test tables as topic records, with a deterministic envelope.
 
 Each feed says, in SQL both engines read, how a table's columns become payload
-fields. ``{fmt}`` marks timestamps, whose formatting functions differ by engine.
+fields; ``{text}`` stands for the engine's text type.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ class Feed:
     fields: dict[str, str]  # payload field -> SQL over the table
     number: str  # integer column the envelope is derived from
     identity: tuple[str, ...]  # columns that tell rows apart
-    timestamps: tuple[str, ...] = ()  # fields holding timestamps
+    timestamps: tuple[str, ...] = ()  # fields cast from timestamps
     dense: bool = True  # ``number`` counts rows from 0
 
 
@@ -142,14 +142,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def payload_rows(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
     """The feed's payload fields as text, beside the table's own columns."""
-    rows = table(spark, sf_dir, feed.source)
-    fields = []
-    for name, sql in feed.fields.items():
-        column = F.expr(sql.format(text="string"))
-        if name in feed.timestamps:
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
-        fields.append(column.cast("string").alias(f"f_{name}"))
-    return rows.select("*", *fields)
+    fields = (
+        F.expr(sql.format(text="string")).cast("string").alias(f"f_{name}")
+        for name, sql in feed.fields.items()
+    )
+    return table(spark, sf_dir, feed.source).select("*", *fields)
 
 
 def feed_records(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
@@ -161,28 +158,24 @@ def feed_records(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
     spec = feed.spec
     number = F.col(feed.number)
     identity = [F.col(c).cast("string") for c in feed.identity]
-    event_id = F.md5(F.concat_ws("|", F.lit(spec.topic), *identity))
     ingested = F.concat(
         F.lit("2024-01-0"), (1 + number % 7).cast("string"), F.lit("T00:00:00+00:00")
     )
-    offset = (
-        F.expr(f"{feed.number} div 3")
-        if feed.dense
-        else F.conv(F.substring(F.col("_event_id"), 1, 15), 16, 10).cast("bigint")
-    )
-    enriched = payload_rows(spark, sf_dir, feed).select(
-        *(F.col(f"f_{name}").alias(name) for name in feed.fields),
-        F.lit(spec.topic).alias("_topic"),
-        ingested.alias("_ingested_at"),
-        event_id.alias("_event_id"),
-        (number % 3).cast("int").alias("partition"),
-        (offset if feed.dense else F.lit(None).cast("bigint")).alias("offset"),
-        F.timestamp_add("SECOND", (number % 60).cast("int"), F.to_timestamp(ingested)).alias(
-            "timestamp"
-        ),
+    sent = F.timestamp_add("SECOND", (number % 60).cast("int"), F.to_timestamp(ingested))
+    sparse_offset = F.conv(F.substring("_event_id", 1, 15), 16, 10).cast("bigint")
+    enriched = (
+        payload_rows(spark, sf_dir, feed)
+        .select(
+            *(F.col(f"f_{name}").alias(name) for name in feed.fields),
+            F.lit(spec.topic).alias("_topic"),
+            ingested.alias("_ingested_at"),
+            F.md5(F.concat_ws("|", F.lit(spec.topic), *identity)).alias("_event_id"),
+            (number % 3).cast("int").alias("partition"),
+            F.expr(f"{feed.number} div 3").alias("number"),
+            sent.alias("timestamp"),
+        )
+        .withColumn("offset", F.col("number") if feed.dense else sparse_offset)
     )
-    if not feed.dense:
-        enriched = enriched.withColumn("offset", offset)
     payload = [*feed.fields, "_topic", "_ingested_at", "_event_id"]
     records = enriched.select(
         utf8(F.col(spec.key_field)).alias("key"),

@@ -30,8 +30,8 @@ def write(path, text):
 
 @pytest.fixture
 def small_blocks(spark):
-    """Cut files into blocks of some 200 bytes."""
-    keys = {"spark.sql.files.maxPartitionBytes": "200", "spark.sql.files.openCostInBytes": "1"}
+    """Cut files into blocks of some 400 bytes."""
+    keys = {"spark.sql.files.maxPartitionBytes": "400", "spark.sql.files.openCostInBytes": "1"}
     before = {key: spark.conf.get(key) for key in keys}
     for key, value in keys.items():
         spark.conf.set(key, value)
