@@ -7,6 +7,7 @@ with ``--log-dir`` to a topic log.
 from __future__ import annotations
 
 import argparse
+import logging
 
 from pyspark.sql import functions as F
 
@@ -31,6 +32,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
 
 def main(argv: list[str] | None = None) -> None:
+    logging.basicConfig(level=logging.INFO)
     args = arguments(argv)
     specs = registry(args.prefix)
     spark = build_session("freshet-replay")
@@ -41,14 +43,16 @@ def main(argv: list[str] | None = None) -> None:
         if args.log_dir:
             topic_log.create_topics(spark, args.log_dir, list(specs))
             timed = replay_schedule(records, F.current_timestamp(), args.delay)
-            topic_log.append(
+            sent = topic_log.append(
                 timed.withColumnRenamed("arrival_ts", "timestamp"),
                 args.log_dir,
                 list(specs),
                 max_rows_per_file=args.max_rows_per_file,
             )
         else:
-            kafka.publish(records, args.broker)
+            sent = kafka.publish(records, args.broker, list(specs))
+        for topic, count in sent.items():
+            logging.info("%s: %d records", topic, count)
     finally:
         release_scratch(spark)
         spark.stop()

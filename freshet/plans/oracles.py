@@ -103,7 +103,7 @@ def pipeline_sql() -> str:
         key = field_sql(feed)[spec.key_field]
         parts.append(
             f"select '{spec.topic}' as _kafka_topic, count(*) as rows, count(*) as event_ids,"
-            f" count(distinct {key}) as keys, 0 as missing_offsets, count(*) as offsets"
+            f" count(distinct {key}) as keys, cast(0 as bigint) as missing_offsets, count(*) as offsets"
             f" from {feed.source}"
         )
     return " union all ".join(parts)

@@ -46,6 +46,11 @@ def leaves_quote_open(line: Column) -> Column:
     return F.contains(line, F.lit('"')) & unclosed
 
 
+def _without_return(column: str) -> Column:
+    shorter = F.expr(f"left({column}, length({column}) - 1)")
+    return F.when(F.endswith(column, F.lit("\r")), shorter).otherwise(F.col(column))
+
+
 def _stage_lines(spark: SparkSession, path: str) -> DataFrame:
     lines = (
         spark.read.option("lineSep", "\n")
@@ -91,7 +96,7 @@ def _one_line_records(lines: DataFrame, totals: DataFrame, block_count: int) ->
         FILE, "block", "first", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("prefix")
     )
     return _join_blocks(lines, blocks, block_count).select(
-        F.regexp_replace("value", "\r$", "").alias("record"),
+        _without_return("value").alias("record"),
         FILE,
         (F.col("prefix") + F.col("n") - F.col("first") - 1).alias(ORDINAL),
     )
@@ -199,7 +204,7 @@ def _spanning_records(lines: DataFrame, block_count: int, spanning: bool) -> Dat
         .select(F.array_join("parts.value", "\n").alias("value"), FILE, ORDINAL)
     )
     return whole.unionByName(parts).select(
-        F.regexp_replace("value", "\r$", "").alias("record"), FILE, ORDINAL
+        _without_return("value").alias("record"), FILE, ORDINAL
     )
 
 
@@ -228,6 +233,13 @@ def _split_records(records: DataFrame, names: list[str]) -> DataFrame:
         "multiLine": "true",
         "columnNameOfCorruptRecord": "corrupt",
     }
+    quoted = F.contains("record", F.lit('"'))
+    split = records.where(f"{ORDINAL} >= 0").select(
+        FILE,
+        ORDINAL,
+        F.when(quoted, F.from_csv("record", F.lit(schema), options)).alias("row"),
+        F.when(~quoted, F.split("record", ",", -1)).alias("fields"),
+    )
     # Rows of another width than the header come back as corrupt; count their fields.
     bare = F.regexp_replace(
         F.replace("row.corrupt", F.lit('""'), F.lit("")), '(^|,)"[^"]*"', "$1"
@@ -236,15 +248,14 @@ def _split_records(records: DataFrame, names: list[str]) -> DataFrame:
         1 + F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
     )
     columns = {
-        name: F.when(F.col("width") > i, F.coalesce(f"row.c{i}", F.lit(""))).alias(name)
+        name: F.when(F.col("row").isNull(), F.get("fields", F.lit(i)))
+        .when(F.col("width") > i, F.coalesce(f"row.c{i}", F.lit("")))
+        .alias(name)
         for i, name in enumerate(names)
         if name
     }
-    return (
-        records.where(f"{ORDINAL} >= 0")
-        .select(FILE, ORDINAL, F.from_csv("record", F.lit(schema), options).alias("row"))
-        .select("*", width.alias("width"))
-        .select(*columns.values(), FILE, ORDINAL)
+    return split.select("*", F.when(F.col("row").isNotNull(), width).alias("width")).select(
+        *columns.values(), FILE, ORDINAL
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from freshet.config import IngestConfig
 from freshet.functions import key_partition
+from freshet.operators.counts import count_by_topic
 from freshet.registry import TopicSpec
 
 # Producer batching window and compression.
@@ -35,14 +36,20 @@ def write_options(broker: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": broker, **PRODUCER_OPTIONS}
 
 
-def publish(records: DataFrame, broker: str, partitions: int | None = None) -> None:
-    """Send ``(topic, key, value)`` in one job, which fails if a delivery fails.
+def outgoing(records: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The columns the sink takes.
 
     The client places records by key; ``partitions`` places them by
     ``key_partition`` instead, for topics with that many partitions.
     """
-    columns = ["topic", "key", "value"]
-    if partitions:
-        records = records.withColumn("partition", key_partition(F.col("key"), partitions))
-        columns.append("partition")
-    records.select(*columns).write.format("kafka").options(**write_options(broker)).save()
+    place = [key_partition(F.col("key"), partitions).alias("partition")] if partitions else []
+    return records.select("topic", "key", "value", *place)
+
+
+def publish(
+    records: DataFrame, broker: str, topics: list[str], partitions: int | None = None
+) -> dict[str, int]:
+    """Send records in one job, which fails if a delivery fails; counts per topic."""
+    counted, counts = count_by_topic(outgoing(records, partitions), topics)
+    counted.write.format("kafka").options(**write_options(broker)).save()
+    return counts.get

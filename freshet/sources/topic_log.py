@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from freshet.config import IngestConfig
 from freshet.functions import key_partition
+from freshet.operators.counts import count_by_topic
 from freshet.registry import RECORD_SCHEMA, TOPIC_PARTITIONS, TopicSpec
 from freshet.session import make_folder, path_exists
 from freshet.sources.csv_records import FILE, ORDINAL
 
 # Rows numbered together; bounds the groups offsets are counted in.
-OFFSET_BLOCK = 1_000_000
+OFFSET_BLOCK = 200_000
 BLOCK = ["topic", "partition", FILE, "block"]
 
 
@@ -107,19 +108,21 @@ def append(
     topics: list[str],
     partitions: int = TOPIC_PARTITIONS,
     max_rows_per_file: int = 0,
-) -> None:
+) -> dict[str, int]:
     """Append ``(topic, key, value, __file, __ordinal)`` to the log in one job.
 
     Records keep the ``timestamp`` they come with, or get the time of the write.
+    Returns the records written per topic.
     """
     spark = records.sparkSession
     placed = records.withColumn("partition", key_partition(F.col("key"), partitions))
     if "timestamp" not in placed.columns:
         placed = placed.withColumn("timestamp", F.current_timestamp())
     numbered = assign_offsets(placed, next_offsets(spark, log_dir, topics))
+    counted, counts = count_by_topic(numbered.withColumn("timestampType", F.lit(0)), topics)
     # Rows leave the numbering in this order already, so Spark drops the sort.
-    ordered = numbered.withColumn("timestampType", F.lit(0)).sortWithinPartitions(*BLOCK)
-    _write(ordered, log_dir, max_rows_per_file)
+    _write(counted.sortWithinPartitions(*BLOCK), log_dir, max_rows_per_file)
+    return counts.get
 
 
 def write_records(records: DataFrame, log_dir: str, max_rows_per_file: int = 0) -> None:

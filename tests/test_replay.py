@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from freshet.functions import key_partition, record_key, utf8
 from freshet.operators import replay
 from freshet.registry import registry
-from freshet.sources import topic_log
+from freshet.sources import kafka, topic_log
 from freshet.sources.csv_records import FILE, ORDINAL, MissingInputs
 
 SPECS = registry("shop")
@@ -128,7 +128,8 @@ def test_log_appends_continue_offsets(spark, tmp_path, data_dir):
     assert topic_log.read_batch(spark, log, "shop.orders").count() == 0
     for _ in range(2):
         records = replay.replay_records(spark, SPECS.values(), data_dir, F.lit(STAMP))
-        topic_log.append(records, log, topics)
+        sent = topic_log.append(records, log, topics)
+        assert sent == {t: 4 if t == "shop.orders" else 5 for t in topics}
     for topic in topics:
         rows = topic_log.read_batch(spark, log, topic).collect()
         assert len(rows) == (8 if topic == "shop.orders" else 10)
@@ -137,3 +138,11 @@ def test_log_appends_continue_offsets(spark, tmp_path, data_dir):
             offsets = sorted(r.offset for r in rows if r.partition == partition)
             assert offsets == list(range(len(offsets)))
         assert all(r.partition == zlib.crc32(bytes(r.key)) % 3 for r in rows)
+
+
+def test_sink_columns(spark, data_dir):
+    records = replay.replay_records(spark, SPECS.values(), data_dir, F.lit(STAMP))
+    assert kafka.outgoing(records).columns == ["topic", "key", "value"]
+    placed = kafka.outgoing(records, partitions=3)
+    assert placed.columns == ["topic", "key", "value", "partition"]
+    assert all(r.partition == zlib.crc32(bytes(r.key)) % 3 for r in placed.collect())

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from freshet import IngestConfig, registry
 from freshet.operators import audit
-from freshet.operators.bronze import parse_bronze
+from freshet.operators.bronze import parse_bronze, quarantine
 from freshet.registry import RECORD_SCHEMA
 from freshet.sources import topic_log
 from freshet.streaming import runner
@@ -213,3 +213,17 @@ def test_dedup_on_a_stream_with_a_hot_id(spark, cfg, tmp_path):
     got = [r._event_id for r in out.collect()]
     expected = {e for _, _, e in rows if e}
     assert sorted(filter(None, got)) == sorted(expected) and got.count(None) == 4
+
+
+def test_quarantine_as_a_stream(spark, cfg, tmp_path):
+    topic_log.write_records(record_frame(spark, ["not json", "{}", ""]), cfg.log_dir)
+    query = (
+        quarantine(topic_log.read_stream(spark, ORDERS, cfg), ORDERS)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "c"))
+        .trigger(availableNow=True)
+        .start(str(tmp_path / "bad"))
+    )
+    runner.await_all(spark, [query])
+    bad = spark.read.parquet(str(tmp_path / "bad")).orderBy("_kafka_offset").collect()
+    assert [(r._kafka_offset, r._raw_value) for r in bad] == [(0, "not json"), (2, "")]
