@@ -13,6 +13,11 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     # Bronze streams keep no state, so their batches may be re-planned too.
     "spark.sql.adaptive.streaming.stateless.enabled": "true",
+    # Duplicate removal keeps its ids on disk, with incremental checkpoints.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 DELTA_SETTINGS = {

@@ -3,8 +3,9 @@
 A file is read as lines and the lines are written once to a scratch table along
 with the input block they came from. All numbering is done on that table, so it
 does not depend on how a later scan happens to be split or on which executors
-are alive. Block totals (one narrow row per input block) carry counts from one
-block to the next; the lines of a file never meet in one task.
+are alive. Blocks are cut further into chunks of at most a million lines. Chunk
+totals, one narrow row each, carry counts from one chunk to the next; the lines
+of a file never meet in one task, even if its format cannot be split.
 """
 
 from __future__ import annotations
@@ -16,10 +17,12 @@ from pyspark.sql import functions as F
 
 from freshet.session import path_exists, scratch_dir
 
-# Broadcast block totals up to this many rows (about 20 MB); join by shuffle beyond.
-BROADCAST_BLOCKS = 100_000
+# Broadcast chunk totals up to this many rows (about 20 MB); join by shuffle beyond.
+BROADCAST_CHUNKS = 100_000
+CHUNK_BITS = 20
 
 FILE, ORDINAL = "__file", "__ordinal"
+CHUNK = [FILE, "block", "part"]
 
 
 class MissingInputs(FileNotFoundError):
@@ -66,58 +69,60 @@ def _stage_lines(spark: SparkSession, path: str) -> DataFrame:
     )
     staged = scratch_dir(spark, "csv-lines")
     lines.write.parquet(staged)
-    return spark.read.schema(lines.schema).parquet(staged)
+    table = spark.read.schema(lines.schema).parquet(staged)
+    return table.withColumn("part", F.shiftright("n", CHUNK_BITS))
 
 
-def _join_blocks(lines: DataFrame, blocks: DataFrame, count: int) -> DataFrame:
-    return lines.join(F.broadcast(blocks) if count <= BROADCAST_BLOCKS else blocks, [FILE, "block"])
+def _join_chunks(lines: DataFrame, chunks: DataFrame, count: int) -> DataFrame:
+    return lines.join(F.broadcast(chunks) if count <= BROADCAST_CHUNKS else chunks, CHUNK)
 
 
 def _number_records(lines: DataFrame, quoted_newlines: bool) -> DataFrame:
     """``(record, __file, __ordinal)``; the header gets ordinal -1, blank lines none."""
-    totals = lines.groupBy(FILE, "block").agg(
+    totals = lines.groupBy(*CHUNK).agg(
         F.count("*").alias("rows"),
         F.min("n").alias("first"),
         F.count_if("opens").alias("opens"),
         F.count_if("blank").alias("blanks"),
     )
     scan = totals.agg(
-        F.count("*").alias("blocks"), F.sum("opens").alias("opens"), F.sum("blanks").alias("blanks")
+        F.count("*").alias("chunks"), F.sum("opens").alias("opens"), F.sum("blanks").alias("blanks")
     ).first()
     spanning = bool(quoted_newlines and scan.opens)
     if not spanning and not scan.blanks:
-        return _one_line_records(lines, totals, scan.blocks)
-    return _spanning_records(lines, scan.blocks, spanning)
+        return _one_line_records(lines, totals, scan.chunks)
+    return _spanning_records(lines, scan.chunks, spanning)
 
 
-def _one_line_records(lines: DataFrame, totals: DataFrame, block_count: int) -> DataFrame:
-    before = Window.partitionBy(FILE).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = totals.select(
-        FILE, "block", "first", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("prefix")
+def _one_line_records(lines: DataFrame, totals: DataFrame, chunk_count: int) -> DataFrame:
+    before = Window.partitionBy(FILE).orderBy("block", "part")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    chunks = totals.select(
+        *CHUNK, "first", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("prefix")
     )
-    return _join_blocks(lines, blocks, block_count).select(
+    return _join_chunks(lines, chunks, chunk_count).select(
         _without_return("value").alias("record"),
         FILE,
         (F.col("prefix") + F.col("n") - F.col("first") - 1).alias(ORDINAL),
     )
 
 
-def _spanning_records(lines: DataFrame, block_count: int, spanning: bool) -> DataFrame:
-    """Records that may run over several lines and blocks.
+def _spanning_records(lines: DataFrame, chunk_count: int, spanning: bool) -> DataFrame:
+    """Records that may run over several lines and chunks.
 
     Each line maps the quote state before it (0 outside, 1 inside) to the state
-    after it. Within a block the maps are chained by windows for both possible
-    states at the block's start; block totals then settle which one holds.
+    after it. Within a chunk the maps are chained by windows for both possible
+    states at the chunk's start; chunk totals then settle which one holds.
     """
     after_0 = F.col("opens").cast("int") if spanning else F.lit(0)
     after_1 = (
         leaves_quote_open(F.concat(F.lit('"'), "value")).cast("int") if spanning else F.lit(1)
     )
-    in_block = Window.partitionBy(FILE, "block").orderBy("n")
-    so_far = in_block.rowsBetween(Window.unboundedPreceding, 0)
+    in_chunk = Window.partitionBy(*CHUNK).orderBy("n")
+    so_far = in_chunk.rowsBetween(Window.unboundedPreceding, 0)
 
     chained = (
-        lines.select(FILE, "block", "n", "value", "blank", after_0.alias("a0"), after_1.alias("a1"))
+        lines.select(*CHUNK, "n", "value", "blank", after_0.alias("a0"), after_1.alias("a1"))
         # A line either fixes the state (a0 = a1), keeps it or flips it.
         .withColumn("fixes", F.col("a0") == F.col("a1"))
         .withColumn("flips", F.sum(F.when(~F.col("fixes"), F.col("a0"))).over(so_far))
@@ -141,8 +146,8 @@ def _spanning_records(lines: DataFrame, block_count: int, spanning: bool) -> Dat
             )
             % 2,
         )
-        .withColumn("was_known", F.coalesce(F.lag("known").over(in_block), F.lit(False)))
-        .withColumn("was_shift", F.coalesce(F.lag("shift").over(in_block), F.lit(0)))
+        .withColumn("was_known", F.coalesce(F.lag("known").over(in_chunk), F.lit(False)))
+        .withColumn("was_shift", F.coalesce(F.lag("shift").over(in_chunk), F.lit(0)))
     )
 
     def state(known: str, shift: str, start: Column | int) -> Column:
@@ -155,14 +160,14 @@ def _spanning_records(lines: DataFrame, block_count: int, spanning: bool) -> Dat
         "c1", F.sum(begins(1)).over(so_far)
     )
 
-    ends = counted.groupBy(FILE, "block").agg(
+    ends = counted.groupBy(*CHUNK).agg(
         F.max_by(F.struct("known", "shift", "c0", "c1"), "n").alias("end")
     )
-    by_block = Window.partitionBy(FILE).orderBy("block")
-    until = by_block.rowsBetween(Window.unboundedPreceding, 0)
-    before = by_block.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        ends.select(FILE, "block", "end.*")
+    by_chunk = Window.partitionBy(FILE).orderBy("block", "part")
+    until = by_chunk.rowsBetween(Window.unboundedPreceding, 0)
+    before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
+    chunks = (
+        ends.select(*CHUNK, "end.*")
         .withColumn("flips", F.sum(F.when(~F.col("known"), F.col("shift")).otherwise(0)).over(until))
         .withColumn(
             "fixed",
@@ -177,14 +182,14 @@ def _spanning_records(lines: DataFrame, block_count: int, spanning: bool) -> Dat
             )
             % 2,
         )
-        .withColumn("enters", F.coalesce(F.lag("leaves").over(by_block), F.lit(0)))
+        .withColumn("enters", F.coalesce(F.lag("leaves").over(by_chunk), F.lit(0)))
         .withColumn("rows", F.when(F.col("enters") == 1, F.col("c1")).otherwise(F.col("c0")))
         .withColumn("prefix", F.coalesce(F.sum("rows").over(before), F.lit(0)))
-        .select(FILE, "block", "enters", "prefix")
+        .select(*CHUNK, "enters", "prefix")
     )
 
     enters = F.col("enters")
-    numbered = _join_blocks(counted, blocks, block_count).select(
+    numbered = _join_chunks(counted, chunks, chunk_count).select(
         FILE,
         "block",
         "n",

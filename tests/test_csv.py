@@ -29,8 +29,9 @@ def write(path, text):
 
 
 @pytest.fixture
-def small_blocks(spark):
-    """Cut files into blocks of some 400 bytes."""
+def small_blocks(spark, monkeypatch):
+    """Cut files into blocks of some 400 bytes, and those into chunks of 8 lines."""
+    monkeypatch.setattr(csv_records, "CHUNK_BITS", 3)
     keys = {"spark.sql.files.maxPartitionBytes": "400", "spark.sql.files.openCostInBytes": "1"}
     before = {key: spark.conf.get(key) for key in keys}
     for key, value in keys.items():
@@ -95,11 +96,11 @@ def test_record_spanning_many_blocks(spark, tmp_path, small_blocks):
     assert spark_rows(spark, path, "ab") == python_rows(path)
 
 
-@pytest.mark.parametrize("broadcast_blocks", [100_000, 0])
+@pytest.mark.parametrize("broadcast_chunks", [100_000, 0])
 def test_ordinals_follow_file_order_over_many_blocks(
-    spark, tmp_path, small_blocks, monkeypatch, broadcast_blocks
+    spark, tmp_path, small_blocks, monkeypatch, broadcast_chunks
 ):
-    monkeypatch.setattr(csv_records, "BROADCAST_BLOCKS", broadcast_blocks)
+    monkeypatch.setattr(csv_records, "BROADCAST_CHUNKS", broadcast_chunks)
     text = "id,t\n" + "".join(f"{i},some text {i}\n" for i in range(2000))
     path = write(tmp_path / "plain.csv", text)
     rows = spark_rows(spark, path, ["id"])
