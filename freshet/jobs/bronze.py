@@ -1,6 +1,6 @@
 """Stream every topic into its bronze table until interrupted.
 
-``spark-submit -m freshet.jobs.bronze`` with KAFKA_BROKER, LAKEHOUSE_PATH and
+``spark-submit freshet/jobs/bronze.py`` with KAFKA_BROKER, LAKEHOUSE_PATH and
 CHECKPOINT_PATH set; flags cover the rest.
 """
 

@@ -1,6 +1,6 @@
 """Replay the CSV exports as keyed events into their topics.
 
-``spark-submit -m freshet.jobs.replay --data-dir DIR`` sends to the broker, or
+``spark-submit freshet/jobs/replay.py --data-dir DIR`` sends to the broker, or
 with ``--log-dir`` to a topic log.
 """
 

@@ -62,28 +62,22 @@ def offset_gap_ranges(bronze: DataFrame, block: int = GAP_BLOCK) -> DataFrame:
     """Every run of missing offsets, as first and last missing offset.
 
     Offsets are compared with their predecessor inside blocks of ``block``
-    offsets; block bounds, one row each, are compared across blocks.
+    offsets. Each block goes on as one run from its lowest to its highest
+    offset; runs are compared inside wider blocks, and what is left of those
+    across a whole partition. So no window sees many rows, be offsets dense or
+    sparse.
     """
     log = ["_kafka_topic", "_kafka_partition"]
-    offsets = (
-        bronze.select(*POSITION)
-        .distinct()
-        .withColumn("block", F.floor(F.col("_kafka_offset") / block))
-    )
-    inside = Window.partitionBy(*log, "block").orderBy("_kafka_offset")
-    within = offsets.select(
-        *log, F.lag("_kafka_offset").over(inside).alias("before"), F.col("_kafka_offset").alias("after")
-    )
-    bounds = offsets.groupBy(*log, "block").agg(
-        F.min("_kafka_offset").alias("low"), F.max("_kafka_offset").alias("high")
-    )
-    across = bounds.select(
-        *log,
-        F.lag("high").over(Window.partitionBy(*log).orderBy("block")).alias("before"),
-        F.col("low").alias("after"),
-    )
+    offset = F.col("_kafka_offset")
+    runs = bronze.select(*log, offset.alias("low"), offset.alias("high")).distinct()
+    steps = []
+    for width in (block, block * block):
+        runs = runs.withColumn("block", F.expr(f"low div {width}"))
+        steps.append(_steps(runs, [*log, "block"]).select(*log, "before", "after"))
+        runs = runs.groupBy(*log, "block").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    steps.append(_steps(runs, log))
     return (
-        within.unionByName(across)
+        reduce(DataFrame.unionByName, steps)
         .where("after - before > 1")
         .select(
             *log,
@@ -93,6 +87,12 @@ def offset_gap_ranges(bronze: DataFrame, block: int = GAP_BLOCK) -> DataFrame:
     )
 
 
+def _steps(runs: DataFrame, within: list[str]) -> DataFrame:
+    """Where each run begins, and where the one before it in its group ended."""
+    previous = F.lag("high").over(Window.partitionBy(*within).orderBy("low"))
+    return runs.select(*within, previous.alias("before"), F.col("low").alias("after"))
+
+
 def topic_mismatch(bronze: DataFrame) -> DataFrame:
     """Rows whose payload names another topic, or none, than they arrived on."""
     return (

@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.config import IngestConfig
-from freshet.functions import utf8
+from freshet.functions import key_partition, utf8
 from freshet.operators import audit, replay
 from freshet.operators.bronze import parse_bronze, quarantine
 from freshet.plans.feeds import EVENTS, FEEDS, SPECS, Feed, feed_records, payload_rows, table
-from freshet.registry import RECORD_SCHEMA, registry
+from freshet.registry import RECORD_SCHEMA, TopicSpec, registry
 from freshet.session import scratch_dir
 from freshet.sources import topic_log
 from freshet.sources.csv_records import FILE, ORDINAL, read_csv
@@ -173,6 +173,13 @@ def record_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def key_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The partition each order's key falls on, of three."""
+    rows = payload_rows(spark, sf_dir, FEEDS["orders"])
+    key = utf8(F.col("f_order_id"))
+    return rows.select(F.col("f_order_id").alias("order_id"), key_partition(key, 3).alias("partition"))
+
+
 def replay_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = numbered_rows(spark, sf_dir, FEEDS["orders"])
     start = F.lit("2024-01-15T00:00:00+00:00").cast("timestamp")
@@ -232,21 +239,56 @@ def log_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def replay_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV files to topic log to tables, all five topics; totals per topic."""
-    cfg = stream_config(spark)
+def export_topics(spark: SparkSession, sf_dir: str, specs: list[TopicSpec]) -> str:
     data_dir = scratch_dir(spark, "csv")
-    specs = list(registry().values())
     for spec in specs:
         feed = FEEDS[spec.table]
         rows = payload_rows(spark, sf_dir, feed)
         fields = (F.col(f"f_{name}").alias(name) for name in feed.fields)
         export_csv(rows.select(*fields), f"{data_dir}/{spec.source_file}")
+    return data_dir
+
+
+def replayed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze keeps both replays of a file; equal event ids tell them apart from news."""
+    cfg = stream_config(spark)
+    specs = [SPECS["order_payments"], SPECS["customers"]]
+    data_dir = export_topics(spark, sf_dir, specs)
+    topics = [spec.topic for spec in specs]
+    for _ in range(2):
+        topic_log.append(replay.replay_records(spark, specs, data_dir), cfg.log_dir, topics)
+    runner.run(spark, specs, cfg)
+
+    def totals(spec: TopicSpec) -> DataFrame:
+        rows = audit.read_bronze(spark, cfg, spec)
+        counted = {
+            "rows": rows,
+            "duplicated ids": audit.duplicate_events(rows),
+            "events": audit.dedup_events(rows),
+        }
+        return reduce(
+            DataFrame.unionByName,
+            (
+                frame.agg(F.count("*").alias("count")).select(
+                    F.lit(spec.topic).alias("_kafka_topic"), F.lit(what).alias("what"), "count"
+                )
+                for what, frame in counted.items()
+            ),
+        )
+
+    return reduce(DataFrame.unionByName, map(totals, specs))
+
+
+def replay_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files to topic log to tables, all five topics; totals per topic."""
+    cfg = stream_config(spark)
+    specs = list(registry().values())
+    data_dir = export_topics(spark, sf_dir, specs)
     topics = [spec.topic for spec in specs]
     topic_log.append(replay.replay_records(spark, specs, data_dir), cfg.log_dir, topics)
     runner.run(spark, specs, cfg)
 
-    def totals(spec) -> DataFrame:
+    def totals(spec: TopicSpec) -> DataFrame:
         rows = audit.read_bronze(spark, cfg, spec)
         gaps = audit.offset_gaps(rows).groupBy("_kafka_topic").agg(
             F.sum("missing").alias("missing_offsets"), F.sum("offsets").alias("offsets")
@@ -391,11 +433,13 @@ QUERIES: dict[str, Query] = {
     "bronze_day": bronze_day,
     "event_envelope": event_envelope,
     "record_keys": record_keys,
+    "key_partitions": key_partitions,
     "replay_schedule": replay_schedule,
     "csv_replay": csv_replay,
     "csv_quoted_text": csv_quoted_text,
     "log_offsets": log_offsets,
     "replay_to_bronze": replay_to_bronze,
+    "replayed_twice": replayed_twice,
     "quarantine": quarantined,
     "duplicate_events": duplicate_events,
     "dedup_events": dedup_events,

@@ -161,6 +161,16 @@ ORACLES: dict[str, str] = {
                cast(o_orderkey as varchar) as key_absent,
                cast(length(cast(o_orderkey as varchar)) as integer) as key_bytes
         from orders""",
+    "key_partitions": """
+        select cast(o_orderkey as varchar) as order_id,
+               cast(xor(list_reduce(
+                   flatten(list_transform(
+                       string_split(cast(o_orderkey as varchar), ''),
+                       lambda c: list_transform(range(8), lambda i: (ord(c) >> i) & 1))),
+                   lambda crc, bit:
+                       xor(crc >> 1, case when xor(crc, bit) & 1 = 1 then 3988292384 else 0 end),
+                   4294967295), 4294967295) % 3 as integer) as partition
+        from orders""",
     "replay_schedule": """
         select cast(o_orderkey as varchar) as order_id,
                epoch_us(timestamp '2024-01-15') + o_orderkey * 50000 as arrival_us
@@ -176,6 +186,16 @@ ORACLES: dict[str, str] = {
                o_orderkey // 3 as "offset", cast(o_orderkey as varchar) as order_id
         from orders""",
     "replay_to_bronze": pipeline_sql(),
+    "replayed_twice": " union all ".join(
+        f"select '{FEEDS[name].spec.topic}' as _kafka_topic, '{what}' as what, {count} as count"
+        f" from {FEEDS[name].source}"
+        for name in ("order_payments", "customers")
+        for what, count in (
+            ("rows", "2 * count(*)"),
+            ("duplicated ids", "count(*)"),
+            ("events", "count(*)"),
+        )
+    ),
     "quarantine": QUARANTINE,
     "duplicate_events": f"""
         select _event_id, count(*) as copies from ({COPIES}) group by _event_id
