@@ -85,7 +85,8 @@ def main() -> None:
     for spec in specs:
         records = topic_log.read_batch(spark, base.log_dir, spec.topic)
         seconds[f"parse_{spec.table}"] = warm_median(parse_bronze(records, spec))
-        facts[f"parse_{spec.table}_rows_per_sec"] = rows[spec.table] / seconds[f"parse_{spec.table}"]
+        rate = rows[spec.table] / seconds[f"parse_{spec.table}"]
+        facts[f"parse_{spec.table}_rows_per_sec"] = rate
     items = next(spec for spec in specs if spec.table == "order_items")
     records = topic_log.read_batch(spark, base.log_dir, items.topic)
     seconds["quarantine_order_items"] = warm_median(quarantine(records, items))

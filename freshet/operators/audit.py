@@ -74,7 +74,8 @@ def offset_gap_ranges(bronze: DataFrame, block: int = GAP_BLOCK) -> DataFrame:
     for width in (block, block * block):
         runs = runs.withColumn("block", F.expr(f"low div {width}"))
         steps.append(_steps(runs, [*log, "block"]).select(*log, "before", "after"))
-        runs = runs.groupBy(*log, "block").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        ends = F.min("low").alias("low"), F.max("high").alias("high")
+        runs = runs.groupBy(*log, "block").agg(*ends)
     steps.append(_steps(runs, log))
     return (
         reduce(DataFrame.unionByName, steps)
@@ -107,7 +108,8 @@ def ingest_lag(bronze: DataFrame) -> DataFrame:
 
     ``rows`` counts all rows, ``timed`` those whose ``_ingested_at`` is a time.
     """
-    lag = F.unix_micros("_kafka_timestamp") - F.unix_micros(ingested_instant(F.col("_ingested_at")))
+    ingested = ingested_instant(F.col("_ingested_at"))
+    lag = F.unix_micros("_kafka_timestamp") - F.unix_micros(ingested)
     return (
         bronze.select("_kafka_topic", lag.alias("lag"))
         .groupBy("_kafka_topic")
@@ -134,7 +136,9 @@ def read_bronze(spark: SparkSession, cfg: IngestConfig, spec: TopicSpec) -> Data
     return table.select(*(c for c in table.columns if c not in last), *last)
 
 
-def bronze_day(spark: SparkSession, cfg: IngestConfig, spec: TopicSpec, day: str | None) -> DataFrame:
+def bronze_day(
+    spark: SparkSession, cfg: IngestConfig, spec: TopicSpec, day: str | None
+) -> DataFrame:
     """One ingestion date; only its partition is read. ``None`` takes undated rows."""
     date = F.lit(day).cast("date")
     return read_bronze(spark, cfg, spec).where(F.col("_bronze_date").eqNullSafe(date))
@@ -163,5 +167,7 @@ def reconcile(source_counts: DataFrame, bronze: DataFrame) -> DataFrame:
         F.coalesce("s_date", "_bronze_date").alias("_bronze_date"),
         F.coalesce("source_rows", F.lit(0)).alias("source_rows"),
         F.coalesce("bronze_rows", F.lit(0)).alias("bronze_rows"),
-        (F.coalesce("source_rows", F.lit(0)) - F.coalesce("bronze_rows", F.lit(0))).alias("missing"),
+        (F.coalesce("source_rows", F.lit(0)) - F.coalesce("bronze_rows", F.lit(0))).alias(
+            "missing"
+        ),
     )

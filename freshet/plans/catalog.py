@@ -177,7 +177,9 @@ def key_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The partition each order's key falls on, of three."""
     rows = payload_rows(spark, sf_dir, FEEDS["orders"])
     key = utf8(F.col("f_order_id"))
-    return rows.select(F.col("f_order_id").alias("order_id"), key_partition(key, 3).alias("partition"))
+    return rows.select(
+        F.col("f_order_id").alias("order_id"), key_partition(key, 3).alias("partition")
+    )
 
 
 def replay_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:

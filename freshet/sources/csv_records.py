@@ -17,9 +17,12 @@ from pyspark.sql import functions as F
 
 from freshet.session import path_exists, scratch_dir
 
-# Broadcast chunk totals up to this many rows (about 20 MB); join by shuffle beyond.
-BROADCAST_CHUNKS = 100_000
+# Broadcast chunk totals up to this many rows (about 100 MB); join by shuffle beyond.
+BROADCAST_CHUNKS = 500_000
 CHUNK_BITS = 20
+# A record may fill whole chunks up to this many characters before it counts as
+# an unclosed quote, which would otherwise gather the rest of its file.
+RECORD_LIMIT = 1 << 27
 
 FILE, ORDINAL = "__file", "__ordinal"
 CHUNK = [FILE, "block", "part"]
@@ -54,18 +57,21 @@ def _without_return(column: str) -> Column:
     return F.when(F.endswith(column, F.lit("\r")), shorter).otherwise(F.col(column))
 
 
-def _stage_lines(spark: SparkSession, path: str) -> DataFrame:
+def _stage_lines(spark: SparkSession, path: str, skip_blank: bool) -> DataFrame:
+    """Lines in a scratch table; ``n`` counts the lines of a block without gaps."""
+    blank = F.col("value").isin("", "\r")
     lines = (
         spark.read.option("lineSep", "\n")
         .text(path)
+        .where(~blank if skip_blank else F.lit(True))
         .select(
             "value",
             F.col("_metadata.file_path").alias(FILE),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("n"),
+            leaves_quote_open(F.col("value")).alias("opens"),
+            blank.alias("blank"),
         )
-        .withColumn("opens", leaves_quote_open(F.col("value")))
-        .withColumn("blank", F.col("value").isin("", "\r"))
     )
     staged = scratch_dir(spark, "csv-lines")
     lines.write.parquet(staged)
@@ -77,21 +83,13 @@ def _join_chunks(lines: DataFrame, chunks: DataFrame, count: int) -> DataFrame:
     return lines.join(F.broadcast(chunks) if count <= BROADCAST_CHUNKS else chunks, CHUNK)
 
 
-def _number_records(lines: DataFrame, quoted_newlines: bool) -> DataFrame:
-    """``(record, __file, __ordinal)``; the header gets ordinal -1, blank lines none."""
-    totals = lines.groupBy(*CHUNK).agg(
+def _totals(lines: DataFrame) -> DataFrame:
+    return lines.groupBy(*CHUNK).agg(
         F.count("*").alias("rows"),
         F.min("n").alias("first"),
         F.count_if("opens").alias("opens"),
         F.count_if("blank").alias("blanks"),
     )
-    scan = totals.agg(
-        F.count("*").alias("chunks"), F.sum("opens").alias("opens"), F.sum("blanks").alias("blanks")
-    ).first()
-    spanning = bool(quoted_newlines and scan.opens)
-    if not spanning and not scan.blanks:
-        return _one_line_records(lines, totals, scan.chunks)
-    return _spanning_records(lines, scan.chunks, spanning)
 
 
 def _one_line_records(lines: DataFrame, totals: DataFrame, chunk_count: int) -> DataFrame:
@@ -107,99 +105,84 @@ def _one_line_records(lines: DataFrame, totals: DataFrame, chunk_count: int) ->
     )
 
 
-def _spanning_records(lines: DataFrame, chunk_count: int, spanning: bool) -> DataFrame:
+def _spanning_records(lines: DataFrame, chunk_count: int) -> DataFrame:
     """Records that may run over several lines and chunks.
 
     Each line maps the quote state before it (0 outside, 1 inside) to the state
     after it. Within a chunk the maps are chained by windows for both possible
     states at the chunk's start; chunk totals then settle which one holds.
     """
-    after_0 = F.col("opens").cast("int") if spanning else F.lit(0)
-    after_1 = (
-        leaves_quote_open(F.concat(F.lit('"'), "value")).cast("int") if spanning else F.lit(1)
-    )
+    after_0 = F.col("opens").cast("int")
+    after_1 = leaves_quote_open(F.concat(F.lit('"'), "value")).cast("int")
     in_chunk = Window.partitionBy(*CHUNK).orderBy("n")
     so_far = in_chunk.rowsBetween(Window.unboundedPreceding, 0)
 
+    def none(column: str) -> Column:
+        return F.coalesce(column, F.lit(0))
+
     chained = (
         lines.select(*CHUNK, "n", "value", "blank", after_0.alias("a0"), after_1.alias("a1"))
         # A line either fixes the state (a0 = a1), keeps it or flips it.
         .withColumn("fixes", F.col("a0") == F.col("a1"))
-        .withColumn("flips", F.sum(F.when(~F.col("fixes"), F.col("a0"))).over(so_far))
-        .withColumn(
-            "fixed",
-            F.last(
-                F.when(
-                    F.col("fixes"),
-                    F.struct(F.col("a0").alias("state"), F.coalesce("flips", F.lit(0)).alias("flips")),
-                ),
-                ignorenulls=True,
-            ).over(so_far),
-        )
+        .withColumn("flips", F.sum(F.when(~F.col("fixes"), F.col("a0")).otherwise(0)).over(so_far))
+        .withColumn("fix", F.when(F.col("fixes"), F.struct(F.col("a0").alias("state"), "flips")))
+        .withColumn("fixed", F.last("fix", ignorenulls=True).over(so_far))
         .withColumn("known", F.col("fixed").isNotNull())
-        .withColumn(
-            "shift",
-            (
-                F.coalesce("flips", F.lit(0))
-                - F.coalesce("fixed.flips", F.lit(0))
-                + F.coalesce("fixed.state", F.lit(0))
-            )
-            % 2,
-        )
-        .withColumn("was_known", F.coalesce(F.lag("known").over(in_chunk), F.lit(False)))
-        .withColumn("was_shift", F.coalesce(F.lag("shift").over(in_chunk), F.lit(0)))
+        .withColumn("shift", (F.col("flips") - none("fixed.flips") + none("fixed.state")) % 2)
+        .withColumn("was_known", F.lag("known", 1, False).over(in_chunk))
+        .withColumn("was_shift", F.lag("shift", 1, 0).over(in_chunk))
     )
 
-    def state(known: str, shift: str, start: Column | int) -> Column:
-        return F.when(F.col(known), F.col(shift)).otherwise((F.col(shift) + start) % 2)
+    def outside(known: str, shift: str, start: Column) -> Column:
+        state = F.when(F.col(known), F.col(shift)).otherwise((F.col(shift) + start) % 2)
+        return state == 0
 
-    def begins(start: int) -> Column:
-        return ((state("was_known", "was_shift", F.lit(start)) == 0) & ~F.col("blank")).cast("int")
+    def begun(start: int) -> Column:
+        begins = outside("was_known", "was_shift", F.lit(start)) & ~F.col("blank")
+        return F.sum(begins.cast("int")).over(so_far)
 
-    counted = chained.withColumn("c0", F.sum(begins(0)).over(so_far)).withColumn(
-        "c1", F.sum(begins(1)).over(so_far)
-    )
+    counted = chained.withColumn("begun_0", begun(0)).withColumn("begun_1", begun(1))
 
-    ends = counted.groupBy(*CHUNK).agg(
-        F.max_by(F.struct("known", "shift", "c0", "c1"), "n").alias("end")
-    )
     by_chunk = Window.partitionBy(FILE).orderBy("block", "part")
     until = by_chunk.rowsBetween(Window.unboundedPreceding, 0)
     before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
+    enters = F.col("enters")
+    too_long = F.raise_error(F.concat(F.lit("a quote is never closed in "), FILE)).cast("bigint")
     chunks = (
-        ends.select(*CHUNK, "end.*")
-        .withColumn("flips", F.sum(F.when(~F.col("known"), F.col("shift")).otherwise(0)).over(until))
-        .withColumn(
-            "fixed",
-            F.last(F.when(F.col("known"), F.struct("shift", "flips")), ignorenulls=True).over(until),
-        )
-        .withColumn(
-            "leaves",
-            (
-                F.col("flips")
-                - F.coalesce("fixed.flips", F.lit(0))
-                + F.coalesce("fixed.shift", F.lit(0))
-            )
-            % 2,
+        counted.groupBy(*CHUNK)
+        .agg(
+            F.max_by(F.struct("known", "shift", "begun_0", "begun_1"), "n").alias("end"),
+            F.sum(F.length("value")).alias("chars"),
         )
-        .withColumn("enters", F.coalesce(F.lag("leaves").over(by_chunk), F.lit(0)))
-        .withColumn("rows", F.when(F.col("enters") == 1, F.col("c1")).otherwise(F.col("c0")))
+        .select(*CHUNK, "chars", "end.*")
+        .withColumn("flips", F.sum(F.when(F.col("known"), 0).otherwise(F.col("shift"))).over(until))
+        .withColumn("fix", F.when(F.col("known"), F.struct("shift", "flips")))
+        .withColumn("fixed", F.last("fix", ignorenulls=True).over(until))
+        .withColumn("leaves", (F.col("flips") - none("fixed.flips") + none("fixed.shift")) % 2)
+        .withColumn("enters", F.lag("leaves", 1, 0).over(by_chunk))
+        .withColumn("rows", F.when(enters == 1, F.col("begun_1")).otherwise(F.col("begun_0")))
         .withColumn("prefix", F.coalesce(F.sum("rows").over(before), F.lit(0)))
-        .select(*CHUNK, "enters", "prefix")
+        # Characters of the chunks since a record last began.
+        .withColumn("filled", F.sum("chars").over(until))
+        .withColumn("begun", F.last(F.when(F.col("rows") > 0, F.col("filled")), True).over(until))
+        .withColumn("run", F.col("filled") - none("begun"))
+        .select(
+            *CHUNK,
+            "enters",
+            F.when(F.col("run") > RECORD_LIMIT, too_long).otherwise(F.col("prefix")).alias("prefix"),
+        )
     )
 
-    enters = F.col("enters")
+    begun_here = F.when(enters == 1, F.col("begun_1")).otherwise(F.col("begun_0"))
     numbered = _join_chunks(counted, chunks, chunk_count).select(
         FILE,
         "block",
         "n",
         "value",
-        (F.col("prefix") + F.when(enters == 1, F.col("c1")).otherwise(F.col("c0")) - 2).alias(
-            ORDINAL
-        ),
-        (state("was_known", "was_shift", enters) == 0).alias("begins"),
-        (state("known", "shift", enters) == 0).alias("closes"),
         "blank",
+        (F.col("prefix") + begun_here - 2).alias(ORDINAL),
+        outside("was_known", "was_shift", enters).alias("begins"),
+        outside("known", "shift", enters).alias("closes"),
     )
     whole = numbered.where("begins and closes and not blank").select("value", FILE, ORDINAL)
     parts = (
@@ -273,5 +256,16 @@ def read_csv(spark: SparkSession, path: str, quoted_newlines: bool = True) -> Da
     a repeated header name takes its last column. ``quoted_newlines=False``
     declares that every line is a record.
     """
-    lines = _stage_lines(spark, path)
-    return _split_records(_number_records(lines, quoted_newlines), _header(lines))
+    lines = _stage_lines(spark, path, skip_blank=not quoted_newlines)
+    totals = _totals(lines)
+    scan = totals.agg(
+        F.count("*").alias("chunks"), F.sum("opens").alias("opens"), F.sum("blanks").alias("blanks")
+    ).first()
+    if quoted_newlines and scan.opens:
+        records = _spanning_records(lines, scan.chunks)
+    elif scan.blanks:
+        # No record spans lines after all: blank lines can be left out at once.
+        return read_csv(spark, path, quoted_newlines=False)
+    else:
+        records = _one_line_records(lines, totals, scan.chunks)
+    return _split_records(records, _header(lines))

@@ -2,6 +2,7 @@ import csv
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 
 from freshet.sources import csv_records
 from freshet.sources.csv_records import ORDINAL, MissingInputs, read_csv, require_inputs
@@ -121,6 +122,24 @@ def test_no_shuffle_of_rows_without_spanning_records(spark, tmp_path):
     assert "Exchange" not in rows_side and "BroadcastHashJoin" in rows_side
 
 
+def test_blank_lines_do_not_cost_a_shuffle(spark, tmp_path):
+    path = write(tmp_path / "blanks.csv", "a,b\n\n1,x\n\n\n2,y\n\n")
+    assert spark_rows(spark, path, "ab") == python_rows(path)
+    plan = plan_text(read_csv(spark, str(path)))
+    assert "Exchange" not in plan[: plan.index("BroadcastExchange")]
+
+
+def test_unclosed_quote_fails_before_it_gathers_a_file(
+    spark, tmp_path, small_blocks, monkeypatch
+):
+    lines = "\n".join(f"{i},text" for i in range(200))
+    path = write(tmp_path / "unclosed.csv", f'a,b\n1,"never closed\n{lines}')
+    assert spark_rows(spark, path, "ab") == python_rows(path)
+    monkeypatch.setattr(csv_records, "RECORD_LIMIT", 500)
+    with pytest.raises(PySparkException, match="never closed in"):
+        spark_rows(spark, path, "ab")
+
+
 def test_stray_quotes_do_not_join_lines(spark, tmp_path):
     path = write(tmp_path / "stray.csv", 'a,b\n1,5" pipe\n2,6" pipe\n')
     assert spark_rows(spark, path, "ab") == python_rows(path)
