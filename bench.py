@@ -130,7 +130,7 @@ def main() -> None:
 
     def replay_all() -> None:
         records = replay.replay_records(spark, specs, data_dir)
-        topic_log.append(records, log_dir, [spec.topic for spec in specs])
+        topic_log.append(records, log_dir, specs)
 
     seconds["replay_five_topics"] = timed(replay_all)
     facts["replay_rows_per_sec"] = sum(rows.values()) / seconds["replay_five_topics"]

@@ -17,7 +17,7 @@ def record_key(columns: list[str], key_field: str, ordinal: Column) -> Column:
     return F.coalesce(F.col(f"`{key_field}`"), number) if key_field in columns else number
 
 
-def key_partition(key: Column, partitions: int) -> Column:
+def key_partition(key: Column, partitions: Column | int) -> Column:
     """CRC32 of the key bytes modulo the partition count."""
     return F.pmod(F.crc32(key), F.lit(partitions)).cast("int")
 

@@ -34,23 +34,21 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     args = arguments(argv)
-    specs = registry(args.prefix)
+    specs = registry(args.prefix).values()
     spark = build_session("freshet-replay")
     try:
-        records = replay_records(
-            spark, specs.values(), args.data_dir, stable_ids=not args.random_ids
-        )
+        records = replay_records(spark, specs, args.data_dir, stable_ids=not args.random_ids)
         if args.log_dir:
-            topic_log.create_topics(spark, args.log_dir, list(specs))
+            topic_log.create_topics(spark, args.log_dir, specs)
             timed = replay_schedule(records, F.current_timestamp(), args.delay)
             sent = topic_log.append(
                 timed.withColumnRenamed("arrival_ts", "timestamp"),
                 args.log_dir,
-                list(specs),
+                specs,
                 max_rows_per_file=args.max_rows_per_file,
             )
         else:
-            sent = kafka.publish(records, args.broker, list(specs))
+            sent = kafka.publish(records, args.broker, specs)
         for topic, count in sent.items():
             logging.info("%s: %d records", topic, count)
     finally:

@@ -162,12 +162,12 @@ def reconcile(source_counts: DataFrame, bronze: DataFrame) -> DataFrame:
     same = F.col("s_topic").eqNullSafe(F.col("_kafka_topic")) & F.col("s_date").eqNullSafe(
         F.col("_bronze_date")
     )
+    sent = F.coalesce("source_rows", F.lit(0))
+    arrived = F.coalesce("bronze_rows", F.lit(0))
     return source.join(landed, same, "full").select(
         F.coalesce("s_topic", "_kafka_topic").alias("_kafka_topic"),
         F.coalesce("s_date", "_bronze_date").alias("_bronze_date"),
-        F.coalesce("source_rows", F.lit(0)).alias("source_rows"),
-        F.coalesce("bronze_rows", F.lit(0)).alias("bronze_rows"),
-        (F.coalesce("source_rows", F.lit(0)) - F.coalesce("bronze_rows", F.lit(0))).alias(
-            "missing"
-        ),
+        sent.alias("source_rows"),
+        arrived.alias("bronze_rows"),
+        (sent - arrived).alias("missing"),
     )

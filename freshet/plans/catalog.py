@@ -256,9 +256,8 @@ def replayed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = stream_config(spark)
     specs = [SPECS["order_payments"], SPECS["customers"]]
     data_dir = export_topics(spark, sf_dir, specs)
-    topics = [spec.topic for spec in specs]
     for _ in range(2):
-        topic_log.append(replay.replay_records(spark, specs, data_dir), cfg.log_dir, topics)
+        topic_log.append(replay.replay_records(spark, specs, data_dir), cfg.log_dir, specs)
     runner.run(spark, specs, cfg)
 
     def totals(spec: TopicSpec) -> DataFrame:
@@ -286,8 +285,7 @@ def replay_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = stream_config(spark)
     specs = list(registry().values())
     data_dir = export_topics(spark, sf_dir, specs)
-    topics = [spec.topic for spec in specs]
-    topic_log.append(replay.replay_records(spark, specs, data_dir), cfg.log_dir, topics)
+    topic_log.append(replay.replay_records(spark, specs, data_dir), cfg.log_dir, specs)
     runner.run(spark, specs, cfg)
 
     def totals(spec: TopicSpec) -> DataFrame:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import chain
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BinaryType,
     DateType,
@@ -139,6 +143,12 @@ class TopicSpec:
         )
 
 
+def partition_count(specs: Iterable[TopicSpec], topic: Column) -> Column:
+    """The number of partitions of the topic a record is for."""
+    counts = ((F.lit(spec.topic), F.lit(spec.partitions)) for spec in specs)
+    return F.create_map(*chain.from_iterable(counts))[topic]
+
+
 def registry(prefix: str = "shop") -> dict[str, TopicSpec]:
     """The five shop topics, named and sourced under ``prefix``."""
     specs = (

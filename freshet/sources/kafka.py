@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.config import IngestConfig
 from freshet.functions import key_partition
 from freshet.operators.counts import count_by_topic
-from freshet.registry import TopicSpec
+from freshet.registry import TopicSpec, partition_count
 
 # Producer batching window and compression.
 PRODUCER_OPTIONS = {"kafka.linger.ms": "10", "kafka.compression.type": "lz4"}
@@ -36,20 +38,25 @@ def write_options(broker: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": broker, **PRODUCER_OPTIONS}
 
 
-def outgoing(records: DataFrame, partitions: int | None = None) -> DataFrame:
+def outgoing(
+    records: DataFrame, specs: Iterable[TopicSpec], place_by_crc32: bool = False
+) -> DataFrame:
     """The columns the sink takes.
 
-    The client places records by key; ``partitions`` places them by
-    ``key_partition`` instead, for topics with that many partitions.
+    The client places records by key in its own way. ``place_by_crc32`` places
+    them by ``key_partition``, for topics with as many partitions as declared.
     """
-    place = [key_partition(F.col("key"), partitions).alias("partition")] if partitions else []
+    partition = key_partition(F.col("key"), partition_count(specs, F.col("topic")))
+    place = [partition.alias("partition")] if place_by_crc32 else []
     return records.select("topic", "key", "value", *place)
 
 
 def publish(
-    records: DataFrame, broker: str, topics: list[str], partitions: int | None = None
+    records: DataFrame, broker: str, specs: Iterable[TopicSpec], place_by_crc32: bool = False
 ) -> dict[str, int]:
     """Send records in one job, which fails if a delivery fails; counts per topic."""
-    counted, counts = count_by_topic(outgoing(records, partitions), topics)
+    specs = list(specs)
+    topics = [spec.topic for spec in specs]
+    counted, counts = count_by_topic(outgoing(records, specs, place_by_crc32), topics)
     counted.write.format("kafka").options(**write_options(broker)).save()
     return counts.get

@@ -7,6 +7,7 @@ first, and never needs the whole log in one place. One writer at a time.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from freshet.config import IngestConfig
 from freshet.functions import key_partition
 from freshet.operators.counts import count_by_topic
-from freshet.registry import RECORD_SCHEMA, TOPIC_PARTITIONS, TopicSpec
+from freshet.registry import RECORD_SCHEMA, TopicSpec, partition_count
 from freshet.session import make_folder, path_exists
 from freshet.sources.csv_records import FILE, ORDINAL
 
@@ -28,10 +29,10 @@ def topic_path(log_dir: str, topic: str) -> str:
     return f"{log_dir}/log={topic}"
 
 
-def create_topics(spark: SparkSession, log_dir: str, topics: list[str]) -> None:
+def create_topics(spark: SparkSession, log_dir: str, specs: Iterable[TopicSpec]) -> None:
     """Make empty topics, which streams may read at once; existing ones stay as they are."""
-    for topic in topics:
-        make_folder(spark, topic_path(log_dir, topic))
+    for spec in specs:
+        make_folder(spark, topic_path(log_dir, spec.topic))
 
 
 def read_options(cfg: IngestConfig) -> dict[str, str]:
@@ -105,8 +106,7 @@ def assign_offsets(
 def append(
     records: DataFrame,
     log_dir: str,
-    topics: list[str],
-    partitions: int = TOPIC_PARTITIONS,
+    specs: Iterable[TopicSpec],
     max_rows_per_file: int = 0,
 ) -> dict[str, int]:
     """Append ``(topic, key, value, __file, __ordinal)`` to the log in one job.
@@ -114,7 +114,10 @@ def append(
     Records keep the ``timestamp`` they come with, or get the time of the write.
     Returns the records written per topic.
     """
+    specs = list(specs)
+    topics = [spec.topic for spec in specs]
     spark = records.sparkSession
+    partitions = partition_count(specs, F.col("topic"))
     placed = records.withColumn("partition", key_partition(F.col("key"), partitions))
     if "timestamp" not in placed.columns:
         placed = placed.withColumn("timestamp", F.current_timestamp())

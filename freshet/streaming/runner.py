@@ -29,11 +29,13 @@ def start_stream(spark: SparkSession, spec: TopicSpec, cfg: IngestConfig) -> Str
         F.count_if(F.col("_event_id").isNull()).alias("without_event_id"),
     )
     # Under the FAIR scheduler every topic gets its own share of the executors.
-    spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.table)
+    context, pool = spark.sparkContext, "spark.scheduler.pool"
+    before = context.getLocalProperty(pool)
+    context.setLocalProperty(pool, spec.table)
     try:
         return write_bronze(bronze, spec, cfg)
     finally:
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+        context.setLocalProperty(pool, before)
 
 
 def start_all(

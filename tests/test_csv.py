@@ -2,7 +2,6 @@ import csv
 import random
 
 import pytest
-from pyspark.errors import PySparkException
 
 from freshet.sources import csv_records
 from freshet.sources.csv_records import ORDINAL, MissingInputs, read_csv, require_inputs
@@ -136,7 +135,7 @@ def test_unclosed_quote_fails_before_it_gathers_a_file(
     path = write(tmp_path / "unclosed.csv", f'a,b\n1,"never closed\n{lines}')
     assert spark_rows(spark, path, "ab") == python_rows(path)
     monkeypatch.setattr(csv_records, "RECORD_LIMIT", 500)
-    with pytest.raises(PySparkException, match="never closed in"):
+    with pytest.raises(Exception, match="never closed in"):
         spark_rows(spark, path, "ab")
 
 

@@ -1,3 +1,4 @@
+import dataclasses
 import json
 import uuid
 import zlib
@@ -123,12 +124,16 @@ def test_offsets_are_dense_and_follow_file_order(spark):
 def test_log_appends_continue_offsets(spark, tmp_path, data_dir):
     log = str(tmp_path / "log")
     topics = list(SPECS)
-    topic_log.create_topics(spark, log, topics)
-    topic_log.create_topics(spark, log, topics)
+    specs = [
+        dataclasses.replace(spec, partitions=5) if spec.table == "products" else spec
+        for spec in SPECS.values()
+    ]
+    topic_log.create_topics(spark, log, SPECS.values())
+    topic_log.create_topics(spark, log, SPECS.values())
     assert topic_log.read_batch(spark, log, "shop.orders").count() == 0
     for _ in range(2):
         records = replay.replay_records(spark, SPECS.values(), data_dir, F.lit(STAMP))
-        sent = topic_log.append(records, log, topics)
+        sent = topic_log.append(records, log, specs)
         assert sent == {t: 4 if t == "shop.orders" else 5 for t in topics}
     for topic in topics:
         rows = topic_log.read_batch(spark, log, topic).collect()
@@ -137,12 +142,14 @@ def test_log_appends_continue_offsets(spark, tmp_path, data_dir):
         for partition in {r.partition for r in rows}:
             offsets = sorted(r.offset for r in rows if r.partition == partition)
             assert offsets == list(range(len(offsets)))
-        assert all(r.partition == zlib.crc32(bytes(r.key)) % 3 for r in rows)
+        count = 5 if topic == "shop.products" else 3
+        assert all(r.partition == zlib.crc32(bytes(r.key)) % count for r in rows)
 
 
 def test_sink_columns(spark, data_dir):
     records = replay.replay_records(spark, SPECS.values(), data_dir, F.lit(STAMP))
-    assert kafka.outgoing(records).columns == ["topic", "key", "value"]
-    placed = kafka.outgoing(records, partitions=3)
+    specs = SPECS.values()
+    assert kafka.outgoing(records, specs).columns == ["topic", "key", "value"]
+    placed = kafka.outgoing(records, specs, place_by_crc32=True)
     assert placed.columns == ["topic", "key", "value", "partition"]
     assert all(r.partition == zlib.crc32(bytes(r.key)) % 3 for r in placed.collect())

@@ -108,7 +108,7 @@ def test_progress_counts_rows_without_event_id(spark, cfg):
 
 
 def test_empty_topic_can_be_streamed(spark, cfg):
-    topic_log.create_topics(spark, cfg.log_dir, [ORDERS.topic])
+    topic_log.create_topics(spark, cfg.log_dir, [ORDERS])
     assert runner.run(spark, [ORDERS], cfg).rows == {}
 
 
@@ -149,7 +149,7 @@ def test_compact_dates_split_a_dominating_date(spark, cfg, tmp_path):
 
 @pytest.mark.parametrize("mode", ["update", "complete"])
 def test_sink_only_appends(spark, cfg, mode):
-    topic_log.create_topics(spark, cfg.log_dir, [ORDERS.topic])
+    topic_log.create_topics(spark, cfg.log_dir, [ORDERS])
     rows = topic_log.read_stream(spark, ORDERS, cfg)
     writer = rows.writeStream.format("parquet").outputMode(mode)
     with pytest.raises(AnalysisException):
