@@ -10,7 +10,10 @@ import argparse
 import logging
 import os
 
+from pyspark.sql import SparkSession
+
 from freshet.config import IngestConfig
+from freshet.jobs import log_to_console
 from freshet.registry import registry
 from freshet.session import build_session
 from freshet.streaming import runner
@@ -32,19 +35,20 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def main(argv: list[str] | None = None) -> None:
-    logging.basicConfig(level=logging.INFO)
+def main(argv: list[str] | None = None, session: SparkSession | None = None) -> None:
+    log_to_console()
     settings = vars(arguments(argv))
     specs = registry(settings.pop("prefix")).values()
     source = "topic_log" if settings["log_dir"] else "kafka"
     cfg = IngestConfig.from_env(os.environ, source=source, **settings)
-    spark = build_session("freshet-bronze", cfg.table_format)
+    spark = session or build_session("freshet-bronze", cfg.table_format)
     try:
         runner.run(spark, specs, cfg)
     except KeyboardInterrupt:
         logging.info("interrupted; all streams stopped")
     finally:
-        spark.stop()
+        if session is None:
+            spark.stop()
 
 
 if __name__ == "__main__":

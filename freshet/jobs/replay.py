@@ -9,8 +9,10 @@ from __future__ import annotations
 import argparse
 import logging
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from freshet.jobs import log_to_console
 from freshet.operators.replay import replay_records, replay_schedule
 from freshet.registry import registry
 from freshet.session import build_session, release_scratch
@@ -31,11 +33,11 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def main(argv: list[str] | None = None) -> None:
-    logging.basicConfig(level=logging.INFO)
+def main(argv: list[str] | None = None, session: SparkSession | None = None) -> None:
+    log_to_console()
     args = arguments(argv)
     specs = registry(args.prefix).values()
-    spark = build_session("freshet-replay")
+    spark = session or build_session("freshet-replay")
     try:
         records = replay_records(spark, specs, args.data_dir, stable_ids=not args.random_ids)
         if args.log_dir:
@@ -53,7 +55,8 @@ def main(argv: list[str] | None = None) -> None:
             logging.info("%s: %d records", topic, count)
     finally:
         release_scratch(spark)
-        spark.stop()
+        if session is None:
+            spark.stop()
 
 
 if __name__ == "__main__":

@@ -1,46 +1,43 @@
-import os
-import subprocess
-import sys
-from pathlib import Path
+import pytest
 
 from freshet import IngestConfig, registry
+from freshet.jobs import bronze, replay
 from freshet.operators import audit
+from freshet.sources.csv_records import MissingInputs
 
-ROOT = Path(__file__).resolve().parents[1]
+SPECS = registry("acme").values()
 
 
-def run_job(module, *args, **env):
-    conf = "--conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=4"
-    command = [sys.executable, "-m", module, *args]
-    settings = {"PYSPARK_SUBMIT_ARGS": f"--master local[4] {conf} pyspark-shell", **env}
-    done = subprocess.run(
-        command, cwd=ROOT, env={**os.environ, **settings}, capture_output=True, text=True, timeout=300
-    )
-    return done.returncode, done.stderr
+@pytest.fixture
+def folders(tmp_path, monkeypatch):
+    paths = {name: str(tmp_path / name) for name in ("raw", "log", "lake", "checkpoints")}
+    monkeypatch.setenv("LAKEHOUSE_PATH", paths["lake"])
+    monkeypatch.setenv("CHECKPOINT_PATH", paths["checkpoints"])
+    (tmp_path / "raw").mkdir()
+    return paths
 
 
-def test_replay_then_bronze(spark, tmp_path):
-    data, log, lake = (str(tmp_path / name) for name in ("raw", "log", "lake"))
-    Path(data).mkdir()
-    specs = registry("acme")
-    code, errors = run_job("freshet.jobs.replay", "--data-dir", data, "--log-dir", log, "--prefix", "acme")
-    assert code != 0 and all(spec.source_file in errors for spec in specs.values())
+def export(folder, spec, count=6):
+    rows = [",".join(spec.fields)]
+    rows += [",".join(f"{field}{i}" for field in spec.fields) for i in range(count)]
+    (folder / spec.source_file).write_text("\n".join(rows) + "\n")
 
-    for spec in specs.values():
-        rows = [",".join(spec.fields), *(",".join(f"{f}{i}" for f in spec.fields) for i in range(6))]
-        (Path(data) / spec.source_file).write_text("\n".join(rows) + "\n")
-    flags = ("--data-dir", data, "--log-dir", log, "--prefix", "acme", "--delay", "2")
-    code, errors = run_job("freshet.jobs.replay", *flags)
-    assert code == 0, errors
-    assert "acme.orders: 6 records" in errors
 
-    env = {"LAKEHOUSE_PATH": lake, "CHECKPOINT_PATH": str(tmp_path / "checkpoints")}
-    flags = ("--prefix", "acme", "--log-dir", log, "--available-now")
+def test_replay_then_bronze(spark, tmp_path, folders, caplog):
+    flags = ["--data-dir", folders["raw"], "--log-dir", folders["log"], "--prefix", "acme"]
+    with pytest.raises(MissingInputs) as error:
+        replay.main(flags, spark)
+    assert len(error.value.paths) == 5
+    for spec in SPECS:
+        export(tmp_path / "raw", spec)
+    with caplog.at_level("INFO"):
+        replay.main([*flags, "--delay", "2"], spark)
+    assert "acme.orders: 6 records" in caplog.text
+
     for _ in range(2):
-        code, errors = run_job("freshet.jobs.bronze", *flags, **env)
-        assert code == 0, errors
-    cfg = IngestConfig(lake, env["CHECKPOINT_PATH"])
-    for spec in specs.values():
+        bronze.main(["--prefix", "acme", "--log-dir", folders["log"], "--available-now"], spark)
+    cfg = IngestConfig(folders["lake"], folders["checkpoints"])
+    for spec in SPECS:
         rows = audit.read_bronze(spark, cfg, spec).collect()
         assert len(rows) == 6
         assert {r._topic for r in rows} == {spec.topic}
