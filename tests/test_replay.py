@@ -153,3 +153,12 @@ def test_sink_columns(spark, data_dir):
     placed = kafka.outgoing(records, specs, place_by_crc32=True)
     assert placed.columns == ["topic", "key", "value", "partition"]
     assert all(r.partition == zlib.crc32(bytes(r.key)) % 3 for r in placed.collect())
+
+
+@pytest.mark.parametrize("content", ["", "order_id,customer_id,product_id\n"])
+def test_empty_exports_replay_nothing(spark, tmp_path, content):
+    for spec in SPECS.values():
+        (tmp_path / spec.source_file).write_text(content)
+    records = replay.replay_records(spark, SPECS.values(), str(tmp_path))
+    sent = topic_log.append(records, str(tmp_path / "log"), SPECS.values())
+    assert sent == dict.fromkeys(SPECS, 0)
