@@ -121,7 +121,9 @@ def _spanning_records(lines: DataFrame, chunk_count: int) -> DataFrame:
         return F.coalesce(column, F.lit(0))
 
     chained = (
-        lines.select(*CHUNK, "n", "value", "blank", after_0.alias("a0"), after_1.alias("a1"))
+        # Chunk keys are never NULL; saying so lets both uses below share one shuffle.
+        lines.where(" and ".join(f"{key} is not null" for key in CHUNK))
+        .select(*CHUNK, "n", "value", "blank", after_0.alias("a0"), after_1.alias("a1"))
         # A line either fixes the state (a0 = a1), keeps it or flips it.
         .withColumn("fixes", F.col("a0") == F.col("a1"))
         .withColumn("flips", F.sum(F.when(~F.col("fixes"), F.col("a0")).otherwise(0)).over(so_far))
