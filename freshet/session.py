@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -70,12 +71,12 @@ _scratch: list[str] = []
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path for intermediate tables, visible to every executor.
 
-    It lies under ``spark.checkpoint.dir``. Where that is unset, only a local
-    session may fall back to a folder of this machine.
+    It lies under ``spark.checkpoint.dir``. Where that is unset, only a session
+    that is one process (``local[n]``) may fall back to a folder of this machine.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = _local_scratch()
     path = f"{shared.rstrip('/')}/freshet/{label}-{uuid.uuid4().hex}"
