@@ -5,8 +5,58 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshet.llm.fingerprints import fingerprint_documents
 from freshet.llm.kd_shards import shard_documents
+from freshet.llm.language_id import identify_languages
+from freshet.llm.minhash import near_duplicates
+from freshet.llm.mixing import mix_documents
+from freshet.llm.packing import pack_documents
+from freshet.llm.pii import find_personal_data
 from freshet.llm.staging import documents
+from freshet.llm.token_files import read_token_files, write_token_files
+from freshet.session import scratch_dir
+
+
+def vocabulary_file(name: str) -> str:
+    """Where this machine keeps a public vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = vocabulary_file("word_bpe_49k.json")
+    return pack_documents(spark, documents(spark, sf_dir), tokenizer, end_id=1, capacity=4096)
+
+
+def crf_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(documents(spark, sf_dir))
+
+
+def circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark, documents(spark, sf_dir), percent=75, bands=50, rows=5)
+
+
+def rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(spark, documents(spark, sf_dir))
+
+
+def entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_documents(spark, documents(spark, sf_dir), weights=(3, 1, 2), share=1.5, limit=2)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def quartile_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(spark, documents(spark, sf_dir))
+
+
+def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "token-files")
+    tokenizer = vocabulary_file("byte_bpe_50k.json")
+    docs = documents(spark, sf_dir)
+    write_token_files(spark, docs, path, tokenizer, vocabulary=50_257, end_id=2)
+    read = read_token_files(spark, path)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +73,55 @@ def kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_best_two_fit_packing": best_two_fit_packing,
+    "op2_crf_personal_data": crf_personal_data,
+    "op3_circulant_minhash": circulant_minhash,
+    "op4_rank_order_language": rank_order_language,
+    "op5_entropy_mixing": entropy_mixing,
+    "op7_quartile_fingerprints": quartile_fingerprints,
     "op9_kd_sharding": kd_sharding,
+    "op10_token_id_files": token_id_files,
 }
 
-ORACLES: dict[str, str] = {}
+# Brute force: all pairs of distinct word sequences that share a shingle, by counting.
+# Reachability grows one link a turn from every document, which suits a few hundred
+# linked documents.
+CIRCULANT_MINHASH = r"""
+with recursive words as (
+  select doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') as w
+  from documents
+), shingles as (
+  select distinct doc_id,
+         unnest(case when len(w) = 0 then []
+                     when len(w) < 5 then [array_to_string(w, ' ')]
+                     else list_transform(range(1, len(w) - 3),
+                                         lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
+  from words
+), sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c
+  from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id
+), links as (
+  select c.a, c.b from common c join sizes x on x.doc_id = c.a join sizes y on y.doc_id = c.b
+  where 100 * c.c >= 75 * (x.n + y.n - c.c)
+), reach(a, b) as (
+  select a, b from links
+  union
+  select r.a, l.b from reach r join links l on l.a = r.b
+), least_reached as (
+  select a as doc_id, min(b) as b from reach group by a
+)
+select d.doc_id, coalesce(n, 0) as n_shingles,
+       least(d.doc_id, coalesce(b, d.doc_id)) as component_id,
+       d.doc_id = least(d.doc_id, coalesce(b, d.doc_id)) as kept
+from documents d left join sizes using (doc_id) left join least_reached using (doc_id)
+"""
+
+ORACLES = {
+    "op3_circulant_minhash": CIRCULANT_MINHASH,
+}

@@ -113,11 +113,12 @@ def _level(rows: DataFrame, dims: list[str], extents: list[tuple[int, int]]) ->
 def kd_leaves(rows: DataFrame, dims: list[str], depth: int) -> DataFrame:
     """Add ``leaf`` (0 to 2^depth - 1) to rows with ``size``, ``mix`` and long ``dims``.
 
-    The rows should be a staged table: each level scans it some six times.
+    The rows should be a staged table, in which ``node`` is 1, the root: each level
+    scans it some six times.
     """
     ends = rows.agg(*(f(d).alias(f"{f.__name__}_{d}") for d in dims for f in (F.min, F.max)))
     found = ends.first()
-    placed = rows.withColumn("node", F.lit(1).cast("long"))
+    placed = rows
     if found[0] is None:
         return placed.withColumn("leaf", F.lit(0)).drop("node")
     extents = [(found[f"min_{d}"], found[f"max_{d}"]) for d in dims]
@@ -149,6 +150,7 @@ def shard_documents(
         category("source").alias("source_code"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id_code"),
         mixed_id(F.col("doc_id").cast("long")).alias("mix"),
+        F.lit(1).cast("long").alias("node"),
     )
     points = staged(spark, points, "kd-points")
     dims = ["size", "lang_code", "source_code", "id_code"]

@@ -2,21 +2,63 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from freshet.session import scratch_dir
 
 
-def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once per application.
+
+    Tasks import it, so that what a worker has learned (words, models) outlives a task.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = f"{tempfile.mkdtemp()}/{package.name}.zip"  # the driver serves it to all others
+    with zipfile.ZipFile(archive, "w") as out:
+        for module in sorted(package.rglob("*.py")):
+            out.write(module, module.relative_to(package.parent))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
+def staged(
+    spark: SparkSession, df: DataFrame, label: str, compression: str = "snappy"
+) -> DataFrame:
     """Write a frame to the shared scratch folder and return a scan of it.
 
     Cuts the lineage with files that outlive any executor, so that a later step
     neither repeats the work nor sees rows in another order.
     """
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(
+    spark: SparkSession, df: DataFrame, key: str, label: str
+) -> tuple[DataFrame, str]:
+    """Stage a frame that is joined on its key again and again; also the table's name.
+
+    It is shuffled once, here: joins on the key find it bucketed. Drop the table once
+    it is no longer read; its files lie in the scratch folder like any others.
+    """
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{label}_{uuid.uuid4().hex}".replace("-", "_")
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    writer.option("path", scratch_dir(spark, label)).format("parquet").saveAsTable(name)
+    return spark.table(name), name
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
