@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshet.llm.embedding_links import link_vectors
 from freshet.llm.fingerprints import fingerprint_documents
 from freshet.llm.kd_shards import shard_documents
 from freshet.llm.language_id import identify_languages
@@ -50,6 +51,10 @@ def quartile_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(spark, documents(spark, sf_dir))
 
 
+def cover_tree_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.98)
+
+
 def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-files")
     tokenizer = vocabulary_file("byte_bpe_50k.json")
@@ -79,6 +84,7 @@ QUERIES = {
     "op4_rank_order_language": rank_order_language,
     "op5_entropy_mixing": entropy_mixing,
     "op7_quartile_fingerprints": quartile_fingerprints,
+    "op8_cover_tree_links": cover_tree_links,
     "op9_kd_sharding": kd_sharding,
     "op10_token_id_files": token_id_files,
 }
@@ -122,6 +128,34 @@ select d.doc_id, coalesce(n, 0) as n_shingles,
 from documents d left join sizes using (doc_id) left join least_reached using (doc_id)
 """
 
+COVER_TREE_LINKS = """
+with recursive vectors as (
+  select vec_id, label, embedding::double[] as e from embeddings
+), usable as (
+  select vec_id, label, e from vectors
+  where label is not null and e is not null and len(list_filter(e, lambda x: x <> 0)) > 0
+    and len(list_filter(e, lambda x: x is null or isnan(x) or isinf(x))) = 0
+), links as (
+  select a.vec_id as a, b.vec_id as b
+  from usable a join usable b
+    on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.e, b.e) >= 0.98
+), reach(a, b) as (
+  select a, b from links
+  union
+  select r.a, l.b from reach r join links l on l.a = r.b
+), least_reached as (
+  select a as vec_id, min(b) as b from reach group by a
+), counted as (
+  select a as vec_id, count(*) as n from links group by a
+)
+select v.vec_id, coalesce(n, 0) as n_links,
+       least(v.vec_id, coalesce(b, v.vec_id)) as component_id,
+       v.vec_id = least(v.vec_id, coalesce(b, v.vec_id)) as kept
+from vectors v left join counted using (vec_id) left join least_reached using (vec_id)
+"""
+
 ORACLES = {
+    "op8_cover_tree_links": COVER_TREE_LINKS,
     "op3_circulant_minhash": CIRCULANT_MINHASH,
 }
