@@ -13,6 +13,12 @@ class IngestConfig:
     ``source`` is ``kafka`` or ``topic_log``; ``table_format`` is ``parquet`` or
     ``delta``. The rate limits are unset by default, as a first run then takes
     the whole backlog in one batch; set them for a large backlog.
+
+    ``fail_on_data_loss`` left open means: a topic log fails where files are gone; a
+    broker, whose topics expire by design, does not. ``max_file_age`` is how far a log
+    file's time may lie behind the newest: files beyond it would be skipped without a
+    word, so the default skips none. The price is an entry per file in the driver's
+    memory; shorten it for logs whose old files are known to be read.
     """
 
     lakehouse: str
@@ -22,16 +28,17 @@ class IngestConfig:
     log_dir: str | None = None
     table_format: str = "parquet"
     starting_offsets: str = "earliest"
-    fail_on_data_loss: bool = False
+    fail_on_data_loss: bool | None = None
     trigger_seconds: float = 30
     available_now: bool = False
     max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
     max_files_per_trigger: int | None = None
     max_bytes_per_trigger: str | None = None
+    max_file_age: str = "36500d"
     keep_raw: bool = False
-    # Gather each date's rows into few files; adds one shuffle per batch.
-    compact_dates: bool = False
+    # Gather each date's rows into few files, at one shuffle per batch.
+    compact_dates: bool = True
 
     def __post_init__(self) -> None:
         if self.source not in ("kafka", "topic_log"):
@@ -41,6 +48,12 @@ class IngestConfig:
         if self.table_format not in ("parquet", "delta"):
             raise ValueError(f"unknown table format {self.table_format!r}")
 
+    @property
+    def fails_on_data_loss(self) -> bool:
+        if self.fail_on_data_loss is None:
+            return self.source == "topic_log"
+        return self.fail_on_data_loss
+
     def table_path(self, table: str) -> str:
         return f"{self.lakehouse}/bronze/{table}"
 
@@ -49,6 +62,8 @@ class IngestConfig:
 
     def at_replay_rate(self, delay_seconds: float) -> "IngestConfig":
         """Read broker topics no faster than one row per ``delay_seconds`` and topic."""
+        if self.source != "kafka":
+            raise ValueError("a topic log is read by files or bytes per trigger, not by rows")
         rows = max(1, round(self.trigger_seconds / delay_seconds))
         return replace(self, max_offsets_per_trigger=rows)
 

@@ -62,36 +62,45 @@ def offset_gap_ranges(bronze: DataFrame, block: int = GAP_BLOCK) -> DataFrame:
     """Every run of missing offsets, as first and last missing offset.
 
     Offsets are compared with their predecessor inside blocks of ``block``
-    offsets. Each block goes on as one run from its lowest to its highest
-    offset; runs are compared inside wider blocks, and what is left of those
-    across a whole partition. So no window sees many rows, be offsets dense or
-    sparse.
+    offsets, in the one shuffle that all rows take. Each block goes on as one run from
+    its lowest to its highest offset; runs are compared inside blocks of ``block``
+    squared, and what is left of those across a whole partition. So no window sees
+    many rows, be offsets dense or sparse, if ``block`` is not chosen small: the last
+    window has a row per ``block`` squared offsets.
     """
+    if block < 2:
+        raise ValueError("a block needs at least two offsets")
     log = ["_kafka_topic", "_kafka_partition"]
     offset = F.col("_kafka_offset")
-    runs = bronze.select(*log, offset.alias("low"), offset.alias("high")).distinct()
-    steps = []
+    runs = bronze.select(*log, offset.alias("low"), offset.alias("high"))
+    gaps = []
     for width in (block, block * block):
-        runs = runs.withColumn("block", F.expr(f"low div {width}"))
-        steps.append(_steps(runs, [*log, "block"]).select(*log, "before", "after"))
+        steps = _steps(runs.withColumn("block", F.expr(f"low div {width}")), [*log, "block"])
+        gaps.append(steps.where(GAP).select(*log, "before", "low"))
+        # The first and last run of a block lie where the window has put them: no shuffle.
         ends = F.min("low").alias("low"), F.max("high").alias("high")
-        runs = runs.groupBy(*log, "block").agg(*ends)
-    steps.append(_steps(runs, log))
-    return (
-        reduce(DataFrame.unionByName, steps)
-        .where("after - before > 1")
-        .select(
-            *log,
-            (F.col("before") + 1).alias("first_missing"),
-            (F.col("after") - 1).alias("last_missing"),
-        )
+        runs = steps.where("before is null or following is null").groupBy(*log, "block").agg(*ends)
+    gaps.append(_steps(runs, log).where(GAP).select(*log, "before", "low"))
+    return reduce(DataFrame.unionByName, gaps).select(
+        *log,
+        (F.col("before") + 1).alias("first_missing"),
+        (F.col("low") - 1).alias("last_missing"),
     )
 
 
+GAP = "low - before > 1"
+
+
 def _steps(runs: DataFrame, within: list[str]) -> DataFrame:
-    """Where each run begins, and where the one before it in its group ended."""
-    previous = F.lag("high").over(Window.partitionBy(*within).orderBy("low"))
-    return runs.select(*within, previous.alias("before"), F.col("low").alias("after"))
+    """Runs with the end of the one before them in their group, and the start of the next."""
+    order = Window.partitionBy(*within).orderBy("low")
+    return runs.select(
+        *within,
+        "low",
+        "high",
+        F.lag("high").over(order).alias("before"),
+        F.lead("low").over(order).alias("following"),
+    )
 
 
 def topic_mismatch(bronze: DataFrame) -> DataFrame:
@@ -117,7 +126,10 @@ def ingest_lag(bronze: DataFrame) -> DataFrame:
             F.count("*").alias("rows"),
             F.count("lag").alias("timed"),
             F.min("lag").alias("min_lag_us"),
-            F.avg("lag").alias("avg_lag_us"),
+            # An exact sum, so that the mean does not depend on the order of rows.
+            (F.sum(F.col("lag").cast("decimal(38,0)")).cast("double") / F.count("lag")).alias(
+                "avg_lag_us"
+            ),
             F.max("lag").alias("max_lag_us"),
         )
     )

@@ -6,6 +6,7 @@ their form. Queries that stream write their log and tables to scratch folders.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -13,14 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.config import IngestConfig
-from freshet.functions import key_partition, utf8
+from freshet.functions import bronze_date, ingested_at, ingested_instant, key_partition, utf8
 from freshet.operators import audit, replay
 from freshet.operators.bronze import parse_bronze, quarantine
 from freshet.plans.feeds import EVENTS, FEEDS, SPECS, Feed, feed_records, payload_rows, table
 from freshet.registry import RECORD_SCHEMA, TopicSpec, registry
-from freshet.session import scratch_dir
+from freshet.session import list_folder, located_file, qualified, scratch_dir
 from freshet.sources import topic_log
-from freshet.sources.csv_records import FILE, ORDINAL, read_csv
+from freshet.sources.csv_records import FILE, ORDINAL, MissingInputs, read_csv, require_inputs
 from freshet.streaming import runner
 from freshet.streaming.dedup import dedup_stream
 
@@ -71,6 +72,13 @@ def stream_config(spark: SparkSession, **settings) -> IngestConfig:
     )
 
 
+def back_date(spark: SparkSession, path: str, days: int) -> None:
+    """Set a file's time back, as restored or copied files have it."""
+    files, located = located_file(spark, path)
+    modified = files.getFileStatus(located).getModificationTime()
+    files.setTimes(located, modified - days * 86_400_000, -1)
+
+
 def logged(spark: SparkSession, sf_dir: str, cfg: IngestConfig, names: list[str]) -> None:
     for name in names:
         topic_log.write_records(feed_records(spark, sf_dir, FEEDS[name]), cfg.log_dir)
@@ -113,23 +121,88 @@ def bronze_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(audit.bronze_day(spark, cfg, EVENTS, "2024-01-03"))
 
 
-def dedup_on_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event ids that pass the stream's duplicate removal."""
+def bronze_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries; the files of the second are dated ten days before the first."""
+    cfg = stream_config(spark)
+    orders = feed_records(spark, sf_dir, FEEDS["orders"])
+    early = F.col("timestamp") < F.lit("2024-01-04T00:00:00+00:00").cast("timestamp")
+    topic_log.write_records(orders.where(early), cfg.log_dir)
+    runner.run(spark, [SPECS["orders"]], cfg)
+    folder = topic_log.topic_path(cfg.log_dir, SPECS["orders"].topic)
+    known = set(list_folder(spark, folder))
+    topic_log.write_records(orders.where(~early), cfg.log_dir)
+    for path in set(list_folder(spark, folder)) - known:
+        back_date(spark, path, days=10)
+    runner.run(spark, [SPECS["orders"]], cfg)
+    return portable(audit.read_bronze(spark, cfg, SPECS["orders"]))
+
+
+def bronze_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by a stream that looks for new files every second, stopped once all are in."""
+    cfg = dataclasses.replace(stream_config(spark), available_now=False, trigger_seconds=1)
+    logged(spark, sf_dir, cfg, ["orders"])
+    (query,) = runner.start_all(spark, [SPECS["orders"]], cfg)
+    try:
+        query.processAllAvailable()
+    finally:
+        runner.stop_all([query])
+    return portable(audit.read_bronze(spark, cfg, SPECS["orders"]))
+
+
+def progress_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and rows without event id that the streams report, batch by batch of one file."""
+    cfg = stream_config(spark, max_files_per_trigger=1)
+    specs = list(registry().values())
+    for spec in specs:
+        records = feed_records(spark, sf_dir, FEEDS[spec.table])
+        topic_log.write_records(records.repartition(3, "partition"), cfg.log_dir)
+    progress = runner.run(spark, specs, cfg)
+    lines = [(name, rows, progress.unparsed[name]) for name, rows in progress.rows.items()]
+    return spark.createDataFrame(lines, "stream string, rows long, without_event_id long")
+
+
+def deduplicated(spark: SparkSession, deliveries: list[DataFrame]) -> DataFrame:
+    """What passes the stream's duplicate removal when rows come in several deliveries."""
     cfg = stream_config(spark)
     base = scratch_dir(spark, "copies")
-    copied_orders(spark, sf_dir).write.parquet(f"{base}/in")
-    copies = spark.readStream.schema(SPECS["orders"].bronze_schema).parquet(f"{base}/in")
-    query = (
-        dedup_stream(copies, "30 days")
-        .select("_event_id")
-        .writeStream.format("parquet")
-        .option("path", f"{base}/out")
-        .option("checkpointLocation", cfg.checkpoint_path("dedup"))
-        .trigger(availableNow=True)
-        .start()
+    for rows in deliveries:
+        rows.write.mode("append").parquet(f"{base}/in")
+        copies = spark.readStream.schema(SPECS["orders"].bronze_schema).parquet(f"{base}/in")
+        query = (
+            dedup_stream(copies, "30 days")
+            .writeStream.format("parquet")
+            .option("path", f"{base}/out")
+            .option("checkpointLocation", cfg.checkpoint_path("dedup"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        runner.await_all(spark, [query])
+    return spark.read.schema(SPECS["orders"].bronze_schema).parquet(f"{base}/out")
+
+
+def dedup_on_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event ids that pass the stream's duplicate removal."""
+    return deduplicated(spark, [copied_orders(spark, sf_dir)]).select("_event_id")
+
+
+def dedup_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries: records dated 40 days on, others never seen before, then copies.
+
+    Ids and topics are compared, and that each row still has its position.
+    """
+    copies = copied_orders(spark, sf_dir)
+    first = F.col("_kafka_offset") < COPY_STEP
+    ahead = F.col("_kafka_timestamp") + F.expr("interval 40 days")
+    odd = F.col("order_id").cast("bigint") % 2 == 1
+    passed = deduplicated(
+        spark,
+        [
+            copies.where(first & odd).withColumn("_kafka_timestamp", ahead),
+            copies.where(first & ~odd),
+            copies.where(~first),
+        ],
     )
-    runner.await_all(spark, [query])
-    return spark.read.schema("_event_id string").parquet(f"{base}/out")
+    return passed.select("_event_id", "_topic", F.col("_kafka_offset").isNotNull().alias("placed"))
 
 
 # -- replay ------------------------------------------------------------------
@@ -156,6 +229,51 @@ def event_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("record_key", "topic", "v.*")
 
 
+def event_ids_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one name in two folders, whose fields differ only in where a bar stands."""
+    path = scratch_dir(spark, "csv")
+    customers = table(spark, sf_dir, "customer").select(
+        F.explode(F.array(F.lit(1), F.lit(2))).alias("day"), F.col("c_name").alias("name")
+    )
+    bar = F.col("day") == 1
+    customers.select(
+        "day",
+        F.when(bar, F.concat("name", F.lit("|x"))).otherwise(F.col("name")).alias("customer_id"),
+        F.when(bar, F.lit("y")).otherwise(F.lit("x|y")).alias("customer_city"),
+    ).write.partitionBy("day").option("header", True).csv(path)
+    rows = read_csv(spark, path, quoted_newlines=False)
+    ids = replay.enrich(rows, "shop.customers", F.lit(STAMP), root=qualified(spark, path))
+    return ids.agg(F.count("*").alias("rows"), F.countDistinct("_event_id").alias("event_ids"))
+
+
+def missing_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export per market segment, of which only the first few are delivered."""
+    path = scratch_dir(spark, "exports")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    delivered = customers.where("c_mktsegment < 'H'").withColumn("segment", F.col("c_mktsegment"))
+    delivered.write.partitionBy("segment").csv(path)
+    segments = customers.select("c_mktsegment").distinct().collect()  # a handful
+    try:
+        require_inputs(spark, [f"{path}/segment={r.c_mktsegment}" for r in segments])
+        absent = []
+    except MissingInputs as error:
+        absent = [(p.rsplit("=", 1)[-1],) for p in error.paths]
+    return spark.createDataFrame(absent, "missing string")
+
+
+def ingested_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The time of ingestion, read back: its form, its date, and that it is now."""
+    stamped = table(spark, sf_dir, "events").select("event_id", ingested_at().alias("stamp"))
+    written = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{6}\+00:00$"
+    age = F.unix_seconds(F.current_timestamp()) - F.unix_seconds(ingested_instant(F.col("stamp")))
+    return stamped.select(
+        "event_id",
+        F.col("stamp").rlike(written).alias("in_form"),
+        (bronze_date(F.col("stamp")).cast("string") == F.left("stamp", F.lit(10))).alias("same_date"),
+        age.between(0, 60).alias("now"),
+    )
+
+
 def record_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys from a field, from a field that is sometimes NULL, and from none."""
     rows = table(spark, sf_dir, "orders").select(
@@ -429,9 +547,15 @@ QUERIES: dict[str, Query] = {
     "bronze_orders_stream": streamed_orders,
     "bronze_orders_compact": partial(streamed_orders, compact_dates=True),
     "bronze_resume": bronze_resume,
+    "bronze_late_files": bronze_late_files,
+    "bronze_trigger": bronze_trigger,
     "bronze_all_topics": bronze_all_topics,
+    "progress_totals": progress_totals,
     "bronze_day": bronze_day,
     "event_envelope": event_envelope,
+    "event_ids_per_file": event_ids_per_file,
+    "missing_inputs": missing_inputs,
+    "ingested_stamp": ingested_stamp,
     "record_keys": record_keys,
     "key_partitions": key_partitions,
     "replay_schedule": replay_schedule,
@@ -444,6 +568,7 @@ QUERIES: dict[str, Query] = {
     "duplicate_events": duplicate_events,
     "dedup_events": dedup_events,
     "dedup_stream": dedup_on_stream,
+    "dedup_stream_late": dedup_late,
     "offset_gaps": offset_gaps,
     "offset_gap_ranges": offset_gap_ranges,
     "topic_mismatch": topic_mismatch,

@@ -68,8 +68,8 @@ def envelope_sql() -> str:
     feed = FEEDS["events"]
     mapped = field_sql(feed)
     digest = (
-        f"md5(concat_ws('|', '{feed.spec.topic}', 'events.parquet', cast(event_id as varchar),"
-        f" {', '.join(mapped.values())}))"
+        f"md5(cast(to_json(['{feed.spec.topic}', 'events.parquet', cast(event_id as varchar),"
+        f" {', '.join(mapped.values())}]) as varchar))"
     )
     fields = ", ".join(f"{sql} as {f}" for f, sql in mapped.items())
     return f"""
@@ -150,11 +150,24 @@ ORACLES: dict[str, str] = {
     "bronze_orders_stream": bronze_sql("orders"),
     "bronze_orders_compact": bronze_sql("orders"),
     "bronze_resume": bronze_sql("orders"),
+    "bronze_late_files": bronze_sql("orders"),
+    "bronze_trigger": bronze_sql("orders"),
+    "progress_totals": " union all ".join(
+        f"select 'bronze_{spec.table}' as stream, count(*) as rows,"
+        f" cast(0 as bigint) as without_event_id from {FEEDS[spec.table].source}"
+        for spec in registry().values()
+    ),
     "bronze_all_topics": " union all ".join(
         counts_by_day_sql(spec.table) for spec in registry().values()
     ),
     "bronze_day": f"select * from ({bronze_sql('events')}) where _bronze_date = '2024-01-03'",
     "event_envelope": envelope_sql(),
+    "event_ids_per_file": """
+        select 2 * count(*) as rows, 2 * count(*) as event_ids from customer""",
+    "missing_inputs": """
+        select distinct c_mktsegment as missing from customer where c_mktsegment >= 'H'""",
+    "ingested_stamp": """
+        select event_id, true as in_form, true as same_date, true as now from events""",
     "record_keys": """
         select cast(o_orderkey as varchar) as order_id, cast(o_orderkey as varchar) as key_present,
                coalesce(nullif(o_orderstatus, 'P'), cast(o_orderkey as varchar)) as key_nullable,
@@ -205,6 +218,8 @@ ORACLES: dict[str, str] = {
         qualify row_number() over (
             partition by _event_id order by _kafka_topic, _kafka_partition, _kafka_offset) = 1""",
     "dedup_stream": f"select distinct _event_id from ({COPIES})",
+    "dedup_stream_late": f"""
+        select distinct _event_id, 'shop.orders' as _topic, true as placed from ({COPIES})""",
     "offset_gaps": f"""
         select _kafka_topic, _kafka_partition, min(_kafka_offset) as first_offset,
                max(_kafka_offset) as last_offset, count(distinct _kafka_offset) as offsets,

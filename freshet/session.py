@@ -6,6 +6,9 @@ import functools
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -19,6 +22,8 @@ SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Reports of batches kept for the running totals between two polls.
+    "spark.sql.streaming.numRecentProgressUpdates": "10000",
 }
 
 DELTA_SETTINGS = {
@@ -43,7 +48,7 @@ def build_session(app_name: str = "freshet", table_format: str = "parquet") -> S
     return builder.getOrCreate()
 
 
-def _located(spark: SparkSession, path: str):
+def located_file(spark: SparkSession, path: str):
     """The file system a path lies on, and the path in its terms."""
     located = spark._jvm.org.apache.hadoop.fs.Path(path)
     conf = spark._jsparkSession.sessionState().newHadoopConf()
@@ -51,12 +56,28 @@ def _located(spark: SparkSession, path: str):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, located = _located(spark, path)
+    files, located = located_file(spark, path)
     return files.exists(located)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as Spark names files."""
+    files, located = located_file(spark, path)
+    return files.makeQualified(located).toString()
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    files, located = located_file(spark, path)
+    return [status.getPath().toString() for status in files.listStatus(located)]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, located = located_file(spark, path)
+    files.delete(located, True)
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
-    files, located = _located(spark, path)
+    files, located = located_file(spark, path)
     files.mkdirs(located)
 
 
@@ -65,7 +86,8 @@ def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="freshet-")
 
 
-_scratch: list[str] = []
+# The scratch folders of the scope this code runs in; outside of one they are kept.
+_scope: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -80,12 +102,22 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = _local_scratch()
     path = f"{shared.rstrip('/')}/freshet/{label}-{uuid.uuid4().hex}"
-    _scratch.append(path)
+    if (made := _scope.get()) is not None:
+        made.append(path)
     return path
 
 
-def release_scratch(spark: SparkSession) -> None:
-    """Delete the intermediate tables made so far; frames over them end with them."""
-    while _scratch:
-        files, located = _located(spark, _scratch.pop())
-        files.delete(located, True)
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch folders made within, and only those, at the end.
+
+    Frames over them end with it. Threads started within need a copy of the context.
+    """
+    made: list[str] = []
+    token = _scope.set(made)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in made:
+            remove_folder(spark, path)

@@ -20,9 +20,6 @@ from freshet.session import path_exists, scratch_dir
 # Broadcast chunk totals up to this many rows (about 100 MB); join by shuffle beyond.
 BROADCAST_CHUNKS = 500_000
 CHUNK_BITS = 20
-# A record may fill whole chunks up to this many characters before it counts as
-# an unclosed quote, which would otherwise gather the rest of its file.
-RECORD_LIMIT = 1 << 27
 
 FILE, ORDINAL = "__file", "__ordinal"
 CHUNK = [FILE, "block", "part"]
@@ -52,18 +49,43 @@ def leaves_quote_open(line: Column) -> Column:
     return F.contains(line, F.lit('"')) & unclosed
 
 
+def text_after_quote(record: Column) -> Column:
+    """Whether a quoted field goes on after its closing quote, as in ``"x"y``.
+
+    Goes from quote to quote. A quote opens a field if only a comma or nothing stands
+    before it; inside, it closes the field unless another quote follows at once.
+    """
+    between = F.split(record, '"', -1)
+    start = F.struct(F.lit(0).alias("state"), F.lit(False).alias("bad"))
+    outside, inside, closed = F.lit(0), F.lit(1), F.lit(2)
+
+    def step(seen: Column, k: Column) -> Column:
+        before = F.get(between, k)
+        state = seen["state"]
+        doubled = (state == closed) & (before == "")
+        opens = F.endswith(before, F.lit(",")) | ((k == 0) & (before == ""))
+        stray = (state == closed) & (before != "") & ~F.startswith(before, F.lit(","))
+        after = F.when(state == inside, closed).when(doubled | opens, inside).otherwise(outside)
+        return F.struct(after.alias("state"), (seen["bad"] | stray).alias("bad"))
+
+    quotes = F.sequence(F.lit(0), F.size(between) - 2)
+    end = F.aggregate(quotes, start, step)
+    rest = F.get(between, F.size(between) - 1)
+    open_end = (end["state"] == closed) & (rest != "") & ~F.startswith(rest, F.lit(","))
+    return end["bad"] | open_end
+
+
 def _without_return(column: str) -> Column:
     shorter = F.expr(f"left({column}, length({column}) - 1)")
     return F.when(F.endswith(column, F.lit("\r")), shorter).otherwise(F.col(column))
 
 
-def _stage_lines(spark: SparkSession, path: str, skip_blank: bool) -> DataFrame:
+def _stage_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines in a scratch table; ``n`` counts the lines of a block without gaps."""
     blank = F.col("value").isin("", "\r")
     lines = (
         spark.read.option("lineSep", "\n")
         .text(path)
-        .where(~blank if skip_blank else F.lit(True))
         .select(
             "value",
             F.col("_metadata.file_path").alias(FILE),
@@ -92,17 +114,35 @@ def _totals(lines: DataFrame) -> DataFrame:
     )
 
 
-def _one_line_records(lines: DataFrame, totals: DataFrame, chunk_count: int) -> DataFrame:
+def _one_line_records(
+    lines: DataFrame, totals: DataFrame, chunk_count: int, blanks: bool
+) -> DataFrame:
+    """Every line is a record, but for blank ones.
+
+    Only the lines of chunks that have blank ones are counted anew, in a window of their
+    chunk; all others keep the number they were written with.
+    """
     before = Window.partitionBy(FILE).orderBy("block", "part")
     before = before.rowsBetween(Window.unboundedPreceding, -1)
+    filled = F.col("rows") - F.col("blanks")
     chunks = totals.select(
-        *CHUNK, "first", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("prefix")
-    )
-    return _join_chunks(lines, chunks, chunk_count).select(
-        _without_return("value").alias("record"),
-        FILE,
-        (F.col("prefix") + F.col("n") - F.col("first") - 1).alias(ORDINAL),
+        *CHUNK, "first", "blanks", F.coalesce(F.sum(filled).over(before), F.lit(0)).alias("prefix")
     )
+    placed = _join_chunks(lines, chunks, chunk_count)
+    nth = F.col("n") - F.col("first")
+
+    def records(rows: DataFrame, nth: Column) -> DataFrame:
+        return rows.select(
+            _without_return("value").alias("record"),
+            FILE,
+            (F.col("prefix") + nth - 1).alias(ORDINAL),
+        )
+
+    if not blanks:
+        return records(placed, nth)
+    rank = F.row_number().over(Window.partitionBy(*CHUNK).orderBy("n"))
+    mixed = placed.where("blanks > 0 and not blank").withColumn("rank", rank - 1)
+    return records(placed.where("blanks = 0"), nth).unionByName(records(mixed, F.col("rank")))
 
 
 def _spanning_records(lines: DataFrame, chunk_count: int) -> DataFrame:
@@ -149,14 +189,14 @@ def _spanning_records(lines: DataFrame, chunk_count: int) -> DataFrame:
     until = by_chunk.rowsBetween(Window.unboundedPreceding, 0)
     before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
     enters = F.col("enters")
-    too_long = F.raise_error(F.concat(F.lit("a quote is never closed in "), FILE)).cast("bigint")
+    never = F.raise_error(F.concat(F.lit("a quote is never closed in "), FILE)).cast("bigint")
+    whole_file = by_chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     chunks = (
         counted.groupBy(*CHUNK)
         .agg(
             F.max_by(F.struct("known", "shift", "begun_0", "begun_1"), "n").alias("end"),
-            F.sum(F.length("value")).alias("chars"),
         )
-        .select(*CHUNK, "chars", "end.*")
+        .select(*CHUNK, "end.*")
         .withColumn("flips", F.sum(F.when(F.col("known"), 0).otherwise(F.col("shift"))).over(until))
         .withColumn("fix", F.when(F.col("known"), F.struct("shift", "flips")))
         .withColumn("fixed", F.last("fix", ignorenulls=True).over(until))
@@ -164,14 +204,12 @@ def _spanning_records(lines: DataFrame, chunk_count: int) -> DataFrame:
         .withColumn("enters", F.lag("leaves", 1, 0).over(by_chunk))
         .withColumn("rows", F.when(enters == 1, F.col("begun_1")).otherwise(F.col("begun_0")))
         .withColumn("prefix", F.coalesce(F.sum("rows").over(before), F.lit(0)))
-        # Characters of the chunks since a record last began.
-        .withColumn("filled", F.sum("chars").over(until))
-        .withColumn("begun", F.last(F.when(F.col("rows") > 0, F.col("filled")), True).over(until))
-        .withColumn("run", F.col("filled") - none("begun"))
+        # A file that ends inside quotes is refused here, before its lines are gathered.
+        .withColumn("ends", F.last("leaves").over(whole_file))
         .select(
             *CHUNK,
             "enters",
-            F.when(F.col("run") > RECORD_LIMIT, too_long).otherwise(F.col("prefix")).alias("prefix"),
+            F.when(F.col("ends") == 1, never).otherwise(F.col("prefix")).alias("prefix"),
         )
     )
 
@@ -212,7 +250,13 @@ def _header(lines: DataFrame) -> list[str]:
         raise ValueError("files differ in their headers")
     if firsts and firsts[0].opens:
         raise ValueError("a header may not run over several lines")
-    return next(csv.reader([f.value.rstrip("\r") for f in firsts]), [])
+    names = next(csv.reader([f.value.rstrip("\r") for f in firsts]), [])
+    spellings: dict[str, set[str]] = {}
+    for name in names:
+        spellings.setdefault(name.lower(), set()).add(name)
+    if alike := [sorted(s) for s in spellings.values() if len(s) > 1]:
+        raise ValueError(f"header names differ in case only: {alike}")
+    return names
 
 
 def _split_records(records: DataFrame, names: list[str]) -> DataFrame:
@@ -224,10 +268,14 @@ def _split_records(records: DataFrame, names: list[str]) -> DataFrame:
         "columnNameOfCorruptRecord": "corrupt",
     }
     quoted = F.contains("record", F.lit('"'))
+    refused = F.raise_error(
+        F.concat(F.lit("text after a closing quote in "), FILE, F.lit(", row "), ORDINAL)
+    ).cast("string")
+    record = F.when(text_after_quote(F.col("record")), refused).otherwise(F.col("record"))
     split = records.where(f"{ORDINAL} >= 0").select(
         FILE,
         ORDINAL,
-        F.when(quoted, F.from_csv("record", F.lit(schema), options)).alias("row"),
+        F.when(quoted, F.from_csv(record, F.lit(schema), options)).alias("row"),
         F.when(~quoted, F.split("record", ",", -1)).alias("fields"),
     )
     # Rows of another width than the header come back as corrupt; count their fields.
@@ -256,18 +304,16 @@ def read_csv(spark: SparkSession, path: str, quoted_newlines: bool = True) -> Da
     order; blank lines do not count. Empty fields are empty strings, fields
     missing at a row's end are NULL, fields beyond the header are left out, and
     a repeated header name takes its last column. ``quoted_newlines=False``
-    declares that every line is a record.
+    declares that every line is a record. Refused are files that end inside quotes,
+    rows with text after a closing quote, and header names that differ in case only.
     """
-    lines = _stage_lines(spark, path, skip_blank=not quoted_newlines)
+    lines = _stage_lines(spark, path)
     totals = _totals(lines)
     scan = totals.agg(
         F.count("*").alias("chunks"), F.sum("opens").alias("opens"), F.sum("blanks").alias("blanks")
     ).first()
     if quoted_newlines and scan.opens:
         records = _spanning_records(lines, scan.chunks)
-    elif scan.blanks:
-        # No record spans lines after all: blank lines can be left out at once.
-        return read_csv(spark, path, quoted_newlines=False)
     else:
-        records = _one_line_records(lines, totals, scan.chunks)
+        records = _one_line_records(lines, totals, scan.chunks, bool(scan.blanks))
     return _split_records(records, _header(lines))

@@ -11,6 +11,7 @@ from freshet.config import IngestConfig
 from freshet.functions import key_partition
 from freshet.operators.counts import count_by_topic
 from freshet.registry import TopicSpec, partition_count
+from freshet.sources.csv_records import FILE, ORDINAL
 
 # Producer batching window and compression.
 PRODUCER_OPTIONS = {"kafka.linger.ms": "10", "kafka.compression.type": "lz4"}
@@ -21,7 +22,7 @@ def read_options(spec: TopicSpec, cfg: IngestConfig) -> dict[str, str]:
         "kafka.bootstrap.servers": cfg.broker,
         "subscribe": spec.topic,
         "startingOffsets": cfg.starting_offsets,
-        "failOnDataLoss": str(cfg.fail_on_data_loss).lower(),
+        "failOnDataLoss": str(cfg.fails_on_data_loss).lower(),
     }
     if cfg.max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(cfg.max_offsets_per_trigger)
@@ -39,24 +40,36 @@ def write_options(broker: str) -> dict[str, str]:
 
 
 def outgoing(
-    records: DataFrame, specs: Iterable[TopicSpec], place_by_crc32: bool = False
+    records: DataFrame,
+    specs: Iterable[TopicSpec],
+    place_by_crc32: bool = False,
+    keep_order: bool = False,
 ) -> DataFrame:
     """The columns the sink takes.
 
     The client places records by key in its own way. ``place_by_crc32`` places
-    them by ``key_partition``, for topics with as many partitions as declared.
+    them by ``key_partition``, for topics with as many partitions as declared. Many tasks
+    send at once, so a key's records arrive in any order unless ``keep_order`` first
+    gathers each key's records, in file and row order, in one task.
     """
+    if keep_order:
+        records = records.repartition("topic", "key").sortWithinPartitions(FILE, ORDINAL)
     partition = key_partition(F.col("key"), partition_count(specs, F.col("topic")))
     place = [partition.alias("partition")] if place_by_crc32 else []
     return records.select("topic", "key", "value", *place)
 
 
 def publish(
-    records: DataFrame, broker: str, specs: Iterable[TopicSpec], place_by_crc32: bool = False
+    records: DataFrame,
+    broker: str,
+    specs: Iterable[TopicSpec],
+    place_by_crc32: bool = False,
+    keep_order: bool = False,
 ) -> dict[str, int]:
     """Send records in one job, which fails if a delivery fails; counts per topic."""
     specs = list(specs)
     topics = [spec.topic for spec in specs]
-    counted, counts = count_by_topic(outgoing(records, specs, place_by_crc32), topics)
+    sent = outgoing(records, specs, place_by_crc32, keep_order)
+    counted, counts = count_by_topic(sent, topics)
     counted.write.format("kafka").options(**write_options(broker)).save()
     return counts.get

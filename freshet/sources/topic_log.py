@@ -17,12 +17,15 @@ from freshet.config import IngestConfig
 from freshet.functions import key_partition
 from freshet.operators.counts import count_by_topic
 from freshet.registry import RECORD_SCHEMA, TopicSpec, partition_count
-from freshet.session import make_folder, path_exists
+from freshet.session import list_folder, make_folder, path_exists, remove_folder, scratch_dir
 from freshet.sources.csv_records import FILE, ORDINAL
 
 # Rows numbered together; bounds the groups offsets are counted in.
 OFFSET_BLOCK = 200_000
 BLOCK = ["topic", "partition", FILE, "block"]
+# Beside the topics: the first free offset of each partition.
+STATE = "_next_offsets"
+STATE_SCHEMA = "topic string, partition int, next long"
 
 
 def topic_path(log_dir: str, topic: str) -> str:
@@ -36,7 +39,10 @@ def create_topics(spark: SparkSession, log_dir: str, specs: Iterable[TopicSpec])
 
 
 def read_options(cfg: IngestConfig) -> dict[str, str]:
-    options = {"ignoreMissingFiles": str(not cfg.fail_on_data_loss).lower()}
+    options = {
+        "ignoreMissingFiles": str(not cfg.fails_on_data_loss).lower(),
+        "maxFileAge": cfg.max_file_age,
+    }
     if cfg.max_files_per_trigger:
         options["maxFilesPerTrigger"] = str(cfg.max_files_per_trigger)
     if cfg.max_bytes_per_trigger:
@@ -53,8 +59,19 @@ def read_batch(spark: SparkSession, log_dir: str, topic: str) -> DataFrame:
     return spark.read.schema(RECORD_SCHEMA).parquet(topic_path(log_dir, topic))
 
 
+def _states(spark: SparkSession, log_dir: str) -> list[str]:
+    """Folders that hold the first free offsets, oldest first; the last one counts."""
+    base = f"{log_dir}/{STATE}"
+    return sorted(list_folder(spark, base)) if path_exists(spark, base) else []
+
+
 def next_offsets(spark: SparkSession, log_dir: str, topics: list[str]) -> DataFrame | None:
-    """First free offset of each ``(topic, partition)`` already in the log."""
+    """First free offset of each ``(topic, partition)``, as the last append left them.
+
+    A log written some other way has no such note; then its records are looked through.
+    """
+    if states := _states(spark, log_dir):
+        return spark.read.schema(STATE_SCHEMA).parquet(states[-1])
     logs = [
         read_batch(spark, log_dir, topic).select("topic", "partition", "offset")
         for topic in topics
@@ -69,35 +86,66 @@ def next_offsets(spark: SparkSession, log_dir: str, topics: list[str]) -> DataFr
     )
 
 
-def assign_offsets(
-    records: DataFrame, start: DataFrame | None = None, block_rows: int = OFFSET_BLOCK
-) -> DataFrame:
-    """Number records densely per ``(topic, partition)`` in file and row order.
+def _note_offsets(
+    spark: SparkSession, log_dir: str, bases: DataFrame, start: DataFrame | None
+) -> None:
+    """Write the first free offsets after an append, then drop the note before it.
 
-    A partition's rows are counted in blocks of ``block_rows`` source rows, so
-    one partition spreads over many tasks however large its share is. The
-    records are shuffled once, to their block; block totals are a side table.
-    ``start`` gives the first offset per ``(topic, partition)``, 0 where absent.
+    A line per partition. It is written before the records: an append that fails in
+    between leaves a gap, never two records at one offset.
     """
-    blocked = records.withColumn("block", F.expr(f"{ORDINAL} div {block_rows}"))
+    ends = bases.groupBy("topic", "partition").agg(F.max(F.col("base") + F.col("count")).alias("next"))
+    if start is not None:
+        ends = start.unionByName(ends).groupBy("topic", "partition").agg(F.max("next").alias("next"))
+    states = _states(spark, log_dir)
+    number = int(states[-1].rsplit("-", 1)[-1]) + 1 if states else 0
+    ends.coalesce(1).write.parquet(f"{log_dir}/{STATE}/note-{number:09d}")
+    for old in states:
+        remove_folder(spark, old)
+
+
+def block_bases(records: DataFrame, start: DataFrame | None = None) -> DataFrame:
+    """First offset and number of records of every block; reads narrow columns only."""
     earlier = (
         Window.partitionBy("topic", "partition")
         .orderBy(FILE, "block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     bases = (
-        blocked.groupBy(*BLOCK)
+        records.groupBy(*BLOCK)
         .count()
-        .select(*BLOCK, F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("base"))
+        .select(*BLOCK, "count", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("base"))
     )
-    if start is not None:
-        bases = bases.join(start, ["topic", "partition"], "left").select(
-            *BLOCK, (F.col("base") + F.coalesce("next", F.lit(0))).alias("base")
-        )
+    if start is None:
+        return bases
+    return bases.join(start, ["topic", "partition"], "left").select(
+        *BLOCK, "count", (F.col("base") + F.coalesce("next", F.lit(0))).alias("base")
+    )
+
+
+def blocked(records: DataFrame, block_rows: int = OFFSET_BLOCK) -> DataFrame:
+    return records.withColumn("block", F.expr(f"{ORDINAL} div {block_rows}"))
+
+
+def assign_offsets(
+    records: DataFrame, start: DataFrame | None = None, block_rows: int = OFFSET_BLOCK
+) -> DataFrame:
+    """Number records densely per ``(topic, partition)`` in file and row order.
+
+    A partition's rows are counted in blocks of ``block_rows`` source rows, so
+    one partition spreads over many tasks however large its share is. The
+    records are shuffled once, to their block; block totals are a side table.
+    ``start`` gives the first offset per ``(topic, partition)``, 0 where absent.
+    """
+    rows = blocked(records, block_rows)
+    return _numbered(rows, block_bases(rows, start))
+
+
+def _numbered(rows: DataFrame, bases: DataFrame) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*BLOCK).orderBy(ORDINAL))
     return (
-        blocked.withColumn("rank", rank)
-        .join(bases, BLOCK)
+        rows.withColumn("rank", rank)
+        .join(bases.drop("count"), BLOCK)
         .withColumn("offset", F.col("base") + F.col("rank") - 1)
         .drop("base", "rank")
     )
@@ -109,7 +157,7 @@ def append(
     specs: Iterable[TopicSpec],
     max_rows_per_file: int = 0,
 ) -> dict[str, int]:
-    """Append ``(topic, key, value, __file, __ordinal)`` to the log in one job.
+    """Append ``(topic, key, value, __file, __ordinal)`` to the log.
 
     Records keep the ``timestamp`` they come with, or get the time of the write.
     Returns the records written per topic.
@@ -121,7 +169,19 @@ def append(
     placed = records.withColumn("partition", key_partition(F.col("key"), partitions))
     if "timestamp" not in placed.columns:
         placed = placed.withColumn("timestamp", F.current_timestamp())
-    numbered = assign_offsets(placed, next_offsets(spark, log_dir, topics))
+    # Written once: block totals and numbering read it, the input is not split again.
+    path = scratch_dir(spark, "placed")
+    rows = blocked(placed)
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    start = next_offsets(spark, log_dir, topics)
+    bases = block_bases(rows, start)
+    # The note replaces the one that ``start`` reads, so the bases are settled first.
+    noted = scratch_dir(spark, "bases")
+    bases.write.parquet(noted)
+    bases = spark.read.schema(bases.schema).parquet(noted)
+    _note_offsets(spark, log_dir, bases, start)
+    numbered = _numbered(rows, bases)
     counted, counts = count_by_topic(numbered.withColumn("timestampType", F.lit(0)), topics)
     # Rows leave the numbering in this order already, so Spark drops the sort.
     _write(counted.sortWithinPartitions(*BLOCK), log_dir, max_rows_per_file)
@@ -130,6 +190,8 @@ def append(
 
 def write_records(records: DataFrame, log_dir: str, max_rows_per_file: int = 0) -> None:
     """Write records that have their positions, in position order per file."""
+    for note in _states(records.sparkSession, log_dir):
+        remove_folder(records.sparkSession, note)  # it may not know these positions
     ordered = records.sortWithinPartitions("topic", "partition", "offset")
     _write(ordered, log_dir, max_rows_per_file)
 

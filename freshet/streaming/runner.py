@@ -90,7 +90,13 @@ def await_all(
 
 
 class Progress:
-    """Running totals per stream, read from the batches' own metrics."""
+    """Running totals per stream, read from the batches' own metrics.
+
+    An idle stream reports under the number its next batch will have, without metrics;
+    only a report with metrics is a batch. Spark keeps the last reports only
+    (``spark.sql.streaming.numRecentProgressUpdates``, raised by the package's session
+    settings); should batches have been dropped between two polls, that is logged.
+    """
 
     def __init__(self, every: int = 10_000):
         self.every = every
@@ -100,8 +106,11 @@ class Progress:
 
     def __call__(self, query: StreamingQuery) -> None:
         for batch in query.recentProgress:
-            if batch["batchId"] <= self._last_batch.get(query.name, -1):
+            last = self._last_batch.get(query.name)
+            if not batch["observedMetrics"] or (last is not None and batch["batchId"] <= last):
                 continue
+            if last is not None and batch["batchId"] > last + 1:
+                log.warning("%s: batches after %d were not counted", query.name, last)
             self._last_batch[query.name] = batch["batchId"]
             for metrics in batch["observedMetrics"].values():
                 self._add(query.name, metrics["rows"], metrics["without_event_id"])
