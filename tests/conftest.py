@@ -5,7 +5,7 @@ from freshet.session import session_settings
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     builder = (
         SparkSession.builder.master("local[*]")
         .appName("freshet-tests")
@@ -13,6 +13,8 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
     )
     for key, value in session_settings().items():
         builder = builder.config(key, value)

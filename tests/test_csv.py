@@ -121,24 +121,45 @@ def test_no_shuffle_of_rows_without_spanning_records(spark, tmp_path):
     assert "Exchange" not in rows_side and "BroadcastHashJoin" in rows_side
 
 
-def test_blank_lines_do_not_cost_a_shuffle(spark, tmp_path):
-    path = write(tmp_path / "blanks.csv", "a,b\n\n1,x\n\n\n2,y\n\n")
+@pytest.mark.parametrize("text", ["a,b\n1,x\n2,y\n", "a,b\n\n1,x\n\n\n2,y\n\n"])
+def test_an_input_is_staged_once(spark, tmp_path, monkeypatch, text):
+    staged = []
+    real = csv_records.scratch_dir
+    monkeypatch.setattr(
+        csv_records, "scratch_dir", lambda *args: staged.append(real(*args)) or staged[-1]
+    )
+    path = write(tmp_path / "blanks.csv", text)
     assert spark_rows(spark, path, "ab") == python_rows(path)
-    plan = plan_text(read_csv(spark, str(path)))
-    assert "Exchange" not in plan[: plan.index("BroadcastExchange")]
+    assert len(staged) == 1
 
 
-def test_unclosed_quote_fails_before_it_gathers_a_file(
-    spark, tmp_path, small_blocks, monkeypatch
-):
-    lines = "\n".join(f"{i},text" for i in range(200))
-    path = write(tmp_path / "unclosed.csv", f'a,b\n1,"never closed\n{lines}')
+def test_blank_lines_count_in_their_own_chunks_only(spark, tmp_path, small_blocks):
+    text = "a,b\n" + "".join(f"{i},x\n" + "\n" * (i % 40 == 7) for i in range(300))
+    path = write(tmp_path / "blanks.csv", text)
     assert spark_rows(spark, path, "ab") == python_rows(path)
-    monkeypatch.setattr(csv_records, "RECORD_LIMIT", 500)
+
+
+@pytest.mark.parametrize("count", [2, 200])
+def test_unclosed_quote_is_refused_at_any_size(spark, tmp_path, small_blocks, count):
+    lines = "\n".join(f"{i},text" for i in range(count))
+    path = write(tmp_path / "unclosed.csv", f'a,b\n1,"never closed\n{lines}')
     with pytest.raises(Exception, match="never closed in"):
         spark_rows(spark, path, "ab")
 
 
+@pytest.mark.parametrize("row", ['1,"x"y', '"p" ,2', '"a""b"c,2', '""x,2', '1,"a, ""b"" c"d'])
+def test_text_after_a_closing_quote_is_refused(spark, tmp_path, row):
+    path = write(tmp_path / "after.csv", f"a,b\n0,fine\n{row}\n")
+    with pytest.raises(Exception, match="text after a closing quote"):
+        spark_rows(spark, path, "ab")
+
+
+def test_headers_that_differ_in_case_only_are_refused(spark, tmp_path):
+    path = write(tmp_path / "case.csv", "id,ID\n1,2\n")
+    with pytest.raises(ValueError, match="case only"):
+        read_csv(spark, str(path))
+
+
 def test_stray_quotes_do_not_join_lines(spark, tmp_path):
     path = write(tmp_path / "stray.csv", 'a,b\n1,5" pipe\n2,6" pipe\n')
     assert spark_rows(spark, path, "ab") == python_rows(path)

@@ -3,7 +3,7 @@ import pytest
 from freshet import IngestConfig, registry
 from freshet.jobs import bronze, replay
 from freshet.operators import audit
-from freshet.sources.csv_records import MissingInputs
+from freshet.sources.csv_records import MissingInputs, read_csv
 
 SPECS = registry("acme").values()
 
@@ -30,8 +30,10 @@ def test_replay_then_bronze(spark, tmp_path, folders, caplog):
     assert len(error.value.paths) == 5
     for spec in SPECS:
         export(tmp_path / "raw", spec)
+    before = read_csv(spark, str(tmp_path / "raw" / "acme_orders_dataset.csv"))
     with caplog.at_level("INFO"):
         replay.main([*flags, "--delay", "2"], spark)
+    assert before.count() == 6  # a frame of the caller's outlives the job's scratch
     assert "acme.orders: 6 records" in caplog.text
 
     for _ in range(2):

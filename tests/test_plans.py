@@ -59,10 +59,19 @@ def test_gap_counts_shuffle_narrow_rows_without_windows(orders):
     assert "_kafka_offset" in deepest
 
 
-def test_gap_ranges_compare_within_blocks(orders):
-    plan = initial(audit.offset_gap_ranges(orders))
-    windows = [line for line in plan.splitlines() if "Window [lag(high" in line]
-    assert len(windows) == 3 and sum("block" in line for line in windows) == 2
+def test_gap_ranges_shuffle_the_offsets_once(orders):
+    ranges = audit.offset_gap_ranges(orders)
+    ranges.collect()
+    plan = plan_text(ranges).split("== Initial Plan ==")[0]
+    scans = [line for line in plan.splitlines() if "FileScan" in line or "Scan parquet" in line]
+    assert len(scans) == 1 and "ReusedExchange" in plan
+    assert "distinct" not in plan and plan.count("Window [lag(high") <= 6
+
+
+@pytest.mark.parametrize("block", [0, 1])
+def test_gap_ranges_refuse_blocks_without_neighbours(orders, block):
+    with pytest.raises(ValueError):
+        audit.offset_gap_ranges(orders, block)
 
 
 def test_reconcile_joins_counts_by_hash(orders):

@@ -1,3 +1,5 @@
+import dataclasses
+
 import pytest
 from pyspark.sql.types import StringType
 
@@ -84,7 +86,27 @@ def test_replay_rate_limits_the_reader():
 
 def test_topic_log_options():
     cfg = IngestConfig("/l", "/c", source="topic_log", log_dir="/t", max_files_per_trigger=4)
-    assert topic_log.read_options(cfg) == {"ignoreMissingFiles": "true", "maxFilesPerTrigger": "4"}
+    assert topic_log.read_options(cfg) == {
+        "ignoreMissingFiles": "false",
+        "maxFileAge": "36500d",
+        "maxFilesPerTrigger": "4",
+    }
+    lenient = dataclasses.replace(cfg, fail_on_data_loss=False, max_file_age="30d")
+    options = topic_log.read_options(lenient)
+    assert (options["ignoreMissingFiles"], options["maxFileAge"]) == ("true", "30d")
+
+
+def test_data_loss_fails_by_default_in_a_topic_log_only():
+    assert not IngestConfig("/l", "/c").fails_on_data_loss
+    assert IngestConfig("/l", "/c", source="topic_log", log_dir="/t").fails_on_data_loss
+    spec = registry()["shop.orders"]
+    strict = IngestConfig("/l", "/c", fail_on_data_loss=True)
+    assert kafka.read_options(spec, strict)["failOnDataLoss"] == "true"
+
+
+def test_replay_rate_is_refused_for_a_topic_log():
+    with pytest.raises(ValueError, match="topic log"):
+        IngestConfig("/l", "/c", source="topic_log", log_dir="/t").at_replay_rate(0.05)
 
 
 def test_delta_is_only_named_when_asked_for():
@@ -93,7 +115,21 @@ def test_delta_is_only_named_when_asked_for():
 
 
 def test_job_arguments():
-    args = replay_job.arguments(["--data-dir", "/d", "--delay", "1.0", "--broker", "b:1"])
-    assert (args.data_dir, args.delay, args.broker) == ("/d", 1.0, "b:1")
-    assert replay_job.arguments([]).delay == 0.05
-    assert bronze_job.arguments(["--available-now"]).available_now
+    args = replay_job.arguments(["--data-dir", "/d", "--delay", "1.0", "--log-dir", "/t"])
+    assert (args.data_dir, args.delay, args.log_dir) == ("/d", 1.0, "/t")
+    assert replay_job.DELAY == 0.05
+    assert replay_job.arguments(["--broker", "b:1", "--keep-order"]).keep_order
+    flags = "--available-now --starting-offsets latest --fail-on-data-loss --replay-delay 0.5"
+    args = bronze_job.arguments(flags.split())
+    assert args.available_now and args.fail_on_data_loss and args.compact_dates
+    assert (args.starting_offsets, args.replay_delay) == ("latest", 0.5)
+    assert args.max_offsets_per_trigger and args.max_files_per_trigger
+    assert bronze_job.arguments([]).fail_on_data_loss is None
+    assert bronze_job.arguments(["--no-fail-on-data-loss"]).fail_on_data_loss is False
+
+
+@pytest.mark.parametrize("flags", [["--delay", "1"], ["--log-dir", "/t", "--keep-order"]])
+def test_replay_job_refuses_flags_without_effect(flags, capsys):
+    with pytest.raises(SystemExit):
+        replay_job.arguments(flags)
+    assert "--log-dir" in capsys.readouterr().err or "--keep-order" in flags

@@ -1,5 +1,6 @@
 import dataclasses
 import json
+import shutil
 import uuid
 import zlib
 
@@ -11,6 +12,7 @@ from freshet.operators import replay
 from freshet.registry import registry
 from freshet.sources import kafka, topic_log
 from freshet.sources.csv_records import FILE, ORDINAL, MissingInputs
+from records import plan_text
 
 SPECS = registry("shop")
 STAMP = "2024-01-15T08:23:11.432000+00:00"
@@ -70,6 +72,38 @@ def test_ids_are_stable_uuids_or_random_ones(spark, data_dir):
     assert not set(stable) & set(ids(stable_ids=False))
 
 
+def test_ids_of_files_and_fields_do_not_collide(spark, tmp_path):
+    """Same-named files, bars in fields, and a missing field beside an empty one."""
+    folder = tmp_path / "raw" / SPECS["shop.orders"].source_file
+    for day, lines in (("day=1", ["x|y,z", "x,", "x"]), ("day=2", ["x,y|z", "x", "x,"])):
+        (folder / day).mkdir(parents=True)
+        (folder / day / "data.csv").write_text("\n".join(["order_id,note", *lines]) + "\n")
+
+    def ids(data_dir):
+        records = replay.replay_records(spark, [SPECS["shop.orders"]], str(data_dir))
+        return [json.loads(bytes(r.value))["_event_id"] for r in records.collect()]
+
+    found = ids(tmp_path / "raw")
+    assert len(found) == len(set(found)) == 6
+    moved = tmp_path / "elsewhere"
+    shutil.copytree(tmp_path / "raw", moved)
+    assert sorted(ids(moved)) == sorted(found)
+
+
+@pytest.mark.parametrize(
+    "file, root, rest",
+    [
+        ("file:///d/a.csv", "file:/d/a.csv", ""),
+        ("file:///d/x/day=1/a.csv", "file:/d/x", "/day=1/a.csv"),
+        ("hdfs://n:1/d/x/a.csv", "hdfs://n:1/d/x", "/a.csv"),
+        ("a.csv", "file:/d", "a.csv"),
+    ],
+)
+def test_paths_below_the_root(spark, file, root, rest):
+    frame = spark.createDataFrame([(file,)], "f string")
+    assert frame.select(replay.below(F.col("f"), root)).first()[0] == rest
+
+
 def test_missing_exports_stop_the_replay(spark, data_dir, tmp_path):
     specs = registry("other").values()
     with pytest.raises(MissingInputs) as error:
@@ -146,6 +180,50 @@ def test_log_appends_continue_offsets(spark, tmp_path, data_dir):
         assert all(r.partition == zlib.crc32(bytes(r.key)) % count for r in rows)
 
 
+def test_append_reads_its_own_note_not_the_log(spark, tmp_path, data_dir, monkeypatch):
+    log, orders = str(tmp_path / "log"), [SPECS["shop.orders"]]
+    topic_log.append(replay.replay_records(spark, orders, data_dir), log, orders)
+
+    def scanned(*args):
+        raise AssertionError("the log was read")
+
+    monkeypatch.setattr(topic_log, "read_batch", scanned)
+    topic_log.append(replay.replay_records(spark, orders, data_dir), log, orders)
+    monkeypatch.undo()
+    offsets = topic_log.read_batch(spark, log, "shop.orders").groupBy("partition")
+    for r in offsets.agg(F.count("*").alias("n"), F.max("offset").alias("top")).collect():
+        assert r.top == r.n - 1
+    assert len(list((tmp_path / "log" / "_next_offsets").iterdir())) == 1
+    # Records written with positions of their own make the note void.
+    topic_log.write_records(topic_log.read_batch(spark, log, "shop.orders").limit(1), log)
+    assert not list((tmp_path / "log" / "_next_offsets").iterdir())
+
+
+def test_an_append_splits_its_csv_once(spark, tmp_path, data_dir, monkeypatch):
+    plans = []
+    real = topic_log._numbered
+    monkeypatch.setattr(
+        topic_log, "_numbered", lambda *args: plans.append(real(*args)) or plans[-1]
+    )
+    orders = [SPECS["shop.orders"]]
+    topic_log.append(replay.replay_records(spark, orders, data_dir), str(tmp_path / "log"), orders)
+    assert "from_csv" not in plan_text(plans[0]) and "split(" not in plan_text(plans[0])
+
+
+def test_order_per_key_on_request(spark, data_dir):
+    records = replay.replay_records(spark, SPECS.values(), data_dir, F.lit(STAMP))
+    sent = kafka.outgoing(records, SPECS.values(), keep_order=True)
+    placed = sent.withColumn("task", F.spark_partition_id()).collect()
+    tasks, numbers = {}, {}
+    for r in placed:
+        tasks.setdefault((r.topic, bytes(r.key)), set()).add(r.task)
+        payload = json.loads(bytes(r.value))
+        numbers.setdefault((r.topic, bytes(r.key)), []).append(payload["_event_id"])
+    assert all(len(t) == 1 for t in tasks.values())
+    in_file = [v["_event_id"] for key, v in order_values(records) if key == "o3"]
+    assert numbers["shop.orders", b"o3"] == in_file
+
+
 def test_sink_columns(spark, data_dir):
     records = replay.replay_records(spark, SPECS.values(), data_dir, F.lit(STAMP))
     specs = SPECS.values()

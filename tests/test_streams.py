@@ -1,4 +1,7 @@
 import dataclasses
+import datetime as dt
+import os
+import time
 
 import pytest
 from pyspark.errors import AnalysisException, StreamingQueryException
@@ -107,6 +110,70 @@ def test_progress_counts_rows_without_event_id(spark, cfg):
     assert progress.unparsed == {"bronze_orders": 2}
 
 
+def test_files_older_than_the_newest_are_read(spark, cfg, tmp_path):
+    log_rows(spark, cfg, 0, 10)
+    runner.run(spark, [ORDERS], cfg)
+    known = set((tmp_path / "log").rglob("*.parquet"))
+    log_rows(spark, cfg, 10, 15)
+    for path in set((tmp_path / "log").rglob("*.parquet")) - known:
+        os.utime(path, (0, time.time() - 40 * 86_400))
+    runner.run(spark, [ORDERS], cfg)
+    assert bronze(spark, cfg).count() == 15
+
+
+def test_lost_files_fail_unless_told_otherwise(spark, cfg, tmp_path):
+    def lose(first):
+        log_rows(spark, cfg, first, first + 5)
+        batch = topic_log.read_stream(spark, ORDERS, lenient if first else cfg)
+
+        def drop(rows, number):
+            for path in (tmp_path / "log").rglob("*.parquet"):
+                path.unlink()
+            rows.count()
+
+        writer = batch.writeStream.foreachBatch(drop).trigger(availableNow=True)
+        return writer.option("checkpointLocation", cfg.checkpoint_path(f"c{first}")).start()
+
+    lenient = dataclasses.replace(cfg, fail_on_data_loss=False)
+    with pytest.raises(StreamingQueryException):
+        runner.await_all(spark, [lose(0)])
+
+
+def test_progress_counts_after_an_idle_phase(spark, cfg):
+    log_rows(spark, cfg, 0, 75)
+    endless = dataclasses.replace(cfg, available_now=False, trigger_seconds=0.2)
+    progress = runner.Progress()
+    queries = runner.start_all(spark, [ORDERS], endless)
+    begin = time.time()
+
+    def watch(query):
+        progress(query)
+        if not sent and time.time() - begin > 14:  # Spark reports idle streams every 10 s
+            sent.append(log_rows(spark, cfg, 75, 150))
+        if progress.rows.get("bronze_orders") == 150 or time.time() - begin > 60:
+            query.stop()
+
+    sent = []
+    runner.await_all(spark, queries, watch, poll_seconds=1)
+    assert progress.rows == {"bronze_orders": 150}
+
+
+def test_progress_counts_more_batches_than_spark_keeps_by_default(spark, cfg):
+    records = topic_log.read_batch  # written as 120 files, read one by one
+    log_rows(spark, cfg, 0, 120)
+    rows = records(spark, cfg.log_dir, ORDERS.topic).repartition(120, "offset").collect()
+    assert len(rows) == 120
+    many = dataclasses.replace(cfg, log_dir=f"{cfg.log_dir}-many", max_files_per_trigger=1)
+    frame = spark.createDataFrame(rows, RECORD_SCHEMA).repartitionByRange(120, "offset")
+    topic_log.write_records(frame, many.log_dir)
+    progress = runner.Progress()
+    queries = runner.start_all(spark, [ORDERS], many)
+    runner.await_all(spark, queries, poll_seconds=600)
+    assert len(queries[0].recentProgress) > 100
+    progress(queries[0])
+    assert progress.rows == {"bronze_orders": 120}
+
+
 def test_empty_topic_can_be_streamed(spark, cfg):
     topic_log.create_topics(spark, cfg.log_dir, [ORDERS])
     assert runner.run(spark, [ORDERS], cfg).rows == {}
@@ -215,6 +282,29 @@ def test_dedup_on_a_stream_with_a_hot_id(spark, cfg, tmp_path):
     assert sorted(filter(None, got)) == sorted(expected) and got.count(None) == 4
 
 
+def test_dedup_keeps_late_rows_and_drops_late_copies(spark, cfg, tmp_path):
+    """Three runs on one checkpoint; the second brings records older than any delay."""
+
+    def deliver(rows, when):
+        frame = bronze_frame(spark, rows).withColumn("_kafka_timestamp", F.lit(when))
+        frame.write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(frame.schema).parquet(str(tmp_path / "in"))
+        query = (
+            dedup_stream(stream, "1 hour")
+            .writeStream.format("parquet")
+            .option("checkpointLocation", str(tmp_path / "c"))
+            .trigger(availableNow=True)
+            .start(str(tmp_path / "out"))
+        )
+        runner.await_all(spark, [query])
+
+    deliver([(0, 0, "a"), (0, 1, "b")], T0 + dt.timedelta(days=40))
+    deliver([(0, 2, "late"), (1, 0, None)], T0)
+    deliver([(0, 3, "a"), (0, 4, "late"), (0, 5, "late"), (2, 0, "shop.orders|1|0")], T0)
+    found = [r._event_id for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert sorted(map(str, found)) == ["None", "a", "b", "late", "shop.orders|1|0"]
+
+
 def test_quarantine_as_a_stream(spark, cfg, tmp_path):
     topic_log.write_records(record_frame(spark, ["not json", "{}", ""]), cfg.log_dir)
     query = (
