@@ -6,22 +6,26 @@ coordinate k, and the coordinate is the smallest value over the set. Documents t
 agree on all rows of a band are candidates; a candidate pair becomes a link only if
 the full shingle sets overlap enough.
 
-Candidates are compared in rounds, never as all pairs of a bucket: in each round every
-bucket that still holds several components compares its members with one pivot.
-Members of one component need no comparison. When the pairs left are no more than a
-few times the members, they are all compared, so every bucket ends with each of its
-pairs linked, in one component, or verified to be no link.
+Candidates are not compared as all pairs of a bucket. First each member is compared with
+the smallest of its buckets, then, in buckets that still hold several components, with
+a pivot. Then the shingles of the members left are counted: a document whose own
+words leave it too few that any other has cannot link and leaves. What remains are
+groups alike but not alike enough: small buckets are listed pair by pair, large ones
+are joined into families and compared block against block, a matrix product for
+two blocks, of which only links leave the task. So every pair of a bucket ends linked,
+in one component, or shown to be no link.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.llm.components import components
@@ -33,8 +37,10 @@ ROWS = 5  # of a band: a pair at 0.75 shares none of 50 bands once in 700,000 ti
 PERCENT = 75  # of the union that the intersection must reach
 SLICE = 256  # texts hashed at once
 CELLS = 1 << 20  # of shingles times coordinates, permuted at once
-ROUNDS = 12  # with pivots, at most
-FEW = 4  # remaining pairs per member below which all of them are compared
+SMALL = 32  # members of a bucket whose pairs are listed; larger ones are compared in blocks
+BLOCK = 500_000  # shingles of a block, about
+BLOCK_SETS = 2000  # sets of a block at most, about
+COLUMNS = 2048  # shingles of a block that are compared at once
 
 _rng = np.random.Generator(np.random.PCG64(71))
 _SCATTER = np.uint64(int(_rng.integers(1, 1 << 63)) | 1)
@@ -135,15 +141,128 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _ordered(pairs: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs a < b whose sizes allow a link, from id, n, other, other_n."""
-    fits = F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent
+    """Distinct pairs a < b that may link, from id, n, shared and the same of the other.
+
+    Two sets of n and m shingles link only if percent / (100 + percent) * (n + m) of them are
+    common, and no more can be than either has in common with any document.
+    """
+    common = F.least("shared", "other_shared")
     return (
-        pairs.where(fits)
+        pairs.where(common * (100 + percent) >= (F.col("n") + F.col("other_n")) * percent)
         .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
         .distinct()
     )
 
 
+def _shared_counts(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """Per id, how many of its shingles some other of the ids has too."""
+
+    def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i, raw in zip(batch["id"], batch["shingles"], strict=True):
+                yield pd.DataFrame({"shingle": np.frombuffer(raw, dtype=np.int64), "id": i})
+
+    each = sets.join(ids, "id", "left_semi").mapInPandas(explode, "shingle long, id long")
+    alone = each.groupBy("shingle").agg(F.count("*").alias("docs"), F.min("id").alias("id"))
+    alone = alone.where("docs = 1").groupBy("id").agg(F.count("*").alias("alone"))
+    return ids.join(alone, "id", "left").select("id", F.coalesce("alone", F.lit(0)).alias("alone"))
+
+
+def _capable(state: DataFrame, percent: int) -> DataFrame:
+    """Members that share enough with other documents to link with the smallest of their bucket."""
+    least = state.groupBy("key").agg(F.min("n").alias("least_n"))
+    enough = F.col("shared") * (100 + percent) >= (F.col("n") + F.col("least_n")) * percent
+    return state.join(least, "key").where(enough).drop("least_n")
+
+
+def _open_buckets(state: DataFrame) -> DataFrame:
+    """Buckets with members of several components: their size and a pivot."""
+    pivot = F.min(F.struct(F.xxhash64("id", F.lit(1)), "id", "n", "shared", "component"))
+    return (
+        state.groupBy("key")
+        .agg(
+            F.count("*").alias("size"),
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
+            pivot.alias("pivot"),
+        )
+        .where("least <> most")
+        .select("key", "size", "pivot")
+    )
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """Sets of a family, a task's worth at a time: family, block and the pickled sets.
+
+    The block of a set follows from its id; a block has some ``BLOCK`` shingles
+    and no more than some ``BLOCK_SETS`` sets.
+    """
+    blocks = F.greatest(F.ceil(F.sum("n") / BLOCK), F.ceil(F.count("*") / BLOCK_SETS))
+    sizes = members.groupBy("family").agg(blocks.alias("blocks"))
+    dealt = members.join(sizes, "family").withColumn(
+        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    )
+
+    def gather(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("id")
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in part["shingles"]]
+        packed = pickle.dumps((part["id"].to_numpy(), part["component"].to_numpy(), sets))
+        return pd.DataFrame(
+            {"family": part["family"].iloc[:1], "block": part["block"].iloc[:1], "sets": [packed]}
+        )
+
+    schema = "family long, block int, sets binary"
+    return dealt.groupBy("family", "block").applyInPandas(gather, schema)
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, by products of 0/1 matrices, some shingles at a time."""
+    shingles = [np.concatenate(side) for side in (left, right)]
+    known = np.intersect1d(np.unique(shingles[0]), np.unique(shingles[1]), assume_unique=True)
+    cells = []
+    for side, joined in zip((left, right), shingles, strict=True):
+        owner = np.repeat(np.arange(len(side)), [len(s) for s in side])
+        at = np.searchsorted(known, joined)
+        at[at == len(known)] = 0
+        there = known[at] == joined if len(known) else np.zeros(len(joined), dtype=bool)
+        order = np.argsort(at[there], kind="stable")
+        cells.append((at[there][order], owner[there][order]))
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    for first in range(0, len(known), COLUMNS):
+        parts = []
+        for (at, owner), side in zip(cells, (left, right), strict=True):
+            lo, hi = np.searchsorted(at, [first, first + COLUMNS])
+            part = np.zeros((len(side), COLUMNS), dtype=np.float32)
+            part[owner[lo:hi], at[lo:hi] - first] = 1
+            parts.append(part)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def _linked_blocks(blocks: DataFrame, percent: int) -> DataFrame:
+    """Links between different components of a family, by comparing its blocks in pairs."""
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for x, y in zip(batch["sets"], batch["other_sets"], strict=True):
+                (ids, of, left), (other_ids, other_of, right) = pickle.loads(x), pickle.loads(y)
+                overlap, sizes = overlaps(left, right), np.array([len(s) for s in right])
+                for k, own in enumerate(left):
+                    common = overlap[k].astype(np.int64)
+                    good = 100 * common >= percent * (len(own) + sizes - common)
+                    partners = other_ids[good & (other_of != of[k])]
+                    if len(partners):
+                        yield pd.DataFrame({"a": ids[k], "b": partners})
+
+    # Pairs of numbers first, so that a family's pairs of blocks spread over tasks.
+    numbers = blocks.select("family", "block")
+    pairs = numbers.join(numbers.withColumnRenamed("block", "other_block"), "family")
+    others = blocks.select("family", *(F.col(c).alias(f"other_{c}") for c in ("block", "sets")))
+    both = pairs.where("block <= other_block").join(blocks, ["family", "block"])
+    both = both.join(others, ["family", "other_block"])
+    return both.select("sets", "other_sets").mapInPandas(compare, "a long, b long")
+
+
 def link_components(
     spark: SparkSession, members: DataFrame, sets: DataFrame, percent: int
 ) -> DataFrame:
@@ -151,62 +270,69 @@ def link_components(
 
     ``members`` holds the buckets with several members, ``lead`` is the smallest.
     """
-    rows = members.count()
-    # First each member with one leader only, which settles most copies.
+    links: list[DataFrame] = []
+
+    def linked(pairs: DataFrame) -> None:
+        links.append(staged(spark, verified(staged(spark, pairs, "pairs"), sets, percent), "links"))
+
+    def grouped() -> DataFrame:
+        return components(spark, reduce(DataFrame.unionByName, links))
+
+    def placed(state: DataFrame) -> DataFrame:
+        known = grouped().select(F.col("node").alias("id"), "component")
+        joined = state.select("key", "id", "n", "shared").join(known, "id", "left")
+        return staged(
+            spark, joined.withColumn("component", F.coalesce("component", "id")), "members"
+        )
+
+    # Each member with one leader, which settles most copies.
     nearest = members.where("id <> lead").groupBy("id", "n").agg(
         F.min(F.struct("lead", "lead_n")).alias("to")
     )
-    nearest = nearest.select("id", "n", F.col("to.lead").alias("other"), F.col("to.lead_n").alias("other_n"))
-    tested, links, groups = [], [], None
-    turn, pairs = 0, _ordered(nearest, percent)
-    while True:
-        pairs = staged(spark, pairs, "pairs")
-        tested.append(pairs)
-        links.append(staged(spark, verified(pairs, sets, percent), "links"))
-        every_link = reduce(DataFrame.unionByName, links)
-        groups = components(spark, every_link)
-        if turn > ROUNDS:
-            return groups
-        turn += 1
-        known = groups.select(F.col("node").alias("id"), "component")
-        state = members.select("key", "id", "n").join(known, "id", "left")
-        state = staged(
-            spark, state.withColumn("component", F.coalesce("component", "id")), "members"
-        )
-        pivot = F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id", "n", "component"))
-        counted = (
-            state.groupBy("key", "component")
-            .agg(F.count("*").alias("n_in"), pivot.alias("pivot"))
-            .groupBy("key")
-            .agg(
-                F.count("*").alias("parts"),
-                F.sum("n_in").alias("size"),
-                F.sum(F.col("n_in") * F.col("n_in")).alias("squares"),
-                F.min("pivot").alias("pivot"),
-            )
-            .where("parts > 1")
-        )
-        open_keys = staged(spark, counted, "open-buckets")
-        left = F.sum((F.col("size") * F.col("size") - F.col("squares")) / 2)
-        remaining = open_keys.agg(left).first()[0]
-        if not remaining:
-            return groups
-        if remaining <= FEW * rows or turn > ROUNDS:
-            turn = ROUNDS + 1  # the last round: whatever pairs are left
-            held = state.join(open_keys.select("key"), "key")
-            others = held.select("key", *(F.col(c).alias(f"other_{c}") for c in ("id", "n", "component")))
-            found = held.join(others, "key").where(
-                (F.col("id") < F.col("other_id")) & (F.col("component") != F.col("other_component"))
-            )
-            found = found.withColumnRenamed("other_id", "other")
-        else:
-            found = (
-                state.join(open_keys.select("key", "pivot"), "key")
-                .where(F.col("component") != F.col("pivot.component"))
-                .select("id", "n", F.col("pivot.id").alias("other"), F.col("pivot.n").alias("other_n"))
-            )
-        done = reduce(DataFrame.unionByName, tested)
-        pairs = _ordered(found, percent).join(done, ["a", "b"], "left_anti")
+    nearest = nearest.select(
+        "id",
+        "n",
+        F.col("n").alias("shared"),
+        F.col("to.lead").alias("other"),
+        F.col("to.lead_n").alias("other_n"),
+        F.col("to.lead_n").alias("other_shared"),
+    )
+    linked(_ordered(nearest, percent))
+    # Then with a pivot of each bucket that still has several components.
+    state = placed(members.withColumn("shared", F.col("n")))
+    buckets = _open_buckets(state).select("key", "pivot")
+    pivots = [F.col(f"pivot.{c}").alias(o) for c, o in OTHER.items()]
+    pairs = state.join(buckets, "key").where(F.col("component") != F.col("pivot.component"))
+    linked(_ordered(pairs.select("id", "n", "shared", *pivots), percent))
+    # Documents that share too little with any other leave the buckets that are open yet.
+    state = placed(state)
+    state = staged(spark, state.join(_open_buckets(state).select("key"), "key"), "open-members")
+    counts = _shared_counts(sets, staged(spark, state.select("id").distinct(), "open-ids"))
+    counted = state.drop("shared").join(counts, "id")
+    counted = counted.withColumn("shared", F.col("n") - F.col("alone")).drop("alone")
+    state = staged(spark, _capable(counted, percent), "capable")
+    buckets = staged(spark, _open_buckets(state), "open-buckets")
+    # Small buckets: all pairs of different components.
+    small = state.join(buckets.where(F.col("size") <= SMALL).select("key"), "key")
+    others = small.select("key", F.col("component").alias("other_component"), *_others())
+    apart = (F.col("id") < F.col("other")) & (F.col("component") != F.col("other_component"))
+    linked(_ordered(small.join(others, "key").where(apart), percent))
+    # Large ones, joined into families where they share members: block against block.
+    large = buckets.where(F.col("size") > SMALL).select("key", F.col("pivot.id").alias("pivot"))
+    in_large = staged(spark, state.join(large, "key").select("id", "n", "component", "pivot"), "large")
+    families = components(spark, in_large.select(F.col("id").alias("a"), F.col("pivot").alias("b")))
+    families = families.select(F.col("node").alias("id"), F.col("component").alias("family"))
+    kin = in_large.select("id", "n", "component").distinct().join(families, "id").join(sets, "id")
+    links.append(staged(spark, _linked_blocks(staged(spark, _blocks(kin), "blocks"), percent), "links"))
+    return grouped()
+
+
+# A member's columns and what they are called for the other of a pair.
+OTHER = {"id": "other", "n": "other_n", "shared": "other_shared"}
+
+
+def _others() -> list[Column]:
+    return [F.col(c).alias(o) for c, o in OTHER.items()]
 
 
 def near_duplicates(
