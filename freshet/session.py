@@ -6,7 +6,7 @@ import functools
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -108,15 +108,24 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 
 @contextmanager
-def scratch_scope(spark: SparkSession) -> Iterator[None]:
+def scratch_scope(spark: SparkSession) -> Iterator[Callable[[], None]]:
     """Delete the scratch folders made within, and only those, at the end.
 
-    Frames over them end with it. Threads started within need a copy of the context.
+    Frames over them end with it. What it yields, when called, leaves the folder made
+    last to the scope around this one, or to the session. Threads started within need a
+    copy of the context.
     """
     made: list[str] = []
+    outer = _scope.get()
     token = _scope.set(made)
+
+    def keep_last() -> None:
+        path = made.pop()
+        if outer is not None:
+            outer.append(path)
+
     try:
-        yield
+        yield keep_last
     finally:
         _scope.reset(token)
         for path in made:

@@ -3,11 +3,24 @@ import pytest
 from freshet import IngestConfig, registry
 from freshet.jobs import bronze, replay
 from freshet.operators import audit
+from freshet.session import path_exists, scratch_dir, scratch_scope
 from freshet.sources.csv_records import MissingInputs, read_csv
 
 SPECS = registry("acme").values()
 
 
+def test_scratch_scopes_delete_their_own_folders_only(spark, tmp_path):
+    outside = scratch_dir(spark, "outside")
+    with scratch_scope(spark):
+        with scratch_scope(spark) as keep_last:
+            paths = [scratch_dir(spark, name) for name in ("gone", "kept")]
+            for path in (outside, *paths):
+                spark.range(1).write.parquet(path)
+            keep_last()
+        assert [path_exists(spark, p) for p in (outside, *paths)] == [True, False, True]
+    assert [path_exists(spark, p) for p in (outside, *paths)] == [True, False, False]
+
+
 @pytest.fixture
 def folders(tmp_path, monkeypatch):
     paths = {name: str(tmp_path / name) for name in ("raw", "log", "lake", "checkpoints")}
