@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from freshet.llm.staging import ship_code, staged
 from freshet.llm.tokens import word_ids
+from freshet.session import scratch_scope
 
 SLICE = 256  # texts encoded at once
 LITTLE = 1 << 16  # vocabularies below this are staged in two bytes an id
@@ -80,9 +81,9 @@ def id_counts(ids: DataFrame, vocabulary: int) -> DataFrame:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(vocabulary, dtype=np.int64)
         for batch in batches:
-            for raw in batch["ids"]:
-                found = np.bincount(np.frombuffer(raw, dtype=kind))
-                total[: len(found)] += found
+            for at in range(0, len(batch), SLICE):
+                joined = b"".join(batch["ids"].iloc[at : at + SLICE])
+                total += np.bincount(np.frombuffer(joined, dtype=kind), minlength=vocabulary)
         met = np.flatnonzero(total)
         yield pd.DataFrame({"id": met, "n": total[met]})
 
@@ -104,6 +105,13 @@ def write_token_files(
     itself; rows of one doc_id lie side by side, null ids first; other columns are
     not read. ``vocabulary`` bounds the ids; the codebook passes through the driver.
     """
+    with scratch_scope(spark):  # the staged ids go once the files are there
+        _write(spark, docs, path, tokenizer, vocabulary, end_id)
+
+
+def _write(
+    spark: SparkSession, docs: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: int
+) -> None:
     ship_code(spark)
     ids = staged_ids(spark, docs, tokenizer, end_id, vocabulary)
     order = id_counts(ids, vocabulary).orderBy(F.desc("n"), "id")

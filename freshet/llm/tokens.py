@@ -9,36 +9,38 @@ from __future__ import annotations
 
 import functools
 import re
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
 
 #: Words a worker remembers (about 200 bytes each) before it starts anew.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_200_000
 
 # Letters that are their own canonical composition, then plain punctuation. The
 # apostrophe is left out because tokenizers treat some words after it apart.
-_SIMPLE = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _BEFORE_WORD = re.compile(r"(?= \S)")
 _UNEVEN_SPACE = re.compile(r" (?=\s|$)")
 
 
-@functools.cache
-def _byte_letters() -> list[str]:
+def _byte_letters() -> dict[int, str]:
     """The letter that stands for each byte: itself if printable, else the next free one from U+0100."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    letters = {b: chr(b) for b in shown}
-    for b in range(256):
-        letters.setdefault(b, chr(0x100 + len(letters) - len(shown)))
-    return [letters[b] for b in range(256)]
+    hidden = sorted(set(range(256)) - set(shown))
+    return {b: chr(0x100 + k) for k, b in enumerate(hidden)}
 
 
-class WordIds:
-    """Ids of whole texts for one vocabulary file.
+_BYTE_LETTERS = _byte_letters()
+
+
+class WordIds(dict):
+    """Ids of words, and of whole texts, for one vocabulary file; a new word is looked up once.
 
     ``spaces`` says whether the vocabulary keeps a space as the first sign of the
     word after it (byte-level files) or drops white space and case (word files).
-    Special tokens' names in a text are ordinary text.
+    Special tokens' names in a text are ordinary text. Keys are words as ``_words`` cuts
+    them; a word after a space is kept without it, apart from the words that had none.
     """
 
     def __init__(self, path: str, spaces: bool) -> None:
@@ -48,63 +50,65 @@ class WordIds:
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.spaces = spaces
-        self.known: dict[str, bytes] = {}
-
-    def _words(self, text: str) -> list[str]:
+        self.parts: dict[str, bytes] = {}
+
+    def _part(self, part: str) -> bytes:
+        """Ids of letters, with the space before them, or of punctuation, straight from the merges."""
+        ids = self.parts.get(part)
+        if ids is None:
+            shown = part.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            ids = array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
+            self.parts[part] = ids
+        return ids
+
+    def _whole(self, text: str) -> bytes:
+        found = self.tokenizer.encode(text, add_special_tokens=False)
+        return array("I", found.ids).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        """Ids of a word (after a space, if the vocabulary keeps it).
+
+        Letters and punctuation are looked up apart, single line breaks may join such words;
+        all else goes through the tokenizer as a whole.
+        """
+        space = " " if self.spaces else ""
+        out = []
+        for k, piece in enumerate(word.split("\n")):
+            found = _SIMPLE.fullmatch(piece)
+            if not found:
+                out = [self._whole(space + word)]
+                break
+            letters, signs = found.groups()
+            if k and self.spaces:
+                out.append(self._part("\n"))
+            out.append(self._part(("" if k else space) + letters if self.spaces else letters.lower()))
+            if signs:
+                out.append(self._part(signs))
+        self[word] = ids = b"".join(out)
+        return ids
+
+    def _ids(self, text: str) -> bytes:
         if not self.spaces:
-            return text.lower().split(" ") if text.isascii() else text.split(" ")
+            words = (text.lower() if text.isascii() else text).split(" ")
+            return b"".join(map(self.__getitem__, words))
         if _UNEVEN_SPACE.search(text):
-            return [part for part in _BEFORE_WORD.split(text) if part]
-        first, *rest = text.split(" ")
-        return [first, *(" " + word for word in rest)]
-
-    def _simple(self, word: str) -> bytes | None:
-        """Ids of letters and punctuation straight from the merges."""
-        found = _SIMPLE.fullmatch(word)
-        if not found:
-            return None
-        space, letters, signs = found.groups()
-        if not self.spaces:
-            if space:
-                return None
-            letters = letters.lower()
-        table = _byte_letters()
-        ids = []
-        for part in (space + letters, signs):
-            if part:
-                shown = part if part.isascii() and not space else "".join(
-                    [table[b] for b in part.encode()]
-                )
-                ids += [token.id for token in self.model.tokenize(shown)]
-                space = ""
-        return np.array(ids, dtype="<u4").tobytes()
-
-    def _learn(self, words: Iterable[str]) -> None:
-        rest = []
-        for word in words:
-            ids = self._simple(word)
-            if ids is None:
-                rest.append(word)
-            else:
-                self.known[word] = ids
-        encoded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-        for word, found in zip(rest, encoded, strict=True):
-            self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
+            # Runs of white space: cut only before a space that a word follows at once.
+            first, *rest = _BEFORE_WORD.split(text)
+            words = [word[1:] for word in rest]
+        else:
+            first, *words = text.split(" ")
+        return self._whole(first) + b"".join(map(self.__getitem__, words))
 
     def encode(self, texts: Iterable[str | None], end_id: int) -> list[np.ndarray]:
         """One array of ids per text, each closed by ``end_id``; a null text has only that."""
         end = np.array([end_id], dtype="<u4").tobytes()
-        cut = [self._words(text) if text else [] for text in texts]
-        known = self.known
-        new = {word for words in cut for word in words if word not in known}
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = {word for words in cut for word in words}
-        self._learn(new)
-        return [
-            np.frombuffer(b"".join([known[word] for word in words]) + end, dtype="<u4")
-            for words in cut
-        ]
+        out = []
+        for text in texts:
+            out.append(np.frombuffer((self._ids(text) if text else b"") + end, dtype="<u4"))
+            if len(self) > REMEMBERED:
+                self.clear()
+                self.parts.clear()
+        return out
 
 
 @functools.lru_cache(maxsize=4)
