@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from freshet.llm.components import components
 from freshet.llm.shingles import mix, shingle_sets
 from freshet.llm.staging import bucketed, ship_code, staged
+from freshet.session import scratch_scope
 
 BANDS = 50
 ROWS = 5  # of a band: a pair at 0.75 shares none of 50 bands once in 700,000 times
@@ -347,8 +348,9 @@ def near_duplicates(
     Returns doc_id, n_shingles, component_id (the smallest doc_id reachable by links) and
     kept (doc_id = component_id). Texts without words, null ones too, are linked with
     nothing. Equal sets are one node, however many copies there are. Rows that share a
-    doc_id but not a text follow their own texts. A row without doc_id takes no part: its component is null and it
-    is kept. Other columns are not read; an empty table gives no rows.
+    doc_id but not a text follow their own texts. A row without doc_id takes no part: its
+    component is null and it is kept. Other columns are not read; an empty table gives no
+    rows.
     """
     ship_code(spark)
     hashed = staged(spark, signed(docs, bands, rows), "signatures")
@@ -357,26 +359,29 @@ def near_duplicates(
     classes = linkable.groupBy("digest").agg(F.min("doc_id").alias("id"))
     classed = linkable.select("doc_id", "n_shingles", "digest").join(classes, "digest")
     classed = staged(spark, classed.select("doc_id", "n_shingles", "id", "digest"), "classes")
-    leaders = classed.where("doc_id = id").select("id", "digest").distinct()
-    own = linkable.select(
-        F.col("doc_id").alias("id"), "digest", F.col("n_shingles").alias("n"), "bands"
-    )
-    keyed = own.join(leaders, ["id", "digest"], "left_semi").select(
-        "id", "n", F.explode("bands").alias("key")
-    )
-    keyed = staged(spark, keyed, "bands")
-    shared = (
-        keyed.groupBy("key")
-        .agg(F.count("*").alias("size"), F.min(F.struct("id", "n")).alias("lead"))
-        .where("size > 1")
-        .select("key", F.col("lead.id").alias("lead"), F.col("lead.n").alias("lead_n"))
-    )
-    members = staged(spark, keyed.join(shared, "key"), "members")
-    candidates = members.select("id").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(candidates, "id")
-    sets, table = bucketed(spark, full_sets(texts), "id", "sets")
-    groups = link_components(spark, members, sets, percent)
-    spark.sql(f"drop table {table}")
+    # All that the search writes goes when it is over, but for the components.
+    with scratch_scope(spark) as keep_last:
+        leaders = classed.where("doc_id = id").select("id", "digest").distinct()
+        own = linkable.select(
+            F.col("doc_id").alias("id"), "digest", F.col("n_shingles").alias("n"), "bands"
+        )
+        keyed = own.join(leaders, ["id", "digest"], "left_semi").select(
+            "id", "n", F.explode("bands").alias("key")
+        )
+        keyed = staged(spark, keyed, "bands")
+        shared = (
+            keyed.groupBy("key")
+            .agg(F.count("*").alias("size"), F.min(F.struct("id", "n")).alias("lead"))
+            .where("size > 1")
+            .select("key", F.col("lead.id").alias("lead"), F.col("lead.n").alias("lead_n"))
+        )
+        members = staged(spark, keyed.join(shared, "key"), "members")
+        candidates = members.select("id").distinct()
+        texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(candidates, "id")
+        sets, table = bucketed(spark, full_sets(texts), "id", "sets")
+        groups = staged(spark, link_components(spark, members, sets, percent), "groups")
+        keep_last()
+        spark.sql(f"drop table {table}")
     found = classed.join(groups.withColumnRenamed("node", "id"), "id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id")
     )
