@@ -14,6 +14,7 @@ from freshet.llm.mixing import mix_documents
 from freshet.llm.packing import pack_documents
 from freshet.llm.pii import find_personal_data
 from freshet.llm.staging import documents
+from freshet.llm.substring_dedup import repeated_passages
 from freshet.llm.token_files import read_token_files, write_token_files
 from freshet.session import scratch_dir
 
@@ -55,6 +56,10 @@ def cover_tree_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_vectors(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.98)
 
 
+def gear_chunk_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(spark, documents(spark, sf_dir))
+
+
 def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-files")
     tokenizer = vocabulary_file("byte_bpe_50k.json")
@@ -83,6 +88,7 @@ QUERIES = {
     "op3_circulant_minhash": circulant_minhash,
     "op4_rank_order_language": rank_order_language,
     "op5_entropy_mixing": entropy_mixing,
+    "op6_gear_chunk_repeats": gear_chunk_repeats,
     "op7_quartile_fingerprints": quartile_fingerprints,
     "op8_cover_tree_links": cover_tree_links,
     "op9_kd_sharding": kd_sharding,
