@@ -14,6 +14,7 @@ import numpy as np
 
 LEAF = 24  # points below which a node is not divided
 BLOCK = 1 << 17  # pairs of points that are compared at once rather than divided further
+STEP = 1000  # pairs of points that are compared in the time of one step of the traversal
 SLACK = 1e-6  # by which bounds must be met before they decide
 
 
@@ -122,6 +123,10 @@ class Links:
             self._join(a0 + i, self.shift + b0 + j)
         self._rest(linked, a0, b0)
 
+    def _compare(self, a0: int, a1: int, b0: int, b1: int) -> None:
+        left, right = self.trees
+        self._block(a0, a1, b0, b1, left.points[a0:a1] @ right.points[b0:b1].T >= self.cosine)
+
     def _rest(self, linked: np.ndarray, a0: int, b0: int) -> None:
         """Join what first rows and columns left apart though some link connects it."""
         rows, columns = np.nonzero(linked)
@@ -154,8 +159,7 @@ class Links:
                 continue
             divided = ac1 > ac0 or bc1 > bc0
             if not divided or (a1 - a0) * (b1 - b0) <= BLOCK:
-                linked = left.points[a0:a1] @ right.points[b0:b1].T >= self.cosine
-                self._block(a0, a1, b0, b1, linked)
+                self._compare(a0, a1, b0, b1)
                 continue
             a_kids = np.arange(ac0, ac1) if ac1 > ac0 else np.array([a])
             b_kids = np.arange(bc0, bc1) if bc1 > bc0 else np.array([b])
@@ -166,6 +170,10 @@ class Links:
             close = between - cover <= self.reach + SLACK
             if self.same and a == b:
                 close &= a_kids[:, None] <= b_kids
+            if close.sum() * STEP > (a1 - a0) * (b1 - b0):
+                # Hardly anything is ruled out, as in a dense group: compare the points.
+                self._compare(a0, a1, b0, b1)
+                continue
             for i, j in zip(*np.nonzero(close), strict=True):
                 stack.append((int(a_kids[i]), int(b_kids[j])))
         return self
