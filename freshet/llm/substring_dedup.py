@@ -21,6 +21,7 @@ WINDOW = 16  # bytes the rolling hash sees, one bit of shift each
 CUT_BITS = 5  # zeros that make a cut: one byte in 32
 LEAST, MOST = 32, 512  # bytes of a chunk
 LEAST_WORDS = 20  # of a repeated passage
+SLICE = 20_000  # chunks handed on at once
 
 GEAR = np.random.Generator(np.random.PCG64(606)).integers(0, 1 << WINDOW, 256, dtype=np.uint16)
 
@@ -48,16 +49,19 @@ def chunks(docs: DataFrame) -> DataFrame:
     """Every chunk of every text: doc_id, start and end in bytes, words in it, digest."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, rows = ["doc_id", "start", "end", "words", "digest"], []
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                raw, start, rows = (text or "").encode(), 0, []
+                raw, start = (text or "").encode(), 0
                 for end in cut_points(raw):
                     part = raw[start:end]
                     digest = hashlib.blake2b(part, digest_size=16).digest()
                     rows.append((doc_id, start, end, len(part.split()), digest))
                     start = end
-                out = pd.DataFrame(rows, columns=["doc_id", "start", "end", "words", "digest"])
-                yield out.astype({"doc_id": "Int64"})
+                if len(rows) > SLICE:
+                    yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+                    rows = []
+        yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
     schema = "doc_id long, start long, end long, words long, digest binary"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(cut, schema)
