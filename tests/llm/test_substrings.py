@@ -1,6 +1,9 @@
 """Repeated passages: shifts, edges, and planted copies."""
 
 import random
+import re
+import string
+from collections import defaultdict
 
 from edge_rows import TEXTS, edge_documents
 from freshet.llm.substring_dedup import LEAST, MOST, cut_points, repeated_passages
@@ -38,3 +41,53 @@ def test_edge_rows_and_empty_table(spark):
     assert {r["doc_id"] for r in found} <= {i for i, *_ in TEXTS}
     assert 10 in {r["doc_id"] for r in found}  # one phrase over and over
     assert repeated_passages(spark, edge_documents(spark, [])).collect() == []
+
+
+def repeats_by_brute_force(texts, least=20):
+    """Per text, the word spans covered by ``least`` words that occur at several places."""
+    ends = [[(m.start(), m.end()) for m in re.finditer(rb"[^ \t\n\r\x0b\x0c]+", t)] for t in texts]
+    at = defaultdict(list)
+    for i, (text, words_) in enumerate(zip(texts, ends, strict=True)):
+        for k in range(least - 1, len(words_)):
+            at[text[words_[k - least + 1][0] : words_[k][1]]].append((i, k))
+    spans = defaultdict(list)
+    for i, k in sorted(x for found in at.values() if len(found) > 1 for x in found):
+        start, end = ends[i][k - least + 1][0], ends[i][k][1]
+        if spans[i] and start < spans[i][-1][1]:
+            spans[i][-1] = (spans[i][-1][0], end, spans[i][-1][2], k)
+        else:
+            spans[i].append((start, end, k - least + 1, k))
+    return {(i, a, b, last - first + 1) for i, found in spans.items() for a, b, first, last in found}
+
+
+def test_every_passage_of_39_words_is_found_to_its_ends(spark):
+    rng = random.Random(3)
+    rows = []
+    for n in (39, 50, 51, 55, 60):
+        for longest in (1, 4, 6, 9):
+            for _ in range(12):
+                some = lambda k: " ".join(
+                    "".join(rng.choices(string.ascii_letters, k=rng.randint(1, longest))) for _ in range(k)
+                )
+                passage = some(n)
+                for _ in range(2):
+                    rows.append((len(rows), f"{some(rng.randint(5, 60))} {passage} {some(40)}", "en", "s"))
+    found = repeated_passages(spark, edge_documents(spark, rows)).collect()
+    have = {(r["doc_id"], r["start"], r["end"], r["n_words"]) for r in found}
+    whole = repeats_by_brute_force([text.encode() for _, text, *_ in rows])
+    assert len(whole) >= len(rows) and {x for x in whole if x[3] >= 39} <= have
+    assert have <= whole
+
+
+def test_places_with_different_partners_and_own_copies(spark):
+    rng = random.Random(4)
+    a, b, c = (words(rng, 45) for _ in range(3))
+    texts = [f"{a} {words(rng, 9)}", f"{a} {b}", f"{words(rng, 9)} {b} {c}", f"{c} {words(rng, 3)} {c}"]
+    rows = [(i, text, "en", "s") for i, text in enumerate(texts)]
+    found = repeated_passages(spark, edge_documents(spark, rows)).collect()
+    have = {(r["doc_id"], r["start"], r["end"], r["n_words"]) for r in found}
+    assert have == repeats_by_brute_force([text.encode() for text in texts])
+    dropped = {(r["doc_id"], r["start"]): r["dropped_bytes"] for r in found}
+    again = len(texts[3]) - len(c)
+    assert dropped[0, 0] == 0 and dropped[1, 0] == len(a)
+    assert dropped[3, 0] == len(c) and dropped[3, again] == len(c)
