@@ -60,22 +60,26 @@ def read_batch(spark: SparkSession, log_dir: str, topic: str) -> DataFrame:
 
 
 def _states(spark: SparkSession, log_dir: str) -> list[str]:
-    """Folders that hold the first free offsets, oldest first; the last one counts."""
+    """Folders of notes of the first free offsets, oldest first, unfinished ones too."""
     base = f"{log_dir}/{STATE}"
     return sorted(list_folder(spark, base)) if path_exists(spark, base) else []
 
 
-def next_offsets(spark: SparkSession, log_dir: str, topics: list[str]) -> DataFrame | None:
+def next_offsets(spark: SparkSession, log_dir: str) -> DataFrame | None:
     """First free offset of each ``(topic, partition)``, as the last append left them.
 
-    A log written some other way has no such note; then its records are looked through.
+    The last finished note counts: one whose writer was lost has no ``_SUCCESS`` file. A log
+    without any, as one written some other way, has the records of all its topics looked
+    through, since the next note is to hold them all.
     """
-    if states := _states(spark, log_dir):
+    if states := [note for note in _states(spark, log_dir) if path_exists(spark, f"{note}/_SUCCESS")]:
         return spark.read.schema(STATE_SCHEMA).parquet(states[-1])
+    folders = list_folder(spark, log_dir) if path_exists(spark, log_dir) else []
+    names = [folder.rsplit("/", 1)[-1] for folder in folders]
     logs = [
-        read_batch(spark, log_dir, topic).select("topic", "partition", "offset")
-        for topic in topics
-        if path_exists(spark, topic_path(log_dir, topic))
+        read_batch(spark, log_dir, name.removeprefix("log=")).select("topic", "partition", "offset")
+        for name in names
+        if name.startswith("log=")
     ]
     if not logs:
         return None
@@ -174,7 +178,7 @@ def append(
     rows = blocked(placed)
     rows.write.parquet(path)
     rows = spark.read.schema(rows.schema).parquet(path)
-    start = next_offsets(spark, log_dir, topics)
+    start = next_offsets(spark, log_dir)
     bases = block_bases(rows, start)
     # The note replaces the one that ``start`` reads, so the bases are settled first.
     noted = scratch_dir(spark, "bases")

@@ -199,6 +199,31 @@ def test_append_reads_its_own_note_not_the_log(spark, tmp_path, data_dir, monkey
     assert not list((tmp_path / "log" / "_next_offsets").iterdir())
 
 
+@pytest.mark.parametrize("finished_before", [True, False])
+def test_a_note_left_unfinished_does_not_count(spark, tmp_path, data_dir, finished_before):
+    """A driver lost in the middle of writing a note leaves a folder with _temporary only."""
+    log_dir = str(tmp_path / "log")
+    spec, other = SPECS["shop.orders"], SPECS["shop.customers"]
+    for one in (spec, other):
+        topic_log.append(replay.replay_records(spark, [one], data_dir), log_dir, [one])
+    notes = tmp_path / "log" / "_next_offsets"
+    (last,) = notes.iterdir()
+    if finished_before:
+        lost = notes / f"note-{int(last.name[-9:]) + 1:09d}"
+    else:
+        shutil.rmtree(last)
+        lost = last
+    (lost / "_temporary" / "0").mkdir(parents=True)
+    for one in (spec, other):
+        topic_log.append(replay.replay_records(spark, [one], data_dir), log_dir, [one])
+    for one in (spec, other):
+        stored = topic_log.read_batch(spark, log_dir, one.topic)
+        places = [(r.partition, r.offset) for r in stored.select("partition", "offset").collect()]
+        assert len(places) == len(set(places)) > 0
+    (left,) = notes.iterdir()
+    assert (left / "_SUCCESS").exists()
+
+
 def test_an_append_splits_its_csv_once(spark, tmp_path, data_dir, monkeypatch):
     plans = []
     real = topic_log._numbered
