@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshet.llm.conversation_trie import prefix_trie
 from freshet.llm.embedding_links import link_vectors
 from freshet.llm.fingerprints import fingerprint_documents
 from freshet.llm.kd_shards import shard_documents
@@ -69,6 +70,11 @@ def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def whole_sequence_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return prefix_trie(spark, conversations).drop("k1", "k2")
+
+
 def kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_documents(spark, documents(spark, sf_dir), shards=16)
     return placed.select(
@@ -93,6 +99,7 @@ QUERIES = {
     "op8_cover_tree_links": cover_tree_links,
     "op9_kd_sharding": kd_sharding,
     "op10_token_id_files": token_id_files,
+    "op12_whole_sequence_trie": whole_sequence_trie,
 }
 
 # Brute force: all pairs of distinct word sequences that share a shingle, by counting.
@@ -161,7 +168,71 @@ select v.vec_id, coalesce(n, 0) as n_links,
 from vectors v left join counted using (vec_id) left join least_reached using (vec_id)
 """
 
+# CRC32 by its table of 256, made from the polynomial; ``crc32_sql`` folds a text's bytes.
+CRC_TABLE = """
+crc_steps(n, k, c) as (
+  select n::bigint, 0, n::bigint from range(256) t(n)
+  union all
+  select n, k + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end
+  from crc_steps where k < 8
+), crc_table as (
+  select list(c order by n) as crc from crc_steps where k = 8
+)"""
+
+
+def crc32_sql(text: str) -> str:
+    """For code points below U+0800, in a select that has ``crc`` of ``crc_table``."""
+    points = f"list_transform(range(1, length({text}) + 1), lambda i: unicode(({text})[i])::bigint)"
+    octets = f"list_transform({points}, lambda p: case when p < 128 then [p] else [192 + (p >> 6), 128 + (p & 63)] end)"
+    folded = (
+        f"list_reduce(list_prepend(4294967295::bigint, flatten({octets})),"
+        " lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))"
+    )
+    return f"xor({folded}, 4294967295)"
+
+
+WHOLE_SEQUENCE_TRIE = f"""
+with recursive {CRC_TABLE}, turns as (
+  select conv_id, turn, coalesce(text, '') as text, coalesce(role, '') as role from conversations
+  where conv_id is not null
+), told as (
+  select conv_id, turn, strlen(text) as bytes,
+         strlen(role)::varchar || ':' || role || text as told from turns
+), own as (
+  select conv_id, list(told order by turn nulls first, md5(told)) as ts,
+         list(bytes order by turn nulls first, md5(told)) as bs
+  from told group by conv_id
+), skips as (
+  select conv_id, ts, bs, {crc32_sql("conv_id::varchar")} % 9 as h from own, crc_table
+), rebuilt as (
+  select c.conv_id, coalesce(b.ts[1:h], []) || c.ts[h + 1:] as ts,
+         coalesce(b.bs[1:h], []) || c.bs[h + 1:] as bs
+  from skips c left join own b on b.conv_id = c.conv_id - c.conv_id % 5
+), steps as (
+  select conv_id, ts, bs, unnest(range(0, len(ts) + 1)) as depth from rebuilt
+), nodes as (
+  select ts[1:depth] as path, depth, min(conv_id) as conv_id, count(*) as n_convs,
+         coalesce(max(case when depth > 0 then bs[depth] end), 0) as bytes,
+         sha256(coalesce(string_agg(case when depth = len(ts) then conv_id::varchar end, ','
+                                    order by conv_id), '')) as ends_sha256,
+         max(len(ts)) = depth as leaf
+  from steps group by ts[1:depth], depth
+), below as (
+  select path, (n_convs - 1) * bytes as saved, leaf, depth,
+         unnest(range(0, depth + 1)) as upto from nodes
+), sums as (
+  select path[1:upto] as path, upto as depth, sum(saved)::bigint as saved_tokens,
+         count_if(leaf)::bigint as n_leaves, count_if(depth = upto + 1)::bigint as n_children
+  from below group by path[1:upto], upto
+)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, n_children, n_leaves,
+       saved_tokens, n.ends_sha256
+from nodes n join sums s on s.path = n.path and s.depth = n.depth
+  left join nodes p on p.depth = n.depth - 1 and p.path = n.path[1:n.depth - 1]
+"""
+
 ORACLES = {
+    "op12_whole_sequence_trie": WHOLE_SEQUENCE_TRIE,
     "op8_cover_tree_links": COVER_TREE_LINKS,
     "op3_circulant_minhash": CIRCULANT_MINHASH,
 }
