@@ -14,6 +14,7 @@ from freshet.llm.minhash import near_duplicates
 from freshet.llm.mixing import mix_documents
 from freshet.llm.packing import pack_documents
 from freshet.llm.pii import find_personal_data
+from freshet.llm.spelling_variants import spelling_variants
 from freshet.llm.staging import documents
 from freshet.llm.substring_dedup import repeated_passages
 from freshet.llm.token_files import read_token_files, write_token_files
@@ -75,6 +76,10 @@ def whole_sequence_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(spark, conversations).drop("k1", "k2")
 
 
+def partenum_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(spark, documents(spark, sf_dir))
+
+
 def kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_documents(spark, documents(spark, sf_dir), shards=16)
     return placed.select(
@@ -100,6 +105,7 @@ QUERIES = {
     "op9_kd_sharding": kd_sharding,
     "op10_token_id_files": token_id_files,
     "op12_whole_sequence_trie": whole_sequence_trie,
+    "op13_partenum_spelling": partenum_spelling,
 }
 
 # Brute force: all pairs of distinct word sequences that share a shingle, by counting.
@@ -231,7 +237,54 @@ from nodes n join sums s on s.path = n.path and s.depth = n.depth
   left join nodes p on p.depth = n.depth - 1 and p.path = n.path[1:n.depth - 1]
 """
 
+# Near words share what is left when one letter is taken out of each, or of one of them.
+PARTENUM_SPELLING = f"""
+with recursive {CRC_TABLE}, runs as (
+  select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) as run from documents
+), lowered as (
+  select translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run,
+         coalesce(doc_id::varchar, '') || ':' || run as told, doc_id
+  from runs where length(run) >= 7
+), numbered as (
+  select run, {crc32_sql("coalesce(doc_id::varchar, '') || ':' || run")} as h from lowered, crc_table
+), spelled as (
+  select case when h % 31 = 0
+              then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2)
+              else run end as word
+  from numbered
+), words as (
+  select word, count(*) as n from spelled where length(word) >= 7 group by word having count(*) >= 2
+), cut as (
+  select word, i, substr(word, 1, (i - 1)::int) || substr(word, (i + 1)::int) as rest
+  from (select word, unnest(range(1, length(word) + 1)) as i from words)
+), near as (
+  select a.word as a, b.word as b from cut a join cut b on a.i = b.i and a.rest = b.rest
+  where a.word <> b.word
+  union
+  select a.word, b.word from words a join cut b on a.word = b.rest
+  union
+  select b.word, a.word from words a join cut b on a.word = b.rest
+), judged as (
+  select a, count(*) as n_near, first(b order by x.n desc, b) as other, max(x.n) as other_n
+  from near join words x on x.word = b group by a
+), formed as (
+  select word, n, coalesce(n_near, 0) as n_near, case when other_n >= 10 * n then other end as form,
+         case when other_n >= 10 * n then other_n end as form_n
+  from words left join judged on a = word
+), followed(word, root, step) as (
+  select word, form, 1 from formed where form is not null
+  union all
+  select f.word, g.form, step + 1 from followed f join formed g on g.word = f.root
+  where g.form is not null
+), roots as (
+  select word, arg_max(root, step) as root from followed group by word
+)
+select f.word, form, coalesce(root, f.word) as root, n, n_near, form_n
+from formed f left join roots r on r.word = f.word
+"""
+
 ORACLES = {
+    "op13_partenum_spelling": PARTENUM_SPELLING,
     "op12_whole_sequence_trie": WHOLE_SEQUENCE_TRIE,
     "op8_cover_tree_links": COVER_TREE_LINKS,
     "op3_circulant_minhash": CIRCULANT_MINHASH,
