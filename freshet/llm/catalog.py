@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from freshet.llm.conversation_trie import prefix_trie
 from freshet.llm.embedding_links import link_vectors
 from freshet.llm.fingerprints import fingerprint_documents
+from freshet.llm.interpolated_lm import score_documents
 from freshet.llm.kd_shards import shard_documents
 from freshet.llm.language_id import identify_languages
 from freshet.llm.minhash import near_duplicates
@@ -71,6 +72,10 @@ def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(spark, documents(spark, sf_dir))
+
+
 def whole_sequence_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return prefix_trie(spark, conversations).drop("k1", "k2")
@@ -104,6 +109,7 @@ QUERIES = {
     "op8_cover_tree_links": cover_tree_links,
     "op9_kd_sharding": kd_sharding,
     "op10_token_id_files": token_id_files,
+    "op11_deleted_interpolation": deleted_interpolation,
     "op12_whole_sequence_trie": whole_sequence_trie,
     "op13_partenum_spelling": partenum_spelling,
 }
