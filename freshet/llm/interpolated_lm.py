@@ -13,10 +13,11 @@ maximisation on part of the training documents with counts from which these are
 the scores then use the counts of all training documents.
 
 Texts are cut into words once and staged in slices of whole documents. Every slice asks
-for the counts of its distinct n-grams, by 64-bit keys dealt over buckets; a bucket adds
+for the counts of its distinct n-grams, by their keys, dealt over buckets; a bucket adds
 up what all slices have of its keys and answers each with the totals. So a slice holds
 all it needs for its scores, and no count is held anywhere else. Requests are sorted
-arrays of keys, as differences, compressed. Slices and buckets are bounded by
+arrays of keys, as differences, compressed. N-grams are told apart by 56 bits: of ten
+billion, one in seven million shares its key and is counted with another. Slices and buckets are bounded by
 ``SLICE_TOKENS`` and ``BUCKET_TOKENS``; a slice asks every bucket, so raise both with the
 memory of the workers: 50 million tokens take about 2 GB and suit 100 TB of text.
 """
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from freshet.llm.shingles import _slices, _word_hashes, mix
 from freshet.llm.staging import ship_code, staged
 
-SLICE_TOKENS = 600_000  # a longer document is a slice of its own
+SLICE_TOKENS = 700_000  # a longer document is a slice of its own
 BUCKET_TOKENS = 1_500_000  # whose n-grams one bucket gets, about
 BUCKETS = 65  # of context counts: none, then one per binary digit
 GAIN = 1e-4  # bits a token: learning stops when a turn gains less
@@ -45,6 +46,7 @@ LEAST_WEIGHT = 1e-6
 KEPT, DELETED, TEST = 0, 1, 2  # documents: counted, counted and learned weights on, neither
 
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
+LOW_BITS = np.uint64(255)  # of a key: the number of words it is for
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
 
 SLICE_SCHEMA = (
@@ -93,7 +95,7 @@ def _sliced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         nonlocal made
         ids, valid, hashes, counts = (np.concatenate(x) for x in zip(*waiting[kind], strict=True))
         waiting[kind].clear()
-        words, places = np.unique(hashes, return_inverse=True)
+        words, places = np.unique(hashes & ~LOW_BITS, return_inverse=True)
         made += 1
         line = (
             place + made - 1, kind, len(ids), len(hashes) + len(ids), pack(ids), pack(valid),
@@ -142,8 +144,8 @@ class Grams:
         earlier = np.where(first | second, START, np.roll(token, 2))
         pair = mix(before * FACTORS[0] + token)
         triple = mix(mix(earlier * FACTORS[1] + before) * FACTORS[0] + token)
-        keys = [mix(token), pair, triple]
-        return cls([k & ~np.uint64(3) | np.uint64(n + 1) for n, k in enumerate(keys)], starts)
+        keys = (mix(token), pair, triple)
+        return cls([k & ~LOW_BITS | np.uint64(n) for n, k in enumerate(keys, start=1)], starts)
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         """All keys in order, each once, and how often they occur."""
@@ -191,7 +193,7 @@ def _answered(rows: pd.DataFrame) -> pd.DataFrame:
             totals[kind][at] += unpack(counts, np.uint32)
     kept = totals[KEPT]
     both = kept + totals[DELETED]
-    word = keys & np.uint64(3) == 1
+    word = keys & LOW_BITS == 1
     out = pd.DataFrame(
         {
             "slice": rows["slice"],
@@ -220,9 +222,13 @@ class Corpus:
 
 def _counted(grams: Grams, answers: pd.DataFrame, column: str) -> list[np.ndarray]:
     """The counts of a slice's words, pairs and triples, by position."""
-    keys, _ = grams.distinct()
     told = np.concatenate([unpack(x, np.uint64) for x in answers.sort_values("bucket")[column]])
-    return [told[np.searchsorted(keys, k)] for k in grams.keys]
+    keys = np.concatenate(grams.keys)
+    order = np.argsort(keys)
+    keys = keys[order]
+    counts = np.empty(len(keys), dtype=np.uint64)
+    counts[order] = told[np.cumsum(np.concatenate([[False], keys[1:] != keys[:-1]]))]
+    return np.split(counts, 3)
 
 
 def _ratios(grams: Grams, counts: list[np.ndarray], corpus: Corpus) -> tuple[np.ndarray, ...]:
@@ -307,13 +313,17 @@ def learned_weights(learned_on: DataFrame, words: int) -> Weights:
 
 
 def _estimated(corpus: Corpus):
-    """The estimates of a slice of deleted documents, from the counts without them."""
+    """The estimates of a slice of deleted documents, from the counts without them.
+
+    Fifteen binary digits of each are kept, enough for weights of six decimals' use.
+    """
 
     def run(slices: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row = slices.iloc[0]
         grams = Grams.of(row["words"], row["places"], row["lengths"])
         f1, f2, f3, k2, k3 = _ratios(grams, _counted(grams, answers, "kept"), corpus)
-        line = [pack(f.astype(np.float32)) for f in (f1, f2, f3)] + [pack(k) for k in (k2, k3)]
+        short = (f.astype(np.float32).view(np.uint32) & ~np.uint32(LOW_BITS) for f in (f1, f2, f3))
+        line = [pack(f) for f in short] + [pack(k) for k in (k2, k3)]
         return pd.DataFrame([line], columns=["f1", "f2", "f3", "k2", "k3"])
 
     return run
