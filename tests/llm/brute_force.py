@@ -141,3 +141,151 @@ def vector_links(rows: list[tuple], cosine: float = 0.98) -> set[tuple]:
 
 def crc32(ids) -> int:
     return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+
+
+def lower(text: str) -> str:
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+def one_edit(a: str, b: str) -> bool:
+    """Whether one inserted, deleted or replaced code point makes a of b."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) == len(short) + 1 and any(long[:k] + long[k + 1 :] == short for k in range(len(long)))
+
+
+def spelling(docs: list[tuple], least: int = 2, ratio: int = 10) -> set[tuple]:
+    """Rows (word, form, root, n, n_near, form_n), every pair of words compared."""
+    n: dict = defaultdict(int)
+    for i, text in docs:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            run = lower(run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            n[run] += len(run) >= 7
+    n = {w: c for w, c in n.items() if c >= least}
+    near = {w: [x for x in n if one_edit(w, x)] for w in n}
+    form = {}
+    for w, found in near.items():
+        best = min(found, key=lambda x: (-n[x], x), default=None)
+        if best is not None and n[best] >= ratio * n[w]:
+            form[w] = best
+    out = set()
+    for w in n:
+        root = w
+        while root in form:
+            root = form[root]
+        out.add((w, form.get(w), root, n[w], len(near[w]), n.get(form.get(w))))
+    return out
+
+
+def trie(turns: list[tuple]) -> set[tuple]:
+    """Nodes of the rebuilt conversations, from rows (conv_id, turn, role, text)."""
+    own: dict = defaultdict(list)
+    for c, turn, role, text in turns:
+        if c is not None:
+            role, text = role or "", text or ""
+            told = f"{len(role.encode())}:{role}{text}".encode()
+            own[c].append((turn is not None, turn or 0, hashlib.md5(told).hexdigest(), role, text))
+    own = {c: [x[3:] for x in sorted(rows)] for c, rows in own.items()}
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, rows in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        base = own.get(c - int(np.fmod(c, 5)), [])
+        path = tuple(base[:h] + rows[h:])
+        ends[path].append(c)
+        for d in range(len(path) + 1):
+            members[path[:d]].append(c)
+    children: dict = defaultdict(list)
+    for path in members:
+        if path:
+            children[path[:-1]].append(path)
+    leaves, saved = {}, {}
+    for path in sorted(members, key=len, reverse=True):
+        size = len(path[-1][1].encode()) if path else 0
+        below = children[path]
+        leaves[path] = sum(leaves[x] for x in below) if below else 1
+        saved[path] = (len(members[path]) - 1) * size + sum(saved[x] for x in below)
+    return {
+        (
+            min(cs), len(p), min(members[p[:-1]]) if p else None, len(cs), len(children[p]), leaves[p], saved[p],
+            hashlib.sha256(",".join(map(str, sorted(ends[p]))).encode()).hexdigest(),
+        )
+        for p, cs in members.items()
+    }
+
+
+def language_model(docs: list[tuple], gain: float = 1e-4) -> list[tuple]:
+    """Per document its tokens, known ones, base score and score, n-grams counted in dictionaries."""
+    texts = []
+    for i, text in docs:
+        fold = zlib.crc32(("" if i is None else str(i)).encode()) % 5
+        texts.append((fold, [*words(lower(text or "")), None]))
+
+    def counts(folds):
+        c, n, known = defaultdict(int), 0, set()
+        for fold, ws in texts:
+            if fold in folds:
+                known.update(ws)
+                for k in range(len(ws)):
+                    n += 1
+                    v = ws[k - 1] if k else "\n"
+                    u = ws[k - 2] if k > 1 else "\n"
+                    for gram in ((ws[k],), (v, ws[k]), (u, v, ws[k])):
+                        c[gram] += 1
+                c["\n",] += 1
+                c["\n", "\n"] += 1
+        return c, n, len(known)
+
+    def estimates(ws, c, n):
+        for k, w in enumerate(ws):
+            v = ws[k - 1] if k else "\n"
+            u = ws[k - 2] if k > 1 else "\n"
+            one, two = c.get((v,), 0), c.get((u, v), 0)
+            yield (
+                c.get((w,), 0) / max(1, n), c.get((v, w), 0) / max(1, one), c.get((u, v, w), 0) / max(1, two),
+                one.bit_length(), two.bit_length(),
+            )
+
+    a, b, d = 0.5, [0.0] + [0.5] * 64, [0.0] + [0.5] * 64
+    c, n, size = counts((0, 2, 3))
+    learned_on = [e for fold, ws in texts if fold == 4 for e in estimates(ws, c, n)]
+    last = None
+    while learned_on:
+        won = [[0.0] * 65 for _ in range(3)]
+        of = [[0.0] * 65 for _ in range(3)]
+        bits = 0.0
+        for f1, f2, f3, k2, k3 in learned_on:
+            p1 = a * f1 + (1 - a) / (size + 1)
+            p2 = b[k2] * f2 + (1 - b[k2]) * p1
+            p3 = d[k3] * f3 + (1 - d[k3]) * p2
+            s1, s2, s3 = a * f1 / p1, b[k2] * f2 / p2, d[k3] * f3 / p3
+            bits += np.log2(p3)
+            for level, k, w, o in ((0, 0, (1 - s3) * (1 - s2) * s1, (1 - s3) * (1 - s2)), (1, k2, (1 - s3) * s2, 1 - s3), (2, k3, s3, 1)):
+                won[level][k] += w
+                of[level][k] += o
+        bits /= len(learned_on)
+        if last is not None and bits - last < gain:
+            break
+        last = bits
+
+        def after(old, level, k):
+            new = won[level][k] / of[level][k] if of[level][k] else old
+            return min(max(round(new, 6), 1e-6), 1 - 1e-6)
+
+        a = after(a, 0, 0)
+        b = [0.0] + [after(b[k], 1, k) for k in range(1, 65)]
+        d = [0.0] + [after(d[k], 2, k) for k in range(1, 65)]
+    c, n, size = counts((0, 2, 3, 4))
+    out = []
+    for (i, _), (fold, ws) in zip(docs, texts, strict=True):
+        base = sum(np.log10((c.get((w,), 0) + 0.5) / (n + 0.5 * (size + 1))) for w in ws)
+        score = 0.0
+        for f1, f2, f3, k2, k3 in estimates(ws, c, n):
+            p1 = (a if n else 0) * f1 + (1 - (a if n else 0)) / (size + 1)
+            p2 = b[k2] * f2 + (1 - b[k2]) * p1
+            score += np.log10(d[k3] * f3 + (1 - d[k3]) * p2)
+        out.append((i, fold == 1, len(ws), sum((w,) in c for w in ws), n, base, score))
+    return out
