@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, replace
+from datetime import datetime
 
 
 @dataclass(frozen=True)
 class IngestConfig:
     """Where records come from, where tables go, and how fast batches run.
 
-    ``source`` is ``kafka`` or ``topic_log``; ``table_format`` is ``parquet`` or
-    ``delta``. The rate limits are unset by default, as a first run then takes
+    ``source`` is ``kafka`` or ``topic_log``. ``table_format`` is ``parquet`` (Spark's own
+    streaming sink), ``batches`` (plain Parquet, a folder per date and batch, with a ledger)
+    or ``delta``. The rate limits are unset by default, as a first run then takes
     the whole backlog in one batch; set them for a large backlog.
 
     ``fail_on_data_loss`` left open means: a topic log fails where files are gone; a
@@ -19,6 +21,8 @@ class IngestConfig:
     file's time may lie behind the newest: files beyond it would be skipped without a
     word, so the default skips none. The price is an entry per file in the driver's
     memory; shorten it for logs whose old files are known to be read.
+    ``starting_time`` leaves out records sent before it, in ISO 8601 with a zone.
+    ``id_filters`` writes a Bloom filter on ``_event_id`` per row group, for so many ids.
     """
 
     lakehouse: str
@@ -28,6 +32,7 @@ class IngestConfig:
     log_dir: str | None = None
     table_format: str = "parquet"
     starting_offsets: str = "earliest"
+    starting_time: str | None = None
     fail_on_data_loss: bool | None = None
     trigger_seconds: float = 30
     available_now: bool = False
@@ -39,14 +44,23 @@ class IngestConfig:
     keep_raw: bool = False
     # Gather each date's rows into few files, at one shuffle per batch.
     compact_dates: bool = True
+    id_filters: int | None = None
 
     def __post_init__(self) -> None:
         if self.source not in ("kafka", "topic_log"):
             raise ValueError(f"unknown source {self.source!r}")
         if self.source == "topic_log" and not self.log_dir:
             raise ValueError("source 'topic_log' needs log_dir")
-        if self.table_format not in ("parquet", "delta"):
+        if self.table_format not in ("parquet", "batches", "delta"):
             raise ValueError(f"unknown table format {self.table_format!r}")
+        if self.source == "topic_log" and self.starting_offsets != "earliest":
+            raise ValueError("a topic log starts at its earliest record, or at starting_time")
+        if self.starting_time and self.starting_offsets != "earliest":
+            raise ValueError("give starting_offsets or starting_time, not both")
+        if self.starting_time and datetime.fromisoformat(self.starting_time).tzinfo is None:
+            raise ValueError("starting_time needs a time zone")
+        if self.id_filters and self.table_format == "delta":
+            raise ValueError("id_filters are for Parquet tables")
 
     @property
     def fails_on_data_loss(self) -> bool:
@@ -54,6 +68,21 @@ class IngestConfig:
             return self.source == "topic_log"
         return self.fail_on_data_loss
 
+    @property
+    def file_options(self) -> dict[str, str]:
+        """Options of the Parquet writer."""
+        if not self.id_filters:
+            return {}
+        return {
+            "parquet.bloom.filter.enabled#_event_id": "true",
+            "parquet.bloom.filter.expected.ndv#_event_id": str(self.id_filters),
+            # A column of ids gains nothing from a dictionary.
+            "parquet.enable.dictionary#_event_id": "false",
+        }
+
+    def ledger_path(self, table: str) -> str:
+        return f"{self.lakehouse}/ledger/{table}"
+
     def table_path(self, table: str) -> str:
         return f"{self.lakehouse}/bronze/{table}"
 

@@ -23,7 +23,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("--prefix", default="shop", help="topic name prefix")
     parser.add_argument("--log-dir", help="read a topic log instead of the broker")
-    parser.add_argument("--table-format", choices=["parquet", "delta"], default="parquet")
+    parser.add_argument("--table-format", choices=["parquet", "batches", "delta"], default="parquet")
     parser.add_argument("--trigger-seconds", type=float, default=30)
     parser.add_argument("--available-now", action="store_true", help="stop when caught up")
     parser.add_argument(
@@ -36,7 +36,11 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--min-partitions", type=int, help="tasks to read a broker's topic with, if more than its own"
     )
-    parser.add_argument("--starting-offsets", default="earliest")
+    parser.add_argument("--starting-offsets", default="earliest", help="of a broker")
+    parser.add_argument("--starting-time", help="leave out records before, ISO 8601 with a zone")
+    parser.add_argument(
+        "--id-filters", type=int, help="Bloom filters on event ids, for so many per row group"
+    )
     parser.add_argument(
         "--fail-on-data-loss",
         action=argparse.BooleanOptionalAction,

@@ -7,6 +7,7 @@ run over groups bounded by construction.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 from operator import or_
 
@@ -103,6 +104,16 @@ def _steps(runs: DataFrame, within: list[str]) -> DataFrame:
     )
 
 
+def find_events(bronze: DataFrame, ids: Iterable[str]) -> DataFrame:
+    """All rows of a few events, wherever in the history they are.
+
+    The ids are pushed down as comparisons one by one, for which Parquet asks the Bloom
+    filters of a table written with ``id_filters``: row groups without any of the ids are
+    not read. Long lists belong in a table and a join.
+    """
+    return bronze.where(reduce(or_, (F.col("_event_id") == one for one in ids), F.lit(False)))
+
+
 def topic_mismatch(bronze: DataFrame) -> DataFrame:
     """Rows whose payload names another topic, or none, than they arrived on."""
     return (
@@ -140,12 +151,11 @@ def read_bronze(spark: SparkSession, cfg: IngestConfig, spec: TopicSpec) -> Data
     path = cfg.table_path(spec.table)
     if cfg.table_format == "delta":
         return spark.read.format("delta").load(path)
-    schema = spec.bronze_schema
-    if cfg.keep_raw:
-        schema = schema.add("_raw_value", "string")
-    table = spark.read.schema(schema).parquet(path)
+    schema = spec.stored_schema(cfg.keep_raw)
     last = ["_bronze_date"]
-    return table.select(*(c for c in table.columns if c not in last), *last)
+    # The folders of a table in batches have the batch's name too, which is no bronze column.
+    table = spark.read.schema(schema).parquet(path)
+    return table.select(*(c for c in schema.names if c not in last), *last)
 
 
 def bronze_day(

@@ -10,19 +10,23 @@ import dataclasses
 from collections.abc import Callable
 from functools import partial, reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.config import IngestConfig
 from freshet.functions import bronze_date, ingested_at, ingested_instant, key_partition, utf8
 from freshet.operators import audit, replay
+from freshet.operators import lag as lags
+from freshet.operators.content import content_differences
+from freshet.operators.drift import undeclared_fields
 from freshet.operators.bronze import parse_bronze, quarantine
 from freshet.plans.feeds import EVENTS, FEEDS, SPECS, Feed, feed_records, payload_rows, table
 from freshet.registry import RECORD_SCHEMA, TopicSpec, registry
-from freshet.session import list_folder, located_file, qualified, scratch_dir
+from freshet.session import list_folder, located_file, qualified, remove_folder, scratch_dir
 from freshet.sources import topic_log
 from freshet.sources.csv_records import FILE, ORDINAL, MissingInputs, read_csv, require_inputs
-from freshet.streaming import runner
+from freshet.streaming import batches, runner
 from freshet.streaming.dedup import dedup_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,6 +165,113 @@ def progress_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(lines, "stream string, rows long, without_event_id long")
 
 
+# -- tables in batches ---------------------------------------------------------
+
+
+ORDERS = SPECS["orders"]
+
+
+def deliver(records: DataFrame, cfg: IngestConfig, files: int = 3) -> None:
+    """Append records to the log, spread over some files."""
+    topic_log.write_records(records.repartition(files, "offset"), cfg.log_dir)
+
+
+def in_batches(spark: SparkSession, **settings) -> IngestConfig:
+    """A table in batches, which takes one file of the log at a time."""
+    return stream_config(spark, table_format="batches", max_files_per_trigger=1, **settings)
+
+
+def run_failing(spark: SparkSession, cfg: IngestConfig, number: int) -> None:
+    """Run the orders' stream, which fails between the write of one batch and its commit."""
+
+    def fail(batch: str) -> None:
+        if batch.endswith(f"{number:06d}"):
+            raise RuntimeError("lost after the write")
+
+    query = runner.start_stream(spark, ORDERS, cfg, after_write=fail)
+    try:
+        runner.await_all(spark, [query])
+    except StreamingQueryException:
+        return
+    raise AssertionError("the stream was to fail")
+
+
+def batch_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ledger knows after two runs with a restart in between, batch by batch of one file."""
+    cfg = in_batches(spark)
+    orders = feed_records(spark, sf_dir, FEEDS["orders"])
+    early = F.col("timestamp") < F.lit("2024-01-04T00:00:00+00:00").cast("timestamp")
+    for delivery in (orders.where(early), orders.where(~early)):
+        deliver(delivery, cfg)
+        runner.run(spark, [ORDERS], cfg)
+    lines = batches.ledger_notes(spark, cfg, ORDERS).read()
+    return lines.groupBy("stream", "_kafka_partition").agg(
+        F.countDistinct("batch").alias("batches"),
+        F.sum("rows").alias("rows"),
+        F.sum("without_event_id").alias("without_event_id"),
+        F.min("first_offset").alias("first_offset"),
+        F.max("last_offset").alias("last_offset"),
+    )
+
+
+def bronze_failed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that fails after its write is run again and replaces itself."""
+    cfg = in_batches(spark)
+    deliver(feed_records(spark, sf_dir, FEEDS["orders"]), cfg)
+    run_failing(spark, cfg, 1)
+    runner.run(spark, [ORDERS], cfg)
+    return portable(audit.read_bronze(spark, cfg, ORDERS))
+
+
+def bronze_lost_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checkpoint is lost with a batch half done; the next run reads on from the table."""
+    cfg = in_batches(spark)
+    orders = feed_records(spark, sf_dir, FEEDS["orders"])
+    early = F.col("timestamp") < F.lit("2024-01-04T00:00:00+00:00").cast("timestamp")
+    deliver(orders.where(early), cfg)
+    run_failing(spark, cfg, 1)
+    remove_folder(spark, cfg.checkpoint_path(ORDERS.table))
+    deliver(orders.where(~early), cfg)
+    runner.run(spark, [ORDERS], cfg)
+    return portable(audit.read_bronze(spark, cfg, ORDERS))
+
+
+def offset_gaps_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing offsets of line items that came in eight batches, from the batches' runs."""
+    cfg = in_batches(spark)
+    spec = SPECS["order_items"]
+    positions = gappy_items(spark, sf_dir)
+    records = positions.select(
+        F.lit(None).cast("binary").alias("key"),
+        utf8(F.lit('{"_ingested_at": "2024-01-01T00:00:00+00:00"}')).alias("value"),
+        F.col("_kafka_topic").alias("topic"),
+        F.col("_kafka_partition").cast("int").alias("partition"),
+        F.col("_kafka_offset").alias("offset"),
+        F.lit("2024-01-01T00:00:00+00:00").cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+    deliver(records, cfg, files=8)
+    runner.run(spark, [spec], cfg)
+    return batches.offset_gap_ranges(spark, cfg, spec)
+
+
+def bronze_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders sent on the fourth day or later."""
+    return streamed_orders(spark, sf_dir, starting_time="2024-01-04T00:00:00+00:00")
+
+
+def find_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the events of some orders are, in a table with a Bloom filter on ids per row group."""
+    cfg = in_batches(spark, id_filters=10_000)
+    orders = feed_records(spark, sf_dir, FEEDS["orders"])
+    deliver(orders, cfg)
+    runner.run(spark, [ORDERS], cfg)
+    wanted = parse_bronze(orders, ORDERS).where("cast(order_id as bigint) % 1499 = 7")
+    ids = [row["_event_id"] for row in wanted.select("_event_id").collect()]  # one in 1,499
+    found = audit.find_events(audit.read_bronze(spark, cfg, ORDERS), ids)
+    return portable(found.select("_event_id", "_kafka_partition", "_kafka_offset", "_bronze_date"))
+
+
 def deduplicated(spark: SparkSession, deliveries: list[DataFrame]) -> DataFrame:
     """What passes the stream's duplicate removal when rows come in several deliveries."""
     cfg = stream_config(spark)
@@ -536,6 +647,46 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(audit.reconcile(source, parsed(spark, sf_dir, "events")))
 
 
+def differing_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events against themselves with some changed, some lost, some doubled."""
+    rows = parsed(spark, sf_dir, "events")
+    number = F.col("event_id").cast("bigint")
+    landed = rows.where(number % 101 != 5).withColumn(
+        "value", F.when(number % 97 == 3, F.concat("value", F.lit("0"))).otherwise(F.col("value"))
+    )
+    landed = landed.unionByName(landed.where(number % 103 == 9))
+    fields = list(EVENTS.fields)
+    return portable(content_differences(rows, landed, fields))
+
+
+def drifting_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of the events' own JSON, and of errors with further ones, on a topic per type."""
+    more = F.format_string('{"k": "%d", "event_id": "x", "seen": [%d, 1]}', "user_id", "user_id")
+    records = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("shop."), "event_type").alias("topic"),
+        utf8(F.when(F.col("event_type") == "error", more).otherwise(F.col("props"))).alias("value"),
+    )
+    return undeclared_fields(records, EVENTS)
+
+
+def lag_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of the lag from stored daily sketches, and whether their ranks are near enough."""
+    needed = ["_kafka_topic", "_bronze_date", "_kafka_timestamp", "_ingested_at"]
+    rows = reduce(DataFrame.unionByName, (parsed(spark, sf_dir, name).select(*needed) for name in FEEDS))
+    path = scratch_dir(spark, "sketches")
+    lags.lag_sketches(rows, accuracy=8 * lags.ACCURACY).write.partitionBy("_bronze_date").parquet(path)
+    found = lags.lag_quantiles(spark.read.parquet(path), (0.1, 0.5, 0.9, 0.99))
+    exact = rows.select("_kafka_topic", lags.lag_us().alias("lag")).groupBy("_kafka_topic", "lag").count()
+    ranks = found.join(exact, "_kafka_topic").groupBy("_kafka_topic", "quantile", "timed").agg(
+        (F.sum(F.when(F.col("lag") < F.col("lag_us"), F.col("count")).otherwise(0)) / F.sum("count")).alias("under"),
+        (F.sum(F.when(F.col("lag") <= F.col("lag_us"), F.col("count")).otherwise(0)) / F.sum("count")).alias("upto"),
+    )
+    near = (F.col("upto") >= F.col("quantile") - lags.RANK_ERROR) & (
+        F.col("under") <= F.col("quantile") + lags.RANK_ERROR
+    )
+    return ranks.select("_kafka_topic", "quantile", "timed", near.alias("near"))
+
+
 def orders_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(audit.count_by_day(parsed(spark, sf_dir, "orders")))
 
@@ -574,4 +725,13 @@ QUERIES: dict[str, Query] = {
     "topic_mismatch": topic_mismatch,
     "ingest_lag": ingest_lag,
     "reconcile": reconcile,
+    "batch_ledger": batch_ledger,
+    "bronze_failed_batch": bronze_failed_batch,
+    "bronze_lost_checkpoint": bronze_lost_checkpoint,
+    "offset_gaps_by_batch": offset_gaps_by_batch,
+    "bronze_since": bronze_since,
+    "find_events": find_events,
+    "differing_content": differing_content,
+    "drifting_fields": drifting_fields,
+    "lag_quantiles": lag_quantiles,
 }

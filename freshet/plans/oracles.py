@@ -143,7 +143,73 @@ QUARANTINE = """
     where not coalesce(case when json_valid(text) then json_type(text) = 'OBJECT' else false end,
                        false)"""
 
+GAP_RANGES = f"""
+    select _kafka_topic, _kafka_partition, before + 1 as first_missing,
+           _kafka_offset - 1 as last_missing
+    from (select *, lag(_kafka_offset) over (
+              partition by _kafka_topic, _kafka_partition order by _kafka_offset) as before
+          from ({GAPPY}))
+    where _kafka_offset - before > 1"""
+
+EVENT_FIELDS = ", ".join(f"{sql} as {name}" for name, sql in field_sql(FEEDS["events"]).items())
+
+# All rows that stand on one side more often than on the other.
+DIFFERENCES = f"""
+    with rows as (
+        select 'shop.events' as _kafka_topic, {ingested_sql(FEEDS["events"])} as stamp, {EVENT_FIELDS},
+               event_id as number
+        from events
+    ), changed as (
+        select * replace (case when number % 97 = 3 then value || '0' else value end as value)
+        from rows where number % 101 <> 5
+    ), landed as (
+        select * from changed union all select * from changed where number % 103 = 9
+    ), extra as (
+        select *, 1 as side from (select * from rows except all select * from landed)
+        union all
+        select *, -1 from (select * from landed except all select * from rows)
+    ), named as (
+        select distinct * exclude (side) from extra
+    )
+    select _kafka_topic, left(stamp, 10) as _bronze_date, event_id, user_id, event_type, value, props,
+           (select count(*) from rows r where r.number = n.number and r.value = n.value) as source_copies,
+           (select count(*) from landed l where l.number = n.number and l.value = n.value) as bronze_copies
+    from named n"""
+
+DRIFT = """
+    with values as (
+        select 'shop.' || event_type as topic, case when event_type = 'error'
+               then '{"k": "' || user_id || '", "event_id": "x", "seen": [' || user_id || ', 1]}'
+               else props end as v
+        from events
+    ), fields as (
+        select topic, unnest(json_keys(v)) as field, v from values
+    )
+    select topic, field, count(*) as rows,
+           case max(json_type(v, '$.' || field)) when 'VARCHAR' then 'STRING' when 'ARRAY' then 'ARRAY<BIGINT>'
+                else 'BIGINT' end as type
+    from fields where field <> 'event_id' group by topic, field"""
+
 ORACLES: dict[str, str] = {
+    "batch_ledger": f"""
+        select 'bronze_orders' as stream, _kafka_partition, cast(6 as bigint) as batches, count(*) as rows,
+               cast(0 as bigint) as without_event_id, min(_kafka_offset) as first_offset,
+               max(_kafka_offset) as last_offset
+        from ({bronze_sql('orders')}) group by _kafka_partition""",
+    "bronze_failed_batch": bronze_sql("orders"),
+    "bronze_lost_checkpoint": bronze_sql("orders"),
+    "offset_gaps_by_batch": GAP_RANGES,
+    "bronze_since": f"""
+        select * from ({bronze_sql('orders')})
+        where _kafka_timestamp_us >= epoch_us(timestamp '2024-01-04')""",
+    "find_events": f"""
+        select _event_id, _kafka_partition, _kafka_offset, _bronze_date from ({bronze_sql('orders')})
+        where cast(order_id as bigint) % 1499 = 7""",
+    "differing_content": DIFFERENCES,
+    "drifting_fields": DRIFT,
+    "lag_quantiles": f"""
+        select _kafka_topic, unnest([0.1::double, 0.5, 0.9, 0.99]) as quantile, timed, true as near
+        from ({lag_sql()})""",
     **{f"bronze_{name}": bronze_sql(name) for name in FEEDS},
     "bronze_events_raw": bronze_sql("events", raw=True),
     "bronze_orders_by_day": counts_by_day_sql("orders"),
@@ -226,13 +292,7 @@ ORACLES: dict[str, str] = {
                max(_kafka_offset) - min(_kafka_offset) + 1 - count(distinct _kafka_offset)
                    as missing
         from ({GAPPY}) group by _kafka_topic, _kafka_partition""",
-    "offset_gap_ranges": f"""
-        select _kafka_topic, _kafka_partition, before + 1 as first_missing,
-               _kafka_offset - 1 as last_missing
-        from (select *, lag(_kafka_offset) over (
-                  partition by _kafka_topic, _kafka_partition order by _kafka_offset) as before
-              from ({GAPPY}))
-        where _kafka_offset - before > 1""",
+    "offset_gap_ranges": GAP_RANGES,
     "topic_mismatch": """
         select 'shop.click' as _kafka_topic, nullif('shop.' || event_type, 'shop.error') as _topic,
                count(*) as rows

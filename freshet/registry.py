@@ -142,6 +142,11 @@ class TopicSpec:
             ]
         )
 
+    def stored_schema(self, keep_raw: bool) -> StructType:
+        """The bronze columns, with the raw value's text if the table keeps it."""
+        schema = StructType(self.bronze_schema.fields)
+        return schema.add("_raw_value", StringType()) if keep_raw else schema
+
 
 def partition_count(specs: Iterable[TopicSpec], topic: Column) -> Column:
     """The number of partitions of the topic a record is for."""

@@ -15,6 +15,8 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    # Spark's default type for times has no statistics, by which readers leave files out.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Bronze streams keep no state, so their batches may be re-planned too.
     "spark.sql.adaptive.streaming.stateless.enabled": "true",
     # Duplicate removal keeps its ids on disk, with incremental checkpoints.

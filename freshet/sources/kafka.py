@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +22,15 @@ def read_options(spec: TopicSpec, cfg: IngestConfig) -> dict[str, str]:
     options = {
         "kafka.bootstrap.servers": cfg.broker,
         "subscribe": spec.topic,
-        "startingOffsets": cfg.starting_offsets,
         "failOnDataLoss": str(cfg.fails_on_data_loss).lower(),
     }
+    if cfg.starting_time:
+        since = datetime.fromisoformat(cfg.starting_time)
+        options["startingTimestamp"] = str(round(since.timestamp() * 1000))
+        # A partition without records of that time is read from its end.
+        options["startingOffsetsByTimestampStrategy"] = "latest"
+    else:
+        options["startingOffsets"] = cfg.starting_offsets
     if cfg.max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(cfg.max_offsets_per_trigger)
     if cfg.min_partitions:

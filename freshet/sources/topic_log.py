@@ -51,8 +51,18 @@ def read_options(cfg: IngestConfig) -> dict[str, str]:
 
 
 def read_stream(spark: SparkSession, spec: TopicSpec, cfg: IngestConfig) -> DataFrame:
+    """The topic's records, from ``starting_time`` on if that is set.
+
+    Files and row groups that end before it are left out by their statistics, which the
+    package's session settings write.
+    """
     reader = spark.readStream.schema(RECORD_SCHEMA).options(**read_options(cfg))
-    return reader.parquet(topic_path(cfg.log_dir, spec.topic))
+    return since(reader.parquet(topic_path(cfg.log_dir, spec.topic)), cfg.starting_time)
+
+
+def since(records: DataFrame, time: str | None) -> DataFrame:
+    """Records sent at ``time`` or later, all if it is None."""
+    return records if time is None else records.where(F.col("timestamp") >= F.lit(time).cast("timestamp"))
 
 
 def read_batch(spark: SparkSession, log_dir: str, topic: str) -> DataFrame:

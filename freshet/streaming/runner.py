@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable
+from dataclasses import replace
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import SparkSession
@@ -14,6 +15,7 @@ from freshet.config import IngestConfig
 from freshet.operators.bronze import parse_bronze
 from freshet.registry import TopicSpec
 from freshet.sources.records import read_topic
+from freshet.streaming import batches
 from freshet.streaming.sink import write_bronze
 
 log = logging.getLogger(__name__)
@@ -21,31 +23,53 @@ log = logging.getLogger(__name__)
 Watcher = Callable[[StreamingQuery], None]
 
 
-def start_stream(spark: SparkSession, spec: TopicSpec, cfg: IngestConfig) -> StreamingQuery:
-    """One topic's stream; each batch reports its rows and those left unparsed."""
-    bronze = parse_bronze(read_topic(spark, spec, cfg), spec, cfg.keep_raw).observe(
-        spec.table,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("_event_id").isNull()).alias("without_event_id"),
-    )
+def start_stream(
+    spark: SparkSession,
+    spec: TopicSpec,
+    cfg: IngestConfig,
+    on_batch: batches.OnBatch | None = None,
+    after_write: Callable[[str], None] | None = None,
+) -> StreamingQuery:
+    """One topic's stream; each batch reports its rows and those left unparsed.
+
+    Spark's own sinks report through the query's progress; ``batches`` tables call
+    ``on_batch``, and ``after_write`` between a batch's write and its entry in the ledger.
+    """
+    write_batch = None
+    if cfg.table_format == "batches":
+        epoch = batches.open_epoch(spark, cfg, spec)
+        if epoch and cfg.source == "kafka":
+            offsets = batches.starting_offsets(spark, cfg, spec)
+            cfg = replace(cfg, starting_offsets=offsets, starting_time=None)
+        write_batch = batches.BatchWriter(spec, cfg, epoch, on_batch, after_write)
+    bronze = parse_bronze(read_topic(spark, spec, cfg), spec, cfg.keep_raw)
+    if not write_batch:
+        bronze = bronze.observe(
+            spec.table,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("_event_id").isNull()).alias("without_event_id"),
+        )
     # Under the FAIR scheduler every topic gets its own share of the executors.
     context, pool = spark.sparkContext, "spark.scheduler.pool"
     before = context.getLocalProperty(pool)
     context.setLocalProperty(pool, spec.table)
     try:
-        return write_bronze(bronze, spec, cfg)
+        return write_bronze(bronze, spec, cfg, write_batch)
     finally:
         context.setLocalProperty(pool, before)
 
 
 def start_all(
-    spark: SparkSession, specs: Iterable[TopicSpec], cfg: IngestConfig
+    spark: SparkSession,
+    specs: Iterable[TopicSpec],
+    cfg: IngestConfig,
+    on_batch: batches.OnBatch | None = None,
 ) -> list[StreamingQuery]:
     """Start every topic's stream; if one cannot start, none is left running."""
     queries: list[StreamingQuery] = []
     try:
         for spec in specs:
-            queries.append(start_stream(spark, spec, cfg))
+            queries.append(start_stream(spark, spec, cfg, on_batch))
     except BaseException:
         stop_all(queries)
         raise
@@ -79,18 +103,26 @@ def await_all(
                     spark.streams.awaitAnyTermination(poll_seconds)
                 except StreamingQueryException:
                     log.debug("a stream failed; its own exception is raised below")
+            still = []
             for query in running:
+                # Before the look: a stream that ends after it is looked at once more.
+                active = query.isActive
                 if watch:
                     watch(query)
-                if not query.isActive and (failure := query.exception()):
+                if active:
+                    still.append(query)
+                elif failure := query.exception():
                     raise failure
-            running = [query for query in running if query.isActive]
+            running = still
     finally:
         stop_all(running)
 
 
 class Progress:
-    """Running totals per stream, read from the batches' own metrics.
+    """Running totals per stream of one run, read from the batches' own metrics.
+
+    ``batches`` tables hand on every batch (``add``) and keep them in their ledger, whose
+    totals outlive the run. Of other tables:
 
     An idle stream reports under the number its next batch will have, without metrics;
     only a report with metrics is a batch. Spark keeps the last reports only
@@ -113,9 +145,9 @@ class Progress:
                 log.warning("%s: batches after %d were not counted", query.name, last)
             self._last_batch[query.name] = batch["batchId"]
             for metrics in batch["observedMetrics"].values():
-                self._add(query.name, metrics["rows"], metrics["without_event_id"])
+                self.add(query.name, metrics["rows"], metrics["without_event_id"])
 
-    def _add(self, name: str, rows: int, unparsed: int) -> None:
+    def add(self, name: str, rows: int, unparsed: int) -> None:
         before = self.rows.get(name, 0)
         self.rows[name] = before + rows
         self.unparsed[name] = self.unparsed.get(name, 0) + unparsed
@@ -134,5 +166,5 @@ def run(
         if watch:
             watch(query)
 
-    await_all(spark, start_all(spark, specs, cfg), watcher)
+    await_all(spark, start_all(spark, specs, cfg, progress.add), watcher)
     return progress

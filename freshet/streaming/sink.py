@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -9,22 +11,33 @@ from freshet.config import IngestConfig
 from freshet.registry import TopicSpec
 
 
-def write_bronze(bronze: DataFrame, spec: TopicSpec, cfg: IngestConfig) -> StreamingQuery:
+def write_bronze(
+    bronze: DataFrame,
+    spec: TopicSpec,
+    cfg: IngestConfig,
+    write_batch: Callable[[DataFrame, int], None] | None = None,
+) -> StreamingQuery:
     """Append a stream to its date-partitioned table.
 
     Each batch writes about one file per task and date. With ``compact_dates``
     rows are first gathered by date; adaptive execution splits a dominating
-    date over several tasks, so none has to write it alone.
+    date over several tasks, so none has to write it alone. ``write_batch``, if given,
+    writes the batches instead of Spark's own sink.
     """
-    if cfg.compact_dates:
-        bronze = bronze.hint("rebalance", "_bronze_date")
-    writer = (
-        bronze.writeStream.queryName(f"bronze_{spec.table}")
-        .format(cfg.table_format)
-        .outputMode("append")
-        .partitionBy("_bronze_date")
-        .option("checkpointLocation", cfg.checkpoint_path(spec.table))
-        .option("path", cfg.table_path(spec.table))
+    if write_batch:
+        writer = bronze.writeStream.foreachBatch(write_batch)
+    else:
+        if cfg.compact_dates:
+            bronze = bronze.hint("rebalance", "_bronze_date")
+        writer = (
+            bronze.writeStream.format(cfg.table_format)
+            .outputMode("append")
+            .partitionBy("_bronze_date")
+            .options(**cfg.file_options)
+            .option("path", cfg.table_path(spec.table))
+        )
+    writer = writer.queryName(f"bronze_{spec.table}").option(
+        "checkpointLocation", cfg.checkpoint_path(spec.table)
     )
     if cfg.available_now:
         writer = writer.trigger(availableNow=True)

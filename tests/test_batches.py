@@ -1,0 +1,285 @@
+"""Tables in batches: ledger, recovery, runs of offsets, id filters, starts."""
+
+import dataclasses
+import json
+import random
+
+import duckdb
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from freshet import IngestConfig, registry
+from freshet.operators import audit
+from freshet.operators.intervals import RUN_SCHEMA, merged_runs, missing_ranges, single_runs
+from freshet.session import remove_folder
+from freshet.sources import kafka, topic_log
+from freshet.streaming import batches, runner
+from freshet.streaming.notes import Notes
+from records import bronze_frame, plan_text
+from test_streams import log_rows
+
+ORDERS = registry("shop")["shop.orders"]
+
+
+@pytest.fixture
+def cfg(tmp_path):
+    return IngestConfig(
+        lakehouse=str(tmp_path / "lake"),
+        checkpoints=str(tmp_path / "checkpoints"),
+        source="topic_log",
+        log_dir=str(tmp_path / "log"),
+        table_format="batches",
+        available_now=True,
+    )
+
+
+def bronze(spark, cfg):
+    return audit.read_bronze(spark, cfg, ORDERS)
+
+
+def offsets(spark, cfg):
+    return sorted(r._kafka_offset for r in bronze(spark, cfg).collect())
+
+
+def fail_after_write(spark, cfg, batch):
+    def fail(name):
+        if name == batch:
+            raise RuntimeError("lost after the write")
+
+    with pytest.raises(StreamingQueryException, match="lost after the write"):
+        runner.await_all(spark, [runner.start_stream(spark, ORDERS, cfg, after_write=fail)])
+
+
+class Ending:
+    """A stream whose last batch is done, and which ends, while it is looked at."""
+
+    name, observed = "bronze_orders", [5]
+
+    def __init__(self):
+        self.isActive, self.batches = True, 1
+
+    @property
+    def recentProgress(self):
+        seen = [
+            {"batchId": n, "observedMetrics": {"orders": {"rows": 5, "without_event_id": 0}}}
+            for n in range(self.batches)
+        ]
+        self.isActive, self.batches = False, 3
+        return seen
+
+    def exception(self):
+        return None
+
+    def stop(self):
+        raise AssertionError("it has ended")
+
+
+def test_a_stream_that_ends_while_watched_is_looked_at_once_more(spark):
+    progress = runner.Progress()
+    runner.await_all(spark, [Ending()], progress, poll_seconds=1)
+    assert progress.rows == {"bronze_orders": 15}
+
+
+def test_totals_outlive_runs(spark, cfg):
+    for first in (0, 40):
+        log_rows(spark, cfg, first, first + 40)
+        assert runner.run(spark, [ORDERS], cfg).rows == {"bronze_orders": 40}
+    assert runner.run(spark, [ORDERS], cfg).rows == {}
+    total = batches.totals(spark, cfg, [ORDERS]).first()
+    assert (total.stream, total.batches, total.rows, total.without_event_id) == ("bronze_orders", 2, 80, 0)
+    assert bronze(spark, cfg).columns == ORDERS.bronze_schema.names and bronze(spark, cfg).count() == 80
+
+
+def test_empty_topic_has_no_batch(spark, cfg):
+    topic_log.create_topics(spark, cfg.log_dir, [ORDERS])
+    assert runner.run(spark, [ORDERS], cfg).rows == {}
+    assert batches.totals(spark, cfg, [ORDERS]).collect() == []
+
+
+def test_failed_batch_replaces_itself(spark, cfg, tmp_path):
+    log_rows(spark, cfg, 0, 40)
+    fail_after_write(spark, cfg, "0000-000000000000")
+    assert offsets(spark, cfg) == list(range(40))
+    assert batches.totals(spark, cfg, [ORDERS]).collect() == []
+    runner.run(spark, [ORDERS], cfg)
+    assert offsets(spark, cfg) == list(range(40))
+    assert batches.totals(spark, cfg, [ORDERS]).first().rows == 40
+    assert not list((tmp_path / "lake/bronze/orders").rglob("_spark_metadata"))
+
+
+def test_other_engines_read_the_table(spark, cfg, tmp_path):
+    log_rows(spark, cfg, 0, 40)
+    runner.run(spark, [ORDERS], cfg)
+    found = duckdb.sql(
+        f"select count(*), min(_bronze_date)::varchar, min(_batch) from "
+        f"read_parquet('{tmp_path}/lake/bronze/orders/*/*/*.parquet', hive_partitioning = true)"
+    ).fetchall()
+    assert found == [(40, "2024-01-15", "0000-000000000000")]
+
+
+def test_lost_checkpoint_repeats_and_loses_nothing(spark, cfg):
+    log_rows(spark, cfg, 0, 40)
+    runner.run(spark, [ORDERS], cfg)
+    log_rows(spark, cfg, 40, 60)
+    fail_after_write(spark, cfg, "0000-000000000001")
+    remove_folder(spark, cfg.checkpoint_path("orders"))
+    # The broker would be read on from the last complete batch.
+    epoch = batches.open_epoch(spark, cfg, ORDERS)
+    assert epoch == 1
+    assert json.loads(batches.starting_offsets(spark, cfg, ORDERS)) == {"shop.orders": {"0": 40, "1": -2, "2": -2}}
+    lines = batches.ledger_notes(spark, cfg, ORDERS).read()
+    assert {(r.batch, r.complete, r.rows) for r in lines.collect()} == {
+        ("0000-000000000000", True, 40),
+        ("0000-000000000001", False, 20),
+    }
+    log_rows(spark, cfg, 60, 75)
+    runner.run(spark, [ORDERS], cfg)
+    assert offsets(spark, cfg) == list(range(75))
+    log_rows(spark, cfg, 75, 80)
+    runner.run(spark, [ORDERS], cfg)
+    assert offsets(spark, cfg) == list(range(80))
+    assert batches.totals(spark, cfg, [ORDERS]).first().rows == 80
+
+
+def test_rows_below_the_end_that_were_never_written_are_taken(spark, cfg):
+    log_rows(spark, cfg, 30, 40)
+    runner.run(spark, [ORDERS], cfg)
+    remove_folder(spark, cfg.checkpoint_path("orders"))
+    log_rows(spark, cfg, 0, 35)
+    runner.run(spark, [ORDERS], cfg)
+    # Offsets 30 to 34 were delivered twice; their positions are in the table already.
+    assert offsets(spark, cfg) == list(range(40))
+
+
+def test_notes_fold_and_pass_over_unfinished_ones(spark, tmp_path):
+    notes = Notes(spark, str(tmp_path / "notes"), RUN_SCHEMA)
+    assert notes.read().collect() == []
+    for k in range(7):
+        rows = bronze_frame(spark, [(0, o, "e") for o in range(10 * k, 10 * k + 10)])
+        notes.write(f"{k:03d}", merged_runs(single_runs(rows)))
+        notes.fold(merged_runs, every=3)
+    (tmp_path / "notes/single/007/_temporary").mkdir(parents=True)
+    (tmp_path / "notes/folded/007/_temporary").mkdir(parents=True)
+    assert [tuple(r) for r in merged_runs(notes.read()).collect()] == [("shop.orders", 0, 0, 69)]
+    assert sorted(p.name for p in (tmp_path / "notes/folded").iterdir()) == ["002", "005", "007"]
+    assert sorted(p.name for p in (tmp_path / "notes/single").iterdir()) == ["003", "004", "005", "006", "007"]
+
+
+def runs_of(numbers):
+    out = []
+    for n in sorted(numbers):
+        if out and n <= out[-1][1] + 1:
+            out[-1][1] = n
+        else:
+            out.append([n, n])
+    return {tuple(run) for run in out}
+
+
+@pytest.mark.parametrize("block", [2, 7, 1000])
+def test_merged_runs_hold_the_same_offsets(spark, block):
+    draw = random.Random(block)
+    expected, rows = {}, []
+    for p in range(4):
+        numbers = set()
+        for _ in range(30):
+            low = draw.randrange(0, 400)
+            high = low + draw.choice([0, 0, 1, 5, 90])
+            numbers.update(range(low, high + 1))
+            rows.append(("t", p, low, high))
+        expected[p] = runs_of(numbers)
+    runs = spark.createDataFrame(rows, RUN_SCHEMA)
+    merged = merged_runs(runs, block)
+    found = {p: {(r.low, r.high) for r in merged.collect() if r._kafka_partition == p} for p in range(4)}
+    assert found == expected and merged.count() == sum(map(len, expected.values()))
+    again = merged_runs(merged.unionByName(runs), block)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, merged.collect()))
+    gaps = {(r._kafka_partition, r.first_missing, r.last_missing) for r in missing_ranges(runs, block).collect()}
+    between = {
+        (p, a[1] + 1, b[0] - 1) for p, found in expected.items() for a, b in zip(sorted(found), sorted(found)[1:])
+    }
+    assert gaps == between
+
+
+def test_gaps_by_batch_read_the_notes_only(spark, cfg):
+    for first in (0, 50, 20):
+        log_rows(spark, cfg, first, first + 10)
+        runner.run(spark, [ORDERS], cfg)
+    ranges = batches.offset_gap_ranges(spark, cfg, ORDERS)
+    whole = audit.offset_gap_ranges(bronze(spark, cfg))
+    assert sorted(map(tuple, ranges.collect())) == sorted(map(tuple, whole.collect()))
+    assert ranges.inputFiles() and all("/ledger/orders/offsets/" in file for file in ranges.inputFiles())
+
+
+def rows_read(df):
+    """Rows that the scan gave out, by its own metric."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    scans = plan.collectLeaves()
+    return sum(scans.apply(k).metrics().apply("numOutputRows").value() for k in range(scans.size()))
+
+
+def test_id_filters_skip_row_groups(spark, cfg):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name, settings in (("plain", {}), ("filtered", {"id_filters": 4000})):
+            one = dataclasses.replace(
+                cfg, lakehouse=f"{cfg.lakehouse}-{name}", checkpoints=f"{cfg.checkpoints}-{name}", **settings
+            )
+            if name == "plain":
+                log_rows(spark, one, 0, 4000)
+            runner.run(spark, [ORDERS], one)
+            lost = audit.find_events(bronze(spark, one), ["e2000x"])  # between the least and the greatest
+            known = audit.find_events(bronze(spark, one), ["e2000", "e2000x"])
+            assert "EqualTo(_event_id,e2000x)" in plan_text(lost)
+            assert (rows_read(lost) == 0) == (name == "filtered")
+            assert [r.order_id for r in known.collect()] == ["2000"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_no_id_finds_no_event(spark, cfg):
+    log_rows(spark, cfg, 0, 5)
+    runner.run(spark, [ORDERS], cfg)
+    assert audit.find_events(bronze(spark, cfg), []).collect() == []
+
+
+def test_starting_time_leaves_out_files_by_their_statistics(spark, cfg):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        log_rows(spark, cfg, 0, 10)  # all sent on 2024-01-15 at 8
+        records = topic_log.read_batch(spark, cfg.log_dir, ORDERS.topic)
+        later = topic_log.since(records, "2024-01-15T09:00:00+01:00")
+        assert rows_read(later) == 10
+        assert rows_read(topic_log.since(records, "2024-01-15T09:00:00+00:00")) == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    late = dataclasses.replace(cfg, starting_time="2024-01-15T08:00:01+00:00")
+    assert runner.run(spark, [ORDERS], late).rows == {}
+
+
+@pytest.mark.parametrize(
+    "settings",
+    [
+        {"starting_offsets": "latest"},
+        {"starting_time": "2024-01-15T08:00:01"},
+        {"source": "kafka", "starting_offsets": "latest", "starting_time": "2024-01-15T08:00:01+00:00"},
+        {"table_format": "delta", "id_filters": 5},
+    ],
+)
+def test_settings_that_cannot_be_kept_are_refused(cfg, settings):
+    with pytest.raises(ValueError):
+        dataclasses.replace(cfg, **settings)
+
+
+def test_broker_starts_at_a_time():
+    cfg = IngestConfig("/l", "/c", starting_time="2024-01-15T08:00:00+00:00")
+    options = kafka.read_options(ORDERS, cfg)
+    assert options["startingTimestamp"] == "1705305600000" and "startingOffsets" not in options
+
+
+def test_plain_parquet_streams_take_id_filters_too(spark, cfg):
+    plain = dataclasses.replace(cfg, table_format="parquet", id_filters=100)
+    log_rows(spark, plain, 0, 10)
+    runner.run(spark, [ORDERS], plain)
+    assert audit.find_events(bronze(spark, plain), ["e3"]).select(F.col("order_id")).first()[0] == "3"
