@@ -192,10 +192,10 @@ class BatchWriter:
     def __call__(self, rows: DataFrame, number: int) -> None:
         spark, spec, cfg = rows.sparkSession, self.spec, self.cfg
         name = batch_name(self.epoch, number)
-        if self.epoch and (new := without_known(spark, cfg, spec, self.epoch, rows)) is not rows:
-            if new.isEmpty():  # Spark observes nothing in a plan that it finds empty
-                return
-            rows = new
+        if self.epoch:
+            rows = without_known(spark, cfg, spec, self.epoch, rows)
+        if rows.isEmpty():  # nothing could be observed in a plan that Spark finds empty
+            return
         seen = Observation()
         rows = rows.observe(
             seen,
@@ -213,8 +213,6 @@ class BatchWriter:
             .parquet(cfg.table_path(spec.table))
         )
         found = seen.get
-        if not found["rows"]:
-            return
         if self.after_write:
             self.after_write(name)
         enter(spark, cfg, spec, name, found["days"])
