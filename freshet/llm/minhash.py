@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from freshet.llm.components import components
 from freshet.llm.shingles import mix, shingle_sets
-from freshet.llm.staging import bucketed, ship_code, staged
+from freshet.llm.staging import arrow_rows, bucketed, ship_code, staged
 from freshet.session import scratch_scope
 
 BANDS = 50
@@ -42,6 +42,7 @@ SMALL = 32  # members of a bucket whose pairs are listed; larger ones are compar
 BLOCK = 500_000  # shingles of a block, about
 BLOCK_SETS = 2000  # sets of a block at most, about
 COLUMNS = 2048  # shingles of a block that are compared at once
+SETS = 1000  # full sets, or pairs of them, a worker takes at once
 
 _rng = np.random.Generator(np.random.PCG64(71))
 _SCATTER = np.uint64(int(_rng.integers(1, 1 << 63)) | 1)
@@ -86,7 +87,7 @@ def band_keys(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Per document: n_shingles, a digest of the set (null if empty) and its band keys."""
+    """Per document: a hash of its text, n_shingles, a digest of the set (null if empty) and its band keys."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -97,6 +98,7 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                 yield pd.DataFrame(
                     {
                         "doc_id": part["doc_id"].astype("Int64").to_numpy(),
+                        "text_hash": part["text_hash"].to_numpy(),
                         "n_shingles": [len(s) for s in sets],
                         "digest": [
                             hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
@@ -106,8 +108,9 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                     }
                 )
 
-    schema = "doc_id long, n_shingles long, digest binary, bands array<long>"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(sign, schema)
+    schema = "doc_id long, text_hash long, n_shingles long, digest binary, bands array<long>"
+    told = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
+    return told.mapInPandas(sign, schema)
 
 
 def full_sets(texts: DataFrame) -> DataFrame:
@@ -160,8 +163,11 @@ def _shared_counts(sets: DataFrame, ids: DataFrame) -> DataFrame:
 
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for i, raw in zip(batch["id"], batch["shingles"], strict=True):
-                yield pd.DataFrame({"shingle": np.frombuffer(raw, dtype=np.int64), "id": i})
+            for at in range(0, len(batch), SLICE):
+                part = batch.iloc[at : at + SLICE]
+                sets = [np.frombuffer(raw, dtype=np.int64) for raw in part["shingles"]]
+                owner = np.repeat(part["id"].to_numpy(), [len(s) for s in sets])
+                yield pd.DataFrame({"shingle": np.concatenate(sets), "id": owner})
 
     each = sets.join(ids, "id", "left_semi").mapInPandas(explode, "shingle long, id long")
     alone = each.groupBy("shingle").agg(F.count("*").alias("docs"), F.min("id").alias("id"))
@@ -171,7 +177,7 @@ def _shared_counts(sets: DataFrame, ids: DataFrame) -> DataFrame:
 
 def _capable(state: DataFrame, percent: int) -> DataFrame:
     """Members that share enough with other documents to link with the smallest of their bucket."""
-    least = state.groupBy("key").agg(F.min("n").alias("least_n"))
+    least = staged(state.sparkSession, state.groupBy("key").agg(F.min("n").alias("least_n")), "least")
     enough = F.col("shared") * (100 + percent) >= (F.col("n") + F.col("least_n")) * percent
     return state.join(least, "key").where(enough).drop("least_n")
 
@@ -301,13 +307,14 @@ def link_components(
     linked(_ordered(nearest, percent))
     # Then with a pivot of each bucket that still has several components.
     state = placed(members.withColumn("shared", F.col("n")))
-    buckets = _open_buckets(state).select("key", "pivot")
+    buckets = staged(spark, _open_buckets(state).select("key", "pivot"), "open-buckets")
     pivots = [F.col(f"pivot.{c}").alias(o) for c, o in OTHER.items()]
     pairs = state.join(buckets, "key").where(F.col("component") != F.col("pivot.component"))
     linked(_ordered(pairs.select("id", "n", "shared", *pivots), percent))
     # Documents that share too little with any other leave the buckets that are open yet.
     state = placed(state)
-    state = staged(spark, state.join(_open_buckets(state).select("key"), "key"), "open-members")
+    buckets = staged(spark, _open_buckets(state).select("key"), "open-buckets")
+    state = staged(spark, state.join(buckets, "key"), "open-members")
     counts = _shared_counts(sets, staged(spark, state.select("id").distinct(), "open-ids"))
     counted = state.drop("shared").join(counts, "id")
     counted = counted.withColumn("shared", F.col("n") - F.col("alone")).drop("alone")
@@ -324,7 +331,9 @@ def link_components(
     families = components(spark, in_large.select(F.col("id").alias("a"), F.col("pivot").alias("b")))
     families = families.select(F.col("node").alias("id"), F.col("component").alias("family"))
     kin = in_large.select("id", "n", "component").distinct().join(families, "id").join(sets, "id")
-    links.append(staged(spark, _linked_blocks(staged(spark, _blocks(kin), "blocks"), percent), "links"))
+    blocks = staged(spark, _blocks(kin), "blocks")
+    with arrow_rows(spark, 2):
+        links.append(staged(spark, _linked_blocks(blocks, percent), "links"))
     return grouped()
 
 
@@ -336,7 +345,7 @@ def _others() -> list[Column]:
     return [F.col(c).alias(o) for c, o in OTHER.items()]
 
 
-def near_duplicates(
+def document_groups(
     spark: SparkSession,
     docs: DataFrame,
     percent: int = PERCENT,
@@ -345,7 +354,7 @@ def near_duplicates(
 ) -> DataFrame:
     """Link documents (doc_id, text) whose shingle sets overlap by ``percent`` of their union.
 
-    Returns doc_id, n_shingles, component_id (the smallest doc_id reachable by links) and
+    Returns doc_id, text_hash (``F.xxhash64`` of the text), n_shingles, component_id (the smallest doc_id reachable by links) and
     kept (doc_id = component_id). Texts without words, null ones too, are linked with
     nothing. Equal sets are one node, however many copies there are. Rows that share a
     doc_id but not a text follow their own texts. A row without doc_id takes no part: its
@@ -356,11 +365,12 @@ def near_duplicates(
     hashed = staged(spark, signed(docs, bands, rows), "signatures")
     linkable = hashed.where("doc_id is not null and digest is not null")
     # One representative per set, the smallest id; copies are counted out before the shuffle.
-    classes = linkable.groupBy("digest").agg(F.min("doc_id").alias("id"))
-    classed = linkable.select("doc_id", "n_shingles", "digest").join(classes, "digest")
-    classed = staged(spark, classed.select("doc_id", "n_shingles", "id", "digest"), "classes")
+    # What is joined to a hot key is staged first, as Spark only splits joins of bare shuffles.
+    classes = staged(spark, linkable.groupBy("digest").agg(F.min("doc_id").alias("id")), "classes")
+    classed = linkable.select("doc_id", "text_hash", "n_shingles", "digest").join(classes, "digest")
+    classed = staged(spark, classed.select("doc_id", "text_hash", "n_shingles", "id", "digest"), "classes")
     # All that the search writes goes when it is over, but for the components.
-    with scratch_scope(spark) as keep_last:
+    with scratch_scope(spark) as keep_last, arrow_rows(spark, SETS):
         leaders = classed.where("doc_id = id").select("id", "digest").distinct()
         own = linkable.select(
             F.col("doc_id").alias("id"), "digest", F.col("n_shingles").alias("n"), "bands"
@@ -375,7 +385,7 @@ def near_duplicates(
             .where("size > 1")
             .select("key", F.col("lead.id").alias("lead"), F.col("lead.n").alias("lead_n"))
         )
-        members = staged(spark, keyed.join(shared, "key"), "members")
+        members = staged(spark, keyed.join(staged(spark, shared, "shared"), "key"), "members")
         candidates = members.select("id").distinct()
         texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(candidates, "id")
         sets, table = bucketed(spark, full_sets(texts), "id", "sets")
@@ -383,10 +393,21 @@ def near_duplicates(
         keep_last()
         spark.sql(f"drop table {table}")
     found = classed.join(groups.withColumnRenamed("node", "id"), "id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id")
+        "doc_id", "text_hash", "n_shingles", F.coalesce("component", "id").alias("component_id")
     )
     alone = hashed.where("doc_id is null or digest is null").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
+        "doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id")
     )
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     return found.unionByName(alone).withColumn("kept", kept)
+
+
+def near_duplicates(
+    spark: SparkSession,
+    docs: DataFrame,
+    percent: int = PERCENT,
+    bands: int = BANDS,
+    rows: int = ROWS,
+) -> DataFrame:
+    """The rows of ``document_groups`` without the hash of the text."""
+    return document_groups(spark, docs, percent, bands, rows).drop("text_hash")

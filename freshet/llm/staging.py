@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +34,22 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What is run within hands Python workers at most so many rows at once.
+
+    For rows of some megabytes, of which Spark would put up to a quarter of a gigabyte in
+    one batch. Plans take the setting when they are run, so run (stage) them within.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def staged(
     spark: SparkSession, df: DataFrame, label: str, compression: str = "snappy"
 ) -> DataFrame:

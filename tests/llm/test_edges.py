@@ -219,3 +219,24 @@ def test_language_stage_without_labels_keeps_texts_with_letters(spark, docs):
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
     kept = corpus_pipeline.identify_language(spark, unlabelled, "").collect()
     assert {r["doc_id"] for r in kept} == set(IDS) - {3, 4, 5, 8}
+
+
+def test_one_id_with_unlike_texts_brings_no_copy_back(spark):
+    """Of (1, A), (5, A), (5, B) the second goes, whatever becomes of the third."""
+    other = "an entirely different text that shares no words whatsoever with its namesake"
+    rows = [(1, plain_text(0), "en", "a"), (5, plain_text(0), "en", "a"), (5, other, "en", "a"), (9, plain_text(0), "en", "a")]
+    docs = edge_documents(spark, rows)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept)) == [(1, plain_text(0)), (5, other)]
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_stand_one_id_with_unlike_texts(spark, name, stage):
+    rows = [*TEXTS, (2, "another text of document two, which has quite other words", "en", "b"), (2, None, "en", None)]
+    docs = edge_documents(spark, rows)
+    found = stage(spark, docs, "").collect()
+    assert {r["doc_id"] for r in found} <= {i for i, *_ in rows} and found
+
+
+def plain_text(k: int) -> str:
+    return TEXTS[k][1]
