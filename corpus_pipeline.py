@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from freshet.llm.catalog import vocabulary_file
 from freshet.llm.language_id import UNDETERMINED, learn_profiles, predicted
-from freshet.llm.minhash import near_duplicates
+from freshet.llm.minhash import document_groups
 from freshet.llm.mixing import mix_documents, word_count
 from freshet.llm.packing import pack_documents
 from freshet.llm.pii import found_in
@@ -47,14 +47,15 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest doc_id of each group of near copies, once.
 
-    Rows equal in doc_id and text are copies too. Documents without words, and rows
-    without doc_id, belong to no group and stay.
+    Rows equal in doc_id and text are copies too. Rows that share a doc_id but not a text
+    stay or go each by its own text. Documents without words, and rows without doc_id,
+    belong to no group and stay.
     """
-    kept = _free_name(docs, "_kept")
-    chosen = near_duplicates(spark, docs).where("kept and doc_id is not null")
-    chosen = chosen.select(F.col("doc_id").alias(kept)).distinct()
-    once = docs.join(chosen, docs["doc_id"] == chosen[kept]).drop(kept)
-    once = once.dropDuplicates(["doc_id", "text"])
+    kept, told = _free_name(docs, "_kept"), _free_name(docs, "_told")
+    chosen = document_groups(spark, docs).where("kept and doc_id is not null")
+    chosen = chosen.select(F.col("doc_id").alias(kept), F.col("text_hash").alias(told)).distinct()
+    same = (docs["doc_id"] == chosen[kept]) & (F.xxhash64(docs["text"]) == chosen[told])
+    once = docs.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
 
 
