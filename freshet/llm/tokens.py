@@ -2,7 +2,7 @@
 
 A text's ids are the ids of its words in order, as long as words are cut where the
 tokenizer itself always cuts. Natural text repeats its words, so every worker keeps
-the ids of those it has met.
+the ids of those it has met of late.
 """
 
 from __future__ import annotations
@@ -14,8 +14,11 @@ from collections.abc import Iterable
 
 import numpy as np
 
-#: Words a worker remembers (about 200 bytes each) before it starts anew.
-REMEMBERED = 1_200_000
+#: Words of a generation (about 200 bytes each), of which a worker remembers two.
+GENERATION = 450_000
+SIGNS = 20_000  # runs of punctuation a worker remembers
+MET = 1 << 25  # bits for words that have been met once
+CLOSING = frozenset(",.;:!?")  # signs that are looked up apart from the word before them
 
 # Letters that are their own canonical composition, then plain punctuation. The
 # apostrophe is left out because tokenizers treat some words after it apart.
@@ -39,8 +42,10 @@ class WordIds(dict):
 
     ``spaces`` says whether the vocabulary keeps a space as the first sign of the
     word after it (byte-level files) or drops white space and case (word files).
-    Special tokens' names in a text are ordinary text. Keys are words as ``_words`` cuts
-    them; a word after a space is kept without it, apart from the words that had none.
+    Special tokens' names in a text are ordinary text. Words are kept as they stand
+    between spaces, without the space; a word that neither this generation (the dictionary
+    itself) nor the one before has met is forgotten. Most words of a text come once: a
+    word is only kept when it, or one with the same bit in ``met``, comes again.
     """
 
     def __init__(self, path: str, spaces: bool) -> None:
@@ -50,41 +55,69 @@ class WordIds(dict):
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.spaces = spaces
-        self.parts: dict[str, bytes] = {}
+        self.before = _BYTE_LETTERS[0x20] if spaces else ""
+        self.old: dict[str, bytes] = {}
+        self.met = bytearray(MET >> 3)
+        self.signs: dict[str, bytes] = {}
 
     def _part(self, part: str) -> bytes:
         """Ids of letters, with the space before them, or of punctuation, straight from the merges."""
-        ids = self.parts.get(part)
+        return self._shown(part.encode().decode("latin-1").translate(_BYTE_LETTERS))
+
+    def _shown(self, part: str) -> bytes:
+        """Ids of a part whose bytes are written as letters."""
+        return array("I", [token.id for token in self.model.tokenize(part)]).tobytes()
+
+    def _sign(self, signs: str) -> bytes:
+        ids = self.signs.get(signs)
         if ids is None:
-            shown = part.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            ids = array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
-            self.parts[part] = ids
+            if len(self.signs) > SIGNS:
+                self.signs.clear()
+            ids = self.signs[signs] = self._part(signs)
         return ids
 
     def _whole(self, text: str) -> bytes:
         found = self.tokenizer.encode(text, add_special_tokens=False)
         return array("I", found.ids).tobytes()
 
-    def __missing__(self, word: str) -> bytes:
+    def _new(self, word: str) -> bytes:
         """Ids of a word (after a space, if the vocabulary keeps it).
 
         Letters and punctuation are looked up apart, single line breaks may join such words;
         all else goes through the tokenizer as a whole.
         """
+        if word.isascii() and word.isalpha():
+            return self._shown(self.before + (word if self.spaces else word.lower()))
         space = " " if self.spaces else ""
         out = []
         for k, piece in enumerate(word.split("\n")):
             found = _SIMPLE.fullmatch(piece)
             if not found:
-                out = [self._whole(space + word)]
-                break
+                return self._whole(space + word)
             letters, signs = found.groups()
+            if not self.spaces:
+                letters = letters.lower()
             if k and self.spaces:
-                out.append(self._part("\n"))
-            out.append(self._part(("" if k else space) + letters if self.spaces else letters.lower()))
+                out.append(self._sign("\n") + self._part(letters))
+            elif letters == word:
+                out.append(self._part(space + letters))
+            else:
+                out.append(self[letters])
             if signs:
-                out.append(self._part(signs))
-        self[word] = ids = b"".join(out)
+                out.append(self._sign(signs))
+        return b"".join(out)
+
+    def __missing__(self, word: str) -> bytes:
+        if word.isascii() and word[-1:] in CLOSING and word[:-1].isalpha():
+            return self[word[:-1]] + self._sign(word[-1])
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self._new(word)
+            place = hash(word) % (8 * len(self.met))
+            if not self.met[place >> 3] >> (place & 7) & 1:
+                self.met[place >> 3] |= 1 << (place & 7)
+                return ids
+        self[word] = ids
         return ids
 
     def _ids(self, text: str) -> bytes:
@@ -105,9 +138,10 @@ class WordIds(dict):
         out = []
         for text in texts:
             out.append(np.frombuffer((self._ids(text) if text else b"") + end, dtype="<u4"))
-            if len(self) > REMEMBERED:
+            if len(self) > GENERATION:
+                self.old = dict(self)
                 self.clear()
-                self.parts.clear()
+                self.met = bytearray(MET >> 3)
         return out
 
 
