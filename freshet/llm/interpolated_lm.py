@@ -35,10 +35,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.llm.shingles import _slices, _word_hashes, mix
-from freshet.llm.staging import ship_code, staged
+from freshet.llm.staging import arrow_rows, ship_code, staged
 
 SLICE_TOKENS = 700_000  # a longer document is a slice of its own
 BUCKET_TOKENS = 1_500_000  # whose n-grams one bucket gets, about
+SLICES = 4  # a worker takes at once
 BUCKETS = 65  # of context counts: none, then one per binary digit
 GAIN = 1e-4  # bits a token: learning stops when a turn gains less
 LEAST_WEIGHT = 1e-6
@@ -386,7 +387,8 @@ def score_documents(spark: SparkSession, documents: DataFrame) -> DataFrame:
     asked = slices.select("slice", "kind", "words", "places", "lengths")
     asked = asked.mapInPandas(_asked(buckets), REQUEST_SCHEMA)
     answers = asked.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_answered, REPLY_SCHEMA)
-    answers = staged(spark, answers, "lm-answers")
+    with arrow_rows(spark, SLICES):
+        answers = staged(spark, answers, "lm-answers")
     words, kept_words = answers.agg(F.sum("n_words"), F.sum("n_kept_words")).first()
     kept = Corpus(documents_of[KEPT], tokens_of[KEPT], kept_words or 0)
     trained = Corpus(
@@ -402,7 +404,8 @@ def score_documents(spark: SparkSession, documents: DataFrame) -> DataFrame:
         _estimated(kept), "f1 binary, f2 binary, f3 binary, k2 binary, k3 binary"
     )
     learned_on = staged(spark, estimated, "lm-estimates", compression="zstd")
-    weights = learned_weights(learned_on, kept.words)
+    with arrow_rows(spark, SLICES):
+        weights = learned_weights(learned_on, kept.words)
     if not trained.tokens:
         weights = replace(weights, one=0.0)
     return both("totals").applyInPandas(
