@@ -11,7 +11,7 @@ from collections.abc import Callable
 from functools import partial, reduce
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from freshet.config import IngestConfig
@@ -24,9 +24,9 @@ from freshet.operators.bronze import parse_bronze, quarantine
 from freshet.plans.feeds import EVENTS, FEEDS, SPECS, Feed, feed_records, payload_rows, table
 from freshet.registry import RECORD_SCHEMA, TopicSpec, registry
 from freshet.session import list_folder, located_file, qualified, remove_folder, scratch_dir
-from freshet.sources import topic_log
+from freshet.sources import kafka, topic_log
 from freshet.sources.csv_records import FILE, ORDINAL, MissingInputs, read_csv, require_inputs
-from freshet.streaming import batches, runner
+from freshet.streaming import batches, pace, runner
 from freshet.streaming.dedup import dedup_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -456,6 +456,31 @@ def csv_quoted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path).select("doc_id", "lang", "source", "text")
 
 
+def csv_mixed_row_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents through CSV whose rows end in lone returns, newlines, or both."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    quote = F.lit('"')
+    cells = (
+        F.concat(quote, F.replace(F.coalesce(c, F.lit("")), quote, F.lit('""')), quote)
+        for c in ("lang", "source", "text")
+    )
+    row = F.concat_ws(",", F.col("doc_id").cast("string"), *cells)
+    # Four rows a line, joined by lone returns; every other line ends in a return and a newline.
+    lines = docs.groupBy(F.expr("doc_id div 4").alias("part")).agg(
+        F.array_sort(F.collect_list(F.struct("doc_id", row.alias("row")))).alias("rows")
+    )
+    joined = F.concat(F.array_join("rows.row", "\r"), F.when(F.col("part") % 2 == 0, "\r").otherwise(""))
+    file = (F.col("part") % 4).alias("file")
+    body = lines.select(file, F.lit(1).alias("place"), joined.alias("value"))
+    heads = body.select("file").distinct().select(
+        "file", F.lit(0).alias("place"), F.lit("doc_id,lang,source,text\r").alias("value")
+    )
+    ordered = heads.unionByName(body).repartition("file").sortWithinPartitions("file", "place")
+    path = scratch_dir(spark, "csv")
+    ordered.select("value", "file").write.partitionBy("file").text(path)
+    return read_csv(spark, f"{path}/file=*").select("doc_id", "lang", "source", "text")
+
+
 def log_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense offsets per partition, counted in blocks of 1000 rows."""
     rows = numbered_rows(spark, sf_dir, FEEDS["orders"]).select(
@@ -532,6 +557,51 @@ def replay_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, map(totals, specs))
 
 
+def waves_keep_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders keyed by their status, few keys with many rows, sent in waves of 5,000 rows.
+
+    Per key its rows and those that were sent after a later one, and whether any task had
+    more than a wave and a block of rows.
+    """
+    rows = numbered_rows(spark, sf_dir, FEEDS["orders"])
+    spec = dataclasses.replace(ORDERS, key_field="order_status")
+    path = scratch_dir(spark, "sent")
+    for wave, part in enumerate(kafka.each_wave(replay.to_records(rows, spec), 5000)):
+        # A row's place among those of its task says when it was sent.
+        sent = part.repartition("topic", "key").sortWithinPartitions(FILE, ORDINAL).select(
+            F.col("key").cast("string").alias("key"),
+            ORDINAL,
+            F.lit(wave).alias("wave"),
+            F.monotonically_increasing_id().alias("place"),
+        )
+        sent.write.mode("append").parquet(path)
+    sent = spark.read.parquet(path)
+    order = Window.partitionBy("key").orderBy("wave", "place")
+    late = F.col(ORDINAL) < F.lag(ORDINAL).over(order)
+    loads = sent.groupBy("wave", F.shiftright("place", 33).alias("task")).agg(F.count("*").alias("load"))
+    most = loads.agg(F.max("load")).first()[0] or 0
+    return sent.withColumn("late", late).groupBy("key").agg(
+        F.count("*").alias("rows"),
+        F.count_if("late").alias("late"),
+        F.lit(most > 10_000).alias("overloaded"),
+    )
+
+
+def paced_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders released at a rate that takes some seconds: each once, none before it is due."""
+    rows = numbered_rows(spark, sf_dir, FEEDS["orders"]).select("order_id", FILE, ORDINAL)
+    base, rate = scratch_dir(spark, "paced-orders"), max(1, rows.count() // 3)
+    pace.release(
+        rows, rate, f"{base}/checkpoint", lambda due: due.write.mode("append").parquet(f"{base}/out")
+    )
+    out = spark.read.parquet(f"{base}/out")
+    first = out.agg(F.min(F.unix_micros("released_at"))).first()[0]
+    due = F.floor(F.col(ORDINAL) / rate) * 1_000_000
+    return out.select(
+        "order_id", (F.unix_micros("released_at") - F.lit(first) >= due - 1_000).alias("on_time")
+    )
+
+
 # -- audits ------------------------------------------------------------------
 
 
@@ -731,6 +801,9 @@ QUERIES: dict[str, Query] = {
     "offset_gaps_by_batch": offset_gaps_by_batch,
     "bronze_since": bronze_since,
     "find_events": find_events,
+    "waves_keep_order": waves_keep_order,
+    "paced_replay": paced_replay,
+    "csv_mixed_row_ends": csv_mixed_row_ends,
     "differing_content": differing_content,
     "drifting_fields": drifting_fields,
     "lag_quantiles": lag_quantiles,

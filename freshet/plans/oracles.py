@@ -205,6 +205,12 @@ ORACLES: dict[str, str] = {
     "find_events": f"""
         select _event_id, _kafka_partition, _kafka_offset, _bronze_date from ({bronze_sql('orders')})
         where cast(order_id as bigint) % 1499 = 7""",
+    "waves_keep_order": """
+        select o_orderstatus as key, count(*) as rows, cast(0 as bigint) as late, false as overloaded
+        from orders group by o_orderstatus""",
+    "paced_replay": "select cast(o_orderkey as varchar) as order_id, true as on_time from orders",
+    "csv_mixed_row_ends": """
+        select cast(doc_id as varchar) as doc_id, lang, source, text from documents""",
     "differing_content": DIFFERENCES,
     "drifting_fields": DRIFT,
     "lag_quantiles": f"""

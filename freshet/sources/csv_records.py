@@ -81,15 +81,28 @@ def _without_return(column: str) -> Column:
 
 
 def _stage_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines in a scratch table; ``n`` counts the lines of a block without gaps."""
+    """Lines in a scratch table; ``n`` counts the lines of a block without gaps.
+
+    A lone carriage return ends a line too; ``sep`` is the sign that did. A return before
+    a newline stays at the line's end.
+    """
     blank = F.col("value").isin("", "\r")
+    returns = F.instr("value", "\r").between(1, F.length("value") - 1)
+    pieces = F.when(returns, F.split("value", r"\r(?!\z)")).otherwise(F.array("value"))
     lines = (
         spark.read.option("lineSep", "\n")
         .text(path)
         .select(
-            "value",
             F.col("_metadata.file_path").alias(FILE),
             F.col("_metadata.file_block_start").alias("block"),
+            F.size(pieces).alias("pieces"),
+            F.posexplode(pieces).alias("piece", "value"),
+        )
+        .select(
+            "value",
+            F.when(F.col("piece") < F.col("pieces") - 1, F.lit("\r")).otherwise(F.lit("\n")).alias("sep"),
+            FILE,
+            "block",
             F.monotonically_increasing_id().alias("n"),
             leaves_quote_open(F.col("value")).alias("opens"),
             blank.alias("blank"),
@@ -163,7 +176,7 @@ def _spanning_records(lines: DataFrame, chunk_count: int) -> DataFrame:
     chained = (
         # Chunk keys are never NULL; saying so lets both uses below share one shuffle.
         lines.where(" and ".join(f"{key} is not null" for key in CHUNK))
-        .select(*CHUNK, "n", "value", "blank", after_0.alias("a0"), after_1.alias("a1"))
+        .select(*CHUNK, "n", "value", "sep", "blank", after_0.alias("a0"), after_1.alias("a1"))
         # A line either fixes the state (a0 = a1), keeps it or flips it.
         .withColumn("fixes", F.col("a0") == F.col("a1"))
         .withColumn("flips", F.sum(F.when(~F.col("fixes"), F.col("a0")).otherwise(0)).over(so_far))
@@ -219,17 +232,22 @@ def _spanning_records(lines: DataFrame, chunk_count: int) -> DataFrame:
         "block",
         "n",
         "value",
+        "sep",
         "blank",
         (F.col("prefix") + begun_here - 2).alias(ORDINAL),
         outside("was_known", "was_shift", enters).alias("begins"),
         outside("known", "shift", enters).alias("closes"),
     )
+    def ended(part: Column) -> Column:
+        return F.concat(part["value"], part["sep"])
+
     whole = numbered.where("begins and closes and not blank").select("value", FILE, ORDINAL)
     parts = (
         numbered.where("not (begins and closes)")
         .groupBy(FILE, ORDINAL)
-        .agg(F.array_sort(F.collect_list(F.struct("block", "n", "value"))).alias("parts"))
-        .select(F.array_join("parts.value", "\n").alias("value"), FILE, ORDINAL)
+        .agg(F.array_sort(F.collect_list(F.struct("block", "n", "value", "sep"))).alias("parts"))
+        .select(F.array_join(F.transform("parts", ended), "").alias("value"), FILE, ORDINAL)
+        .withColumn("value", F.expr("left(value, length(value) - 1)"))
     )
     return whole.unionByName(parts).select(
         _without_return("value").alias("record"), FILE, ORDINAL

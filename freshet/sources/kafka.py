@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from freshet.config import IngestConfig
 from freshet.functions import key_partition
 from freshet.operators.counts import count_by_topic
 from freshet.registry import TopicSpec, partition_count
+from freshet.session import list_folder, scratch_dir
 from freshet.sources.csv_records import FILE, ORDINAL
 
+WAVE_ROWS = 10_000_000  # of a topic, sent before the next ones
+BLOCK_ROWS = 100_000  # of a file, counted together
+
 # Producer batching window and compression.
 PRODUCER_OPTIONS = {"kafka.linger.ms": "10", "kafka.compression.type": "lz4"}
 
@@ -57,7 +62,7 @@ def outgoing(
     The client places records by key in its own way. ``place_by_crc32`` places
     them by ``key_partition``, for topics with as many partitions as declared. Many tasks
     send at once, so a key's records arrive in any order unless ``keep_order`` first
-    gathers each key's records, in file and row order, in one task.
+    gathers each key's records, in file and row order, in one task; see ``each_wave``.
     """
     if keep_order:
         records = records.repartition("topic", "key").sortWithinPartitions(FILE, ORDINAL)
@@ -66,6 +71,43 @@ def outgoing(
     return records.select("topic", "key", "value", *place)
 
 
+def in_waves(records: DataFrame, wave_rows: int = WAVE_ROWS) -> DataFrame:
+    """Records with a ``wave``: stretches of about ``wave_rows`` rows of a topic in file and row order.
+
+    Taken from a histogram of blocks of rows, each of which lies in one wave.
+    """
+    block_rows = max(1, min(wave_rows, BLOCK_ROWS))
+    blocked = records.withColumn("_block", F.expr(f"{ORDINAL} div {block_rows}"))
+    blocks = blocked.groupBy("topic", FILE, "_block").agg(F.count("*").alias("_rows"))
+    earlier = Window.unboundedPreceding, -1
+    in_file = Window.partitionBy("topic", FILE).orderBy("_block").rowsBetween(*earlier)
+    in_topic = Window.partitionBy("topic").orderBy(FILE).rowsBetween(*earlier)
+    files = blocks.groupBy("topic", FILE).agg(F.sum("_rows").alias("_rows"))
+    bases = files.select("topic", FILE, F.coalesce(F.sum("_rows").over(in_topic), F.lit(0)).alias("_base"))
+    before = F.col("_base") + F.coalesce(F.sum("_rows").over(in_file), F.lit(0))
+    waves = blocks.join(bases, ["topic", FILE]).select(
+        "topic", FILE, "_block", F.floor(before / wave_rows).alias("wave")
+    )
+    return blocked.join(waves, ["topic", FILE, "_block"]).drop("_block")
+
+
+def each_wave(records: DataFrame, wave_rows: int = WAVE_ROWS) -> Iterator[DataFrame]:
+    """The records in waves, to be sent one after the other.
+
+    All rows of a key that lie in one wave come before those in the next, so that a key's
+    order needs no task to hold more of it than a wave has. The records are written once,
+    in a folder per wave, and each wave reads its own.
+    """
+    spark = records.sparkSession
+    path = scratch_dir(spark, "waves")
+    in_waves(records, wave_rows).write.partitionBy("wave").parquet(path)
+    schema = StructType([*records.schema.fields, StructField("wave", LongType())])
+    staged = spark.read.schema(schema).parquet(path)
+    names = (folder.rsplit("/", 1)[-1] for folder in list_folder(spark, path))
+    for wave in sorted(int(name.removeprefix("wave=")) for name in names if name.startswith("wave=")):
+        yield staged.where(F.col("wave") == wave).drop("wave")
+
+
 def publish(
     records: DataFrame,
     broker: str,
@@ -73,10 +115,14 @@ def publish(
     place_by_crc32: bool = False,
     keep_order: bool = False,
 ) -> dict[str, int]:
-    """Send records in one job, which fails if a delivery fails; counts per topic."""
+    """Send records in one job, or with ``keep_order`` in a job per wave; counts per topic.
+
+    A job fails if a delivery fails.
+    """
     specs = list(specs)
-    topics = [spec.topic for spec in specs]
-    sent = outgoing(records, specs, place_by_crc32, keep_order)
-    counted, counts = count_by_topic(sent, topics)
-    counted.write.format("kafka").options(**write_options(broker)).save()
-    return counts.get
+    sent = dict.fromkeys((spec.topic for spec in specs), 0)
+    for part in each_wave(records) if keep_order else [records]:
+        counted, counts = count_by_topic(outgoing(part, specs, place_by_crc32, keep_order), list(sent))
+        counted.write.format("kafka").options(**write_options(broker)).save()
+        sent = {topic: count + counts.get[topic] for topic, count in sent.items()}
+    return sent

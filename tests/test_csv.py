@@ -200,3 +200,39 @@ def test_all_missing_inputs_are_named(spark, tmp_path):
     assert error.value.paths == absent
     assert all(path in str(error.value) for path in absent)
     require_inputs(spark, [str(here)])
+
+
+RETURNS = (
+    "a,b,c\r"
+    "1,x,y\r"
+    '2,"one\rfield","two\r\nends"\r\n'
+    "\r"
+    "3,,\n"
+    '4,"\r","\n"\r'
+    '5,"quoted ""word""\r\r",z\n'
+    "\r\r\n"
+    "6,last,row\r"
+)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        RETURNS,
+        RETURNS + "7,no,end",
+        "a,b,c\r1,2,3\r4,5,6",
+        "a,b,c\r\n" + "1,x,y\r2,v,w\n" * 300,
+    ],
+)
+def test_rows_may_end_in_a_lone_return(spark, tmp_path, small_blocks, text):
+    path = write(tmp_path / "returns.csv", text)
+    assert spark_rows(spark, path, ["a", "b", "c"]) == python_rows(path)
+
+
+def test_random_row_ends(spark, tmp_path, small_blocks):
+    draw = random.Random(5)
+    cells = ["x", "", "two words", '"q\r"', '"a\nb"', '"c\r\nd"', '"e""f"']
+    for k in range(4):
+        rows = (",".join(draw.choices(cells, k=2)) + draw.choice(["\r", "\n", "\r\n"]) for _ in range(120))
+        path = write(tmp_path / f"{k}.csv", "a,b\r\n" + "".join(rows))
+        assert spark_rows(spark, path, ["a", "b"]) == python_rows(path)

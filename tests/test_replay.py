@@ -12,6 +12,7 @@ from freshet.operators import replay
 from freshet.registry import registry
 from freshet.sources import kafka, topic_log
 from freshet.sources.csv_records import FILE, ORDINAL, MissingInputs
+from freshet.streaming import pace
 from records import plan_text
 
 SPECS = registry("shop")
@@ -265,3 +266,35 @@ def test_empty_exports_replay_nothing(spark, tmp_path, content):
     records = replay.replay_records(spark, SPECS.values(), str(tmp_path))
     sent = topic_log.append(records, str(tmp_path / "log"), SPECS.values())
     assert sent == dict.fromkeys(SPECS, 0)
+
+
+def test_waves_keep_the_order_of_one_hot_key(spark):
+    rows = spark.range(5000).select(
+        F.lit("shop.orders").alias("topic"),
+        utf8(F.lit("hot")).alias("key"),
+        utf8(F.col("id").cast("string")).alias("value"),
+        F.when(F.col("id") < 2300, "a.csv").otherwise("b.csv").alias(FILE),
+        F.when(F.col("id") < 2300, F.col("id")).otherwise(F.col("id") - 2300).alias(ORDINAL),
+    )
+    sent = []
+    for wave in kafka.each_wave(rows, 1000):
+        out = kafka.outgoing(wave, SPECS.values(), keep_order=True)
+        sent.append([int(bytes(r.value)) for r in out.collect()])
+    assert [n for wave in sent for n in wave] == list(range(5000))
+    assert len(sent) == 5 and max(map(len, sent)) < 2000
+
+
+def test_no_records_make_no_waves(spark):
+    rows = spark.createDataFrame([], f"topic string, key binary, value binary, {FILE} string, {ORDINAL} long")
+    assert list(kafka.each_wave(rows)) == []
+
+
+def test_rows_are_released_once_and_not_early(spark, tmp_path):
+    rows = spark.range(90).select(F.lit("a.csv").alias(FILE), F.col("id").alias(ORDINAL))
+    out = []
+    pace.release(rows, 45, str(tmp_path / "c"), lambda due: out.extend(due.collect()))
+    assert sorted(r[ORDINAL] for r in out) == list(range(90))
+    start = min(r.released_at for r in out)
+    assert all((r.released_at - start).total_seconds() >= r[ORDINAL] // 45 - 0.01 for r in out)
+    pace.release(rows.limit(0), 45, str(tmp_path / "d"), lambda due: out.append(None))
+    assert len(out) == 90
