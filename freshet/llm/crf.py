@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 
 AROUND = (-2, -1, 0, 1, 2)  # positions whose shapes a score looks at
-BATCH_CELLS = 1 << 20  # positions decoded at once, padding included
+BATCH_CELLS = 1 << 18  # positions decoded at once, padding included
 
 
 def padded(sequences: list[np.ndarray], fill: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,28 +99,37 @@ class Crf:
 
     def _best(self, sequences: list[np.ndarray]) -> list[np.ndarray]:
         shapes, lengths = padded(sequences, 0)
-        scores = sum(self.emit[k][v] for k, v in enumerate(_views(shapes)))
-        rows, steps, n_labels = scores.shape
-        came = np.zeros((rows, steps, n_labels), dtype=np.int8)
+        rows, steps = shapes.shape
+        n_labels = len(self.step)
+        scores = np.zeros((n_labels, steps, rows))
+        for k, v in enumerate(_views(shapes)):
+            scores += np.take(np.ascontiguousarray(self.emit[k].T), v.T, axis=1)
+        came = np.zeros((steps, n_labels, rows), dtype=np.int8)
         best = scores[:, 0]
         for t in range(1, steps):
-            paths = best[:, :, None] + self.step
-            came[:, t] = paths.argmax(axis=1)
-            moved = paths.max(axis=1) + scores[:, t]
+            moved, source = best[0] + self.step[0][:, None], came[t]
+            for before in range(1, n_labels):
+                path = best[before] + self.step[before][:, None]
+                better = path > moved  # of equal paths the first label stays
+                np.copyto(moved, path, where=better)
+                np.copyto(source, np.int8(before), where=better)
+            moved += scores[:, t]
             over = t >= lengths
-            came[over, t] = np.arange(n_labels)  # a path that has ended stays where it is
-            best = np.where(over[:, None], best, moved)
-        found = np.zeros((rows, steps), dtype=np.int64)
-        found[:, -1] = best.argmax(axis=1)
+            if over.any():  # a path that has ended stays where it is
+                source[:, over] = np.arange(n_labels, dtype=np.int8)[:, None]
+                moved = np.where(over, best, moved)
+            best = moved
+        found = np.zeros((steps, rows), dtype=np.int8)
+        found[-1] = best.argmax(axis=0)
         every = np.arange(rows)
         for t in range(steps - 1, 0, -1):
-            found[:, t - 1] = came[every, t, found[:, t]]
-        return [row[:n] for row, n in zip(found, lengths, strict=True)]
+            found[t - 1] = came[t, found[t], every]
+        return [column[:n] for column, n in zip(found.T, lengths, strict=True)]
 
     def decode(self, sequences: list[np.ndarray]) -> list[np.ndarray]:
         """The best labels of each sequence, by Viterbi; sequences of like length share a batch."""
         order = sorted(range(len(sequences)), key=lambda k: len(sequences[k]))
-        out: list[np.ndarray] = [np.empty(0, dtype=np.int64)] * len(sequences)
+        out: list[np.ndarray] = [np.empty(0, dtype=np.int8)] * len(sequences)
         batch: list[int] = []
         for place, k in enumerate(order):
             if len(sequences[k]):

@@ -2,11 +2,10 @@
 
 The rules find well-formed addresses and numbers. The field, trained on a small
 labelled table, finds the same kinds in other dress: phone numbers without a plus,
-card numbers with dots, addresses with blanks around their signs. It sees word shapes
-only and reads runs of chunks that have a digit or an at sign, with a chunk on either
-side; all other text can only be labelled as nothing. What it finds must still pass
-the kind's test of digits (Luhn, parts up to 255, lengths) and may not touch what the
-rules found.
+card numbers with dots, addresses with blanks around their signs or with signs written
+out, digits of any script. It sees word shapes only and reads every token of a text, in
+slices that overlap. What it finds must still pass the kind's test (Luhn, parts up to 255,
+lengths, a sign or word for at and dot) and may not touch what the rules found.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ import bisect
 import functools
 import hashlib
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +26,8 @@ from freshet.llm.crf import Crf
 from freshet.llm.staging import ship_code
 
 KINDS = ("email", "ip", "card", "phone")
-SLICE = 256  # texts decoded at once
+SLICE_CHARS = 1 << 20  # of texts decoded at once; a longer text is decoded alone
+CORE, REACH = 480, 64  # tokens of a slice, and those it reads on either side of them
 SCHEMA = (
     "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, "
     "masked string"
@@ -41,11 +42,14 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-_CHUNK = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
-_TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\S")
-_BEFORE = re.compile(r"\S+(?=\s*\Z)")
-_AFTER = re.compile(r"\s*(\S+)")
-CONTEXT = 64  # characters on either side of a run in which a neighbouring chunk is sought
+# What the field takes for an address must end in one: with a sign or (at), and dots or (dot)
+# in its host, or with both words bare.
+_ADDRESS = re.compile(
+    r"(?<![\w%+.-])[\w%+-]++(?:\.[\w%+-]++)*+"
+    r"(?:\s*(?:@|[(\[{]\s*at\s*[)\]}])\s*[\w-]++(?:(?:\.|\s*[(\[{]\s*dot\s*[)\]}]\s*)[\w-]++)+"
+    r"|\s+at\s+[\w-]++(?:\s+dot\s+[\w-]++)+)\Z",
+    re.IGNORECASE,
+)
 
 
 def digits(text: str) -> str:
@@ -70,7 +74,13 @@ def _sound(kind: str, text: str) -> bool:
     if kind == "ip":
         parts = re.findall("[0-9]+", text)
         return len(parts) == 4 and all(len(p) < 4 and int(p) <= 255 for p in parts)
-    return "." in text
+    return _ADDRESS.match(text) is not None
+
+
+def plain_signs(text: str) -> str:
+    """Digits of any script and full-width signs as ASCII."""
+    signs = (chr(ord(c) - WIDE) if 0xFF01 <= ord(c) <= 0xFF5E else c for c in text)
+    return "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in signs)
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -108,54 +118,68 @@ def base_spans(text: str) -> list[Span]:
 # -- shapes ------------------------------------------------------------------
 
 SIGNS = "@.-+()/:,#_"
-
-
-def _shape(token: str) -> str:
-    first = token[0]
-    if "0" <= first <= "9":
-        n = len(token)
-        return f"d{n}" if n < 5 else "d5" if n < 7 else "d7" if n < 9 else "d9" if n < 12 else "d12"
-    if first.isalpha():
-        case = "x" if token.islower() else "X" if token.isupper() else "Xx" if token.istitle() else "xX"
-        return case + ("1" if len(token) == 1 else "3" if len(token) < 4 else "")
-    return first if first in SIGNS else "?"
-
+WIDE = 0xFEE0  # from an ASCII sign to its full-width form
+LIKE = {"[": "(", "{": "(", "]": ")", "}": ")", "\u2010": "-", "\u2011": "-", "\u2013": "-"}
+SPACE, LETTER, DIGIT, SIGN = range(4)
+DIGITS = np.array([0, 0, 1, 2, 3, 4, 4, 5, 5, 6, 6, 6, 7])  # shape by length, 12 for more
 
 SHAPES = [f"d{n}" for n in (1, 2, 3, 4, 5, 7, 9, 12)]
+LETTERS = len(SHAPES)
 SHAPES += [case + size for case in ("x", "X", "Xx", "xX") for size in ("1", "3", "")]
-SHAPES += [*SIGNS, "?"]
-_NUMBER = {shape: 2 * k + 1 for k, shape in enumerate(SHAPES)}
+FIRST_SIGN = len(SHAPES)
+SHAPES += [*SIGNS, "?", "at", "dot"]
 LABELS = ["O"] + [f"{place}-{kind}" for kind in KINDS for place in "BI"]
 
 
-def _shape_numbers(text: str, tokens: list[tuple[int, int]]) -> np.ndarray:
-    """A number per token: its shape, and whether it touches the token before."""
-    out, last = [], -1
-    for start, end in tokens:
-        out.append(_NUMBER[_shape(text[start:end])] + (start == last))
-        last = end
-    return np.array(out, dtype=np.int64)
-
-
-def _tokens(text: str, start: int, end: int) -> list[tuple[int, int]]:
-    return [m.span() for m in _TOKEN.finditer(text, start, end)]
-
-
-def runs(text: str) -> list[tuple[int, int]]:
-    """Stretches for the field: neighbouring chunks with a digit or at sign, and one around."""
-    out: list[list[int]] = []
-    for m in _CHUNK.finditer(text):
-        if out and not text[out[-1][1] : m.start()].strip():
-            out[-1][1] = m.end()
-        else:
-            out.append([m.start(), m.end()])
-    spans = []
-    for start, end in out:
-        before = _BEFORE.search(text[max(0, start - CONTEXT) : start])
-        after = _AFTER.match(text, end, min(len(text), end + CONTEXT))
-        left = max(0, start - CONTEXT) + before.start() if before else start
-        spans.append((left, after.end() if after else end))
-    return spans
+@functools.lru_cache(maxsize=1)
+def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every code point: its kind, whether it is a capital, and its shape as a sign."""
+    every = "".join(map(chr, range(0x110000)))
+    kinds = np.full(len(every), SIGN, dtype=np.uint8)
+    for kind, rule in ((SPACE, r"\s+"), (LETTER, r"[^\W\d_]+"), (DIGIT, r"\d+")):
+        for m in re.finditer(rule, every):
+            kinds[m.start() : m.end()] = kind
+    capital = np.array([c.isupper() for c in every]) & (kinds == LETTER)
+    signs = np.full(len(every), FIRST_SIGN + len(SIGNS), dtype=np.uint8)
+    same = {c: c for c in SIGNS} | LIKE
+    for c, sign in same.items():
+        signs[ord(c)] = FIRST_SIGN + SIGNS.index(sign)
+        if ord(c) < 0x7F:
+            signs[ord(c) + WIDE] = signs[ord(c)]
+    return kinds, capital, signs
+
+
+def tokens(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and shape numbers of all tokens: runs of letters or digits, single signs.
+
+    A shape number also says whether the token touches the one before.
+    """
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    kinds, capital, signs = _characters()
+    kind = kinds[codes]
+    fresh = np.ones(len(codes) + 1, dtype=bool)
+    fresh[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == SIGN)
+    borders = np.flatnonzero(fresh)
+    starts, ends = borders[:-1], borders[1:]
+    real = kind[starts] != SPACE
+    starts, ends = starts[real], ends[real]
+    kind, length, first = kind[starts], ends - starts, codes[starts]
+    upper = capital[codes]
+    capitals = np.concatenate([[0], np.cumsum(upper, dtype=np.int32)])
+    capitals = capitals[ends] - capitals[starts]
+    case = np.where((capitals == 1) & upper[starts], 2, 3)
+    case = np.where(capitals == length, 1, np.where(capitals == 0, 0, case))
+    shape = LETTERS + 3 * case + np.where(length == 1, 0, np.where(length < 4, 1, 2))
+    shape = np.where(kind == DIGIT, DIGITS[np.minimum(length, 12)], shape)
+    shape = np.where(kind == SIGN, signs[first], shape)
+    for word in ("at", "dot"):
+        some = np.flatnonzero((length == len(word)) & ((first | 32) == ord(word[0])))
+        for k, letter in enumerate(word):
+            some = some[(codes[starts[some] + k] | 32) == ord(letter)]
+        shape[some] = SHAPES.index(word)
+    touches = np.zeros(len(starts), dtype=np.int64)
+    touches[1:] = starts[1:] == ends[:-1]
+    return starts, ends, (2 * shape + 1 + touches).astype(np.int16)
 
 
 # -- training ----------------------------------------------------------------
@@ -192,6 +216,46 @@ LABELLED = (
     "to e[max@ example.net] sent",
     "ask e[info @example.com] for",
     "e[a.b.12 @ host3.example.com], or",
+    "write e[ann.lee (at) example (dot) org] now",
+    "e[jo (at) mail.example.org], please",
+    "Mail an e[max.muster(at)example(dot)de] oder",
+    "ask e[jo at example dot com] today",
+    "to e[sue.b at mail dot example dot org] then",
+    "e[Kim.Ray (at) Example (dot) com] wrote",
+    "call p[+44 20 7946 0958] now",
+    "or p[+1-415-555-0132] there",
+    "p[+49 (30) 5550 1234] ok",
+    "card c[4111 1111 1111 1111] exp",
+    "with c[4111-1111-1111-1111], paid",
+    "pay c[5500 0000 0000 0004] soon",
+    "c[4111 1111 1111 1111]",
+    "c[5500-0000-0000-0004]",
+    "pay c[3782 822463 10005] now",
+    "Card: c[6011 0009 9013 9424]. Thanks",
+    "e[jane (at) shop (dot) example]",
+    "e[lee (at) example (dot) org], and",
+    "e[ann @ example.org]",
+    "e[jo at example dot com]",
+    "p[030 5550 1234]",
+    "p[+44 20 7946 0958], and",
+    "i[10 . 0 . 0 . 1]",
+    "address i[10.0.0.1]",
+    "hosts i[172.16.254.33] i[8.8.4.4]",
+    "i[203.0.113.77] is up",
+    "i[198.51.100.230] answers",
+    "e[mueller @ beispiel.example.org] sagt",
+    "e[smith @example.com] says",
+    "e[garcia (at) correo (dot) example] dice",
+    "e[martin.dupont (at) courrier (dot) org] dit",
+    "e[somebody at somewhere dot net] says",
+    "e[weber(at)firma(dot)example] schreibt",
+    "ende. e[schmidt (at) verein (dot) org] bittet",
+    "host i[10.0.0.1] up",
+    "from i[192.168.1.20], seen",
+    "we met at the shop at noon",
+    "a dot on the map at home",
+    "open (at) night (dot) and",
+    "look at the red dot there",
     "reply e[sales.7@ shop.example.org] then",
     "on 2024-01-15 we met",
     "at 12:30 sharp",
@@ -221,7 +285,7 @@ LABELLED = (
     "section 3.2.1 says",
     "coordinates 52.5200, 13.4050 there",
     "phone model 3310 sold",
-    "in 2019 2020 2021 2022 rose",
+    "in 2019 2020 2021 rose",
     "from 100 200 300 400 on",
     "lines 1 2 3 4 5 6 7",
     "12 34 56 78",
@@ -251,19 +315,35 @@ def labelled_sequence(line: str) -> tuple[np.ndarray, np.ndarray]:
         if letter:
             marks.append((len(text), len(text) + len(inside), "eicp".index(letter)))
             text += inside
-    tokens = _tokens(text, 0, len(text))
-    labels = np.zeros(len(tokens), dtype=np.int64)
-    for k, (start, _) in enumerate(tokens):
+    starts, _, shapes = tokens(text)
+    labels = np.zeros(len(starts), dtype=np.int64)
+    for k, start in enumerate(starts.tolist()):
         for a, b, kind in marks:
             if a <= start < b:
                 labels[k] = 1 + 2 * kind + (start > a)
-    return _shape_numbers(text, tokens), labels
+    return shapes, labels
+
+
+#: Surroundings in which every span of the table is learned once more.
+CARRIERS = (
+    "some words before %s and words after",
+    "The End. %s Other text",
+    "eines Tages, %s. Dann",
+    "so (%s) gewiss",
+    "mit ein %s, oder",
+)
+
+
+def examples(lines: tuple[str, ...]) -> list[str]:
+    """The lines, and each of their spans within every carrier."""
+    marked = [m[0] for line in lines for m in re.finditer(r"\b[eicp]\[[^\]]*\]", line)]
+    return [*lines, *(c % span for span in dict.fromkeys(marked) for c in CARRIERS)]
 
 
 @functools.lru_cache(maxsize=4)
 def trained_field(lines: tuple[str, ...] = LABELLED) -> Crf:
-    """The field learned from labelled lines; a worker trains it once, in about a second."""
-    pairs = [labelled_sequence(line) for line in lines]
+    """The field learned from labelled lines, on the driver in some seconds."""
+    pairs = [labelled_sequence(line) for line in examples(lines)]
     return Crf.trained(
         [s for s, _ in pairs], [y for _, y in pairs], 2 * len(SHAPES) + 1, len(LABELS)
     )
@@ -272,42 +352,64 @@ def trained_field(lines: tuple[str, ...] = LABELLED) -> Crf:
 # -- finding -----------------------------------------------------------------
 
 
-def _labelled_spans(tokens: list[tuple[int, int]], labels: np.ndarray) -> Iterator[Span]:
-    k = 0
-    while k < len(tokens):
-        if labels[k] % 2 == 0:  # nothing, or the inside of a span that never began
-            k += 1
-            continue
-        last = k
-        while last + 1 < len(tokens) and labels[last + 1] == labels[k] + 1:
-            last += 1
-        yield tokens[k][0], (int(labels[k]) - 1) // 2, tokens[last][1]
-        k = last + 1
+def _field_spans(texts: list[str], field: Crf) -> list[set[Span]]:
+    """Per text: what the field labels, of at most ``REACH`` tokens, tested or not."""
+    cut = [tokens(text) for text in texts]
+    slices = [
+        (number, at, max(0, at - REACH))
+        for number, (starts, _, _) in enumerate(cut)
+        for at in range(0, len(starts), CORE)
+    ]
+    labels = field.decode([cut[n][2][low : at + CORE + REACH] for n, at, low in slices])
+    out: list[set[Span]] = [set() for _ in texts]
+    for (number, at, low), found in zip(slices, labels, strict=True):
+        starts, ends, _ = cut[number]
+        for k in np.flatnonzero(found & 1).tolist():  # odd labels begin a span
+            if not at <= low + k < at + CORE:
+                continue
+            last = k
+            while last + 1 < len(found) and found[last + 1] == found[k] + 1:
+                last += 1
+            out[number].add((int(starts[low + k]), (int(found[k]) - 1) // 2, int(ends[low + last])))
+    return out
 
 
 def all_spans(texts: list[str], field: Crf) -> list[tuple[list[Span], list[Span]]]:
     """Per text: what the rules find, and what rules and field find together."""
-    cut = [[_tokens(text, *run) for run in runs(text)] for text in texts]
-    shapes = [_shape_numbers(t, tokens) for t, part in zip(texts, cut, strict=True) for tokens in part]
-    labels = iter(field.decode(shapes))
     out = []
-    for text, part in zip(texts, cut, strict=True):
+    for text, labelled in zip(texts, _field_spans(texts, field), strict=True):
         base = base_spans(text)
         taken = sorted((s, e) for s, _, e in base)
         reach = _running_ends(taken)
         starts = [s for s, _ in taken]
         added: set[Span] = set()
-        for tokens in part:
-            for start, kind, end in _labelled_spans(tokens, next(labels)):
-                before = bisect.bisect_left(starts, end)
-                if before and reach[before - 1] > start:
-                    continue
-                if _sound(KINDS[kind], text[start:end]):
-                    added.add((start, kind, end))
+        for start, kind, end in labelled:
+            found = plain_signs(text[start:end])
+            if kind == 0 and (address := _ADDRESS.search(found)):  # less a word before it
+                start, found = start + address.start(), address[0]
+            before = bisect.bisect_left(starts, end)
+            if before and reach[before - 1] > start:
+                continue
+            if _sound(KINDS[kind], found):
+                added.add((start, kind, end))
         out.append((base, sorted([*base, *added])))
     return out
 
 
+def _groups(texts: list[str]) -> Iterator[list[str]]:
+    """Neighbouring texts of some ``SLICE_CHARS`` together."""
+    group: list[str] = []
+    size = 0
+    for text in texts:
+        if group and size + len(text) > SLICE_CHARS:
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text)
+    if group:
+        yield group
+
+
 def _running_ends(spans: list[tuple[int, int]]) -> list[int]:
     ends: list[int] = []
     for _, end in spans:
@@ -331,14 +433,13 @@ def masked(text: str, spans: list[Span]) -> str:
 
 def found_in(text: str, lines: tuple[str, ...] = LABELLED, mask: bool = True) -> Column:
     """A struct of counts, digest, spans and masked text for a text column."""
+    field = trained_field(lines)  # some thousand weights, sent with the function
 
     @F.pandas_udf(SCHEMA)
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        field = trained_field(lines)
         for batch in batches:
             rows = []
-            for at in range(0, len(batch), SLICE):
-                texts = [t or "" for t in batch.iloc[at : at + SLICE]]
+            for texts in _groups([t or "" for t in batch]):
                 for t, (base, spans) in zip(texts, all_spans(texts, field), strict=True):
                     counts = [sum(kind == k for _, kind, _ in base) for k in range(len(KINDS))]
                     digest = hashlib.sha256(written(base).encode()).hexdigest()
@@ -353,7 +454,8 @@ def find_personal_data(docs: DataFrame, lines: tuple[str, ...] = LABELLED) -> Da
 
     Returns doc_id, how many spans of each kind the rules found, a digest of those, and
     all spans as kind:start:end in code points. A null text counts as empty and has
-    none. Repeated rows get equal results; other columns are not read.
+    none. Repeated rows get equal results; other columns are not read. A very long text is one
+    task's, at some 40 bytes a character. The field's spans have at most ``REACH`` tokens.
     """
     ship_code(docs.sparkSession)
     found = docs.select("doc_id", found_in("text", lines, mask=False).alias("_found"))

@@ -1,5 +1,6 @@
 """The operators' inner parts against plain versions."""
 
+import itertools
 import random
 
 import numpy as np
@@ -9,6 +10,7 @@ from hypothesis import strategies as st
 
 import brute_force as plain
 from freshet.llm import fingerprints, pii
+from freshet.llm.crf import AROUND, Crf
 from freshet.llm.catalog import vocabulary_file
 from freshet.llm.components import components
 from freshet.llm.cover_tree import CoverTree, Links
@@ -90,6 +92,89 @@ def test_decoding_in_batches_equals_one_by_one():
         assert labels.tolist() == (field.decode([one])[0].tolist() if len(one) else [])
 
 
+def test_decoding_finds_the_best_of_all_paths():
+    rng = np.random.default_rng(4)
+    n_shapes, n_labels = 5, 3
+    field = Crf(
+        rng.normal(size=(len(AROUND), n_shapes + 1, n_labels)), rng.normal(size=(n_labels, n_labels))
+    )
+    many = [rng.integers(1, n_shapes + 1, n) for n in (1, 2, 3, 5, 6, 6)]
+
+    def score(shapes, path):
+        total = sum(field.step[a, b] for a, b in itertools.pairwise(path))
+        for at, label in enumerate(path):
+            for k, away in enumerate(AROUND):
+                inside = 0 <= at + away < len(shapes)
+                total += field.emit[k, shapes[at + away] if inside else 0, label]
+        return total
+
+    for shapes, labels in zip(many, field.decode(many), strict=True):
+        paths = itertools.product(range(n_labels), repeat=len(shapes))
+        assert tuple(labels.tolist()) == max(paths, key=lambda path: score(shapes, path))
+
+
+def _planted(rng):
+    """Personal data that no rule finds: form, kind, text."""
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+    word = lambda: "".join(rng.choices("abcdefghiklmnoprstu", k=rng.randint(3, 9)))
+    body = "4" + digits(14)
+    card = next(body + c for c in "0123456789" if pii.luhn(body + c))
+    four = [card[k : k + 4] for k in range(0, 16, 4)]
+    host = [str(rng.randint(1, 255)) for _ in range(4)]
+    other = str.maketrans("0123456789", rng.choice(["０１２３４５６７８９", "٠١٢٣٤٥٦٧٨٩"]))
+    return [
+        ("spelt", 0, f"{word()}.{word()} (at) {word()} (dot) org"),
+        ("bare", 0, f"{word()} at {word()} dot com"),
+        ("brackets", 0, f"{word()} [at] {word()} [dot] net"),
+        ("blanks", 0, f"{word()} @ {word()}.example.org"),
+        ("blanks", 1, " . ".join(host)),
+        ("other digits", 1, ".".join(host).translate(other)),
+        ("dots", 2, ".".join(four)),
+        ("other digits", 2, " ".join(four).translate(other)),
+        ("no plus", 3, f"({digits(3)}) {digits(3)}-{digits(4)}"),
+        ("other digits", 3, f"+44 20 {digits(4)} {digits(4)}".translate(other)),
+    ]
+
+
+def test_field_finds_planted_variants(spark):
+    rng, field = random.Random(1), pii.trained_field()
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    clean = table.where("not text rlike '[0-9@]'").orderBy("doc_id").limit(60).collect()
+    hits, tries = {}, {}
+    for r in clean:
+        words = r["text"].split(" ")
+        for form, kind, planted in _planted(rng):
+            at = rng.randint(0, len(words))
+            left = "".join(w + " " for w in words[:at])
+            ((base, spans),) = pii.all_spans([f"{left}{planted} {' '.join(words[at:])}"], field)
+            key = (form, kind)
+            tries[key] = tries.get(key, 0) + 1
+            hits[key] = hits.get(key, 0) + ((len(left), kind, len(left) + len(planted)) in spans)
+            assert base == []
+        assert pii.all_spans([r["text"]], field) == [([], [])]
+    assert all(hits[key] >= 0.8 * tries[key] for key in tries), (hits, tries)
+
+
+def test_slices_find_what_lies_on_their_borders():
+    field = pii.trained_field()
+    text = "word " * (pii.CORE - 5) + "ring (614) 555-0190 now " + "word " * 900
+    for k in range(12):
+        moved = text[5 * k :]
+        start = moved.index("(")
+        assert pii.all_spans([moved], field) == [([], [(start, 3, start + 14)])]
+
+
+def test_tokens_are_runs_and_signs():
+    starts, ends, shapes = pii.tokens("Ab c12 ３٤-_\u0301 at DOT")
+    assert [(a, b) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)] == [
+        *((0, 2), (3, 4), (4, 6), (7, 9), (9, 10), (10, 11), (11, 12), (13, 15), (16, 19))
+    ]
+    names = [pii.SHAPES[(n - 1) // 2] for n in shapes.tolist()]
+    assert names == ["Xx3", "x1", "d2", "d2", "-", "_", "?", "at", "dot"]
+    assert [int(n - 1) % 2 for n in shapes] == [0, 0, 1, 0, 1, 1, 1, 0, 0]
+    assert [len(x) for x in pii.tokens("")] == [0, 0, 0]
+
+
 def test_field_finds_nothing_in_plain_text():
     field = pii.trained_field()
     texts = ["a b c " * 50, "on 2024-01-15 at 12:30 we had 3,141 of 10", "v1.2.3 id 4876179212", ""]
