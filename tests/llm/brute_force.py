@@ -289,3 +289,27 @@ def language_model(docs: list[tuple], gain: float = 1e-4) -> list[tuple]:
             score += np.log10(d[k3] * f3 + (1 - d[k3]) * p2)
         out.append((i, fold == 1, len(ws), sum((w,) in c for w in ws), n, base, score))
     return out
+
+
+def kd_tree(points, room, extents=None, leaf=0):
+    """Leaf of every point (dims, mix, weight): sorted, and cut where it is nearest to the goal."""
+    if not points:
+        return {}
+    if extents is None:
+        columns = list(zip(*(p[0] for p in points), strict=True))
+        extents = [max(1, max(c) - min(c)) for c in columns]
+    if len(room) == 1:
+        return {p[:2]: leaf for p in points}
+    columns = list(zip(*(p[0] for p in points), strict=True))
+    widths = [(max(c) - min(c)) / e for c, e in zip(columns, extents, strict=True)]
+    dim = widths.index(max(widths))
+    ordered = sorted(points, key=lambda p: (p[0][dim], p[1]))
+    half = len(room) // 2
+    goal = round(sum(p[2] for p in points) * (sum(room[:half]) / sum(room)))
+    below, cut = 0, 0
+    while below + ordered[cut][2] < goal:
+        below += ordered[cut][2]
+        cut += 1
+    cut += below + ordered[cut][2] - goal <= goal - below
+    left = kd_tree(ordered[:cut], room[:half], extents, 2 * leaf)
+    return left | kd_tree(ordered[cut:], room[half:], extents, 2 * leaf + 1)

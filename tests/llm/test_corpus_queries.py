@@ -130,8 +130,12 @@ def test_shards_are_even_and_slots_gapless(spark, docs):
         size[r["shard"]] += r["size"]
         slots[r["shard"]].append(r["slot"])
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
-    largest = max(r["size"] for r in rows)
-    assert max(size.values()) - min(size[k] for k in range(16)) <= 4 * largest
+    mean = sum(size.values()) / 16
+    assert all(abs(size[k] - mean) <= 0.03 * mean for k in range(16))
+    groups = defaultdict(set)
+    for r in rows:
+        groups[docs[r["doc_id"]]["text"]].add(r["shard"])
+    assert all(len(shards) == 1 for shards in groups.values())
 
 
 def test_token_files_give_back_every_id(spark, docs, library):

@@ -14,6 +14,7 @@ from freshet.llm.crf import AROUND, Crf
 from freshet.llm.catalog import vocabulary_file
 from freshet.llm.components import components
 from freshet.llm.cover_tree import CoverTree, Links
+from freshet.llm.kd_shards import HEAVY, deal, kd_leaves, room_left, shard_documents
 from freshet.llm.language_id import ngrams
 from freshet.llm.minhash import BANDS, ROWS, band_keys, signatures
 from freshet.llm.packing import best_two_fit
@@ -269,3 +270,42 @@ def test_ngrams_stay_within_words():
     expected += [(1 * shift + a) * shift + 1, (1 * shift + b) * shift + 1]
     assert sorted(found) == sorted(expected)
     assert len(ngrams("123 ...")) == 0
+
+
+def test_kd_tree_equals_a_plain_one(spark):
+    rng = random.Random(9)
+    points = [
+        ((rng.randint(0, 9) ** 2, rng.choice([3, 500]), k), rng.randrange(1 << 32), rng.randint(1, 90))
+        for k in range(300)
+    ]
+    room = [1.0, 2.0, 0.0, 1.5, 1.0, 1.0, 0.5, 3.0]
+    rows = [(*dims, mix, size, 1) for dims, mix, size in points]
+    frame = spark.createDataFrame(rows, "a long, b long, c long, mix long, size long, node long")
+    placed = kd_leaves(frame, ["a", "b", "c"], room).collect()
+    assert {((r["a"], r["b"], r["c"]), r["mix"]): r["leaf"] for r in placed} == plain.kd_tree(points, room)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 1000), max_size=40), st.integers(0, 5000))
+def test_heavy_points_leave_room_for_the_rest(sizes, rest):
+    dealt, loads = deal([(str(k), 0, size) for k, size in enumerate(sizes)], 8)
+    assert sorted(key for key, *_ in dealt) == sorted(str(k) for k in range(len(sizes)))
+    assert [sum(sizes[int(k)] for k, _, s in dealt if s == shard) for shard in range(8)] == loads
+    room = room_left(loads, rest)
+    assert sum(room) == pytest.approx(rest)
+    filled = [a + b for a, b in zip(loads, room, strict=True) if b > 0]
+    assert not filled or max(filled) - min(filled) < 1e-6 <= min(filled) + 1e-3
+
+
+def test_groups_of_equal_texts_share_a_shard_if_they_fit(spark):
+    texts = ["x" * 60] * 400 + [f"{k} " + "y" * (k % 70) for k in range(500)]
+    texts += [text for k in range(30) for text in [f"group {k}" * 5] * (k % 6 + 2)] + [None, "", None]
+    rows = [(k, text, "en", f"s{k % 3}") for k, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    shards, load = {}, [0] * 16
+    for r in shard_documents(spark, docs, 16).collect():
+        shards.setdefault(texts[r["doc_id"]] or "", set()).add(r["shard"])
+        load[r["shard"]] += r["size"]
+    assert len(shards.pop("x" * 60)) > 1  # more than half of all bytes
+    assert all(len(found) == 1 for found in shards.values())
+    assert max(load) - min(load) <= sum(load) / 16 / HEAVY * 2
