@@ -32,6 +32,8 @@ LEVELS = 12  # after which the points of a node that is still too large are deal
 
 def _units(lists) -> np.ndarray:
     rows = np.array([np.asarray(x, dtype=np.float64) for x in lists])
+    # Scaled by a power of two, which is exact, so that no square is too large or too small.
+    rows = np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 

@@ -14,6 +14,8 @@ far less for the best beginning of that running sum.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from freshet.llm.ranks import ranked, spread
 from freshet.llm.staging import staged
 
 WORD = r"[^\x20\x09-\x0D]+"
-STEPS = 60  # of Newton's method at most; about eight are usual
+STEPS = 60  # of Newton's method, about eight are usual; then the brackets are halved
 NEAR = 1e-6  # of a target, by which taken words may miss it
 SLACK = 1e-9  # of a source's words, within which a target counts as its limit
 #: A source is its text and whether it has one: null is a source of its own, the last.
@@ -90,7 +92,8 @@ def balance(spark: SparkSession, counts: DataFrame, targets: DataFrame, limit: f
     has no words) needs no tilt: its rates are the limit. The dual's slope is the
     missing words, its curvature the words of the documents below the limit, weighted
     by size. Steps are held within a bracket, so that a source far from its target
-    cannot run away. Each step is one aggregation to a line per source, written before
+    cannot run away. After ``STEPS`` steps the brackets are halved until the targets are met or
+    no number is left within, which ends whatever the sizes. Each step is one aggregation to a line per source, written before
     the next; only the number of sources still off passes to the driver.
     """
     spans = counts.groupBy(*KEY).agg(F.max("size").alias("largest"))
@@ -103,7 +106,7 @@ def balance(spark: SparkSession, counts: DataFrame, targets: DataFrame, limit: f
         .withColumn("off", ~F.col("full"))
     )
     state = staged(spark, state, "tilts")
-    for _ in range(STEPS):
+    for turn in count():
         if not state.where("off").limit(1).count():
             break
         met = counts.join(state.where("off"), KEY).withColumn("part", _part())
@@ -121,13 +124,16 @@ def balance(spark: SparkSession, counts: DataFrame, targets: DataFrame, limit: f
             F.signum(short)
         )
         # Outside the bracket halve it; with one end open go twice as far, plus one.
+        middle, bounded = (low + high) / 2, low.isNotNull() & high.isNotNull()
+        halved = bounded & (F.lit(turn >= STEPS) | ~step.between(low, high))
         inside = (
-            F.when(low.isNotNull() & high.isNotNull() & ~step.between(low, high), (low + high) / 2)
+            F.when(halved, middle)
             .when(high.isNull(), F.least(step, F.col("tilt") + F.abs("tilt") + 1))
             .when(low.isNull(), F.greatest(step, F.col("tilt") - F.abs("tilt") - 1))
             .otherwise(step)
         )
-        done = F.abs(short) <= F.col("target") * NEAR
+        narrow = F.coalesce((middle <= low) | (middle >= high), F.lit(False))
+        done = (F.abs(short) <= F.col("target") * NEAR) | narrow
         moved = state.join(sums, KEY, "left").select(
             *KEY,
             "source_size",

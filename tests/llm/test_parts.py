@@ -9,11 +9,12 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import brute_force as plain
-from freshet.llm import fingerprints, pii
+from freshet.llm import fingerprints, mixing, pii
 from freshet.llm.crf import AROUND, Crf
 from freshet.llm.catalog import vocabulary_file
 from freshet.llm.components import components
 from freshet.llm.cover_tree import CoverTree, Links
+from freshet.llm.embedding_links import _units, link_vectors
 from freshet.llm.kd_shards import HEAVY, deal, kd_leaves, room_left, shard_documents
 from freshet.llm.language_id import ngrams
 from freshet.llm.minhash import BANDS, ROWS, band_keys, signatures
@@ -309,3 +310,54 @@ def test_groups_of_equal_texts_share_a_shard_if_they_fit(spark):
     assert len(shards.pop("x" * 60)) > 1  # more than half of all bytes
     assert all(len(found) == 1 for found in shards.values())
     assert max(load) - min(load) <= sum(load) / 16 / HEAVY * 2
+
+
+@pytest.mark.parametrize("steps", [60, 2, 0])
+def test_tilts_equal_plain_bisection(spark, monkeypatch, steps):
+    monkeypatch.setattr(mixing, "STEPS", steps)
+    rng = random.Random(2)
+    counts = {
+        s: {rng.randint(1, 4000): rng.randint(1, 30) for _ in range(40)} for s in ("a", "b", "c", "d")
+    }
+    words = {s: sum(size * n for size, n in x.items()) for s, x in counts.items()}
+    wanted = {s: share * words[s] for s, share in zip(words, (0.02, 0.7, 1.3, 1.97), strict=True)}
+    rows = [(True, s, size, n) for s, x in counts.items() for size, n in x.items()]
+    sized = spark.createDataFrame(rows, "named boolean, source string, size long, docs long")
+    goals = [(True, s, words[s], wanted[s]) for s in words]
+    goals = spark.createDataFrame(
+        goals, "named boolean, source string, source_size long, target double"
+    )
+    found = {r["source"]: r["tilt"] for r in mixing.balance(spark, sized, goals, 2).collect()}
+    for s, sizes in counts.items():
+        top = max(sizes)
+
+        def taken(tilt, sizes=sizes, top=top):
+            return sum(min(2, np.exp(min(tilt * k / top, 50))) * k * n for k, n in sizes.items())
+
+        low, high = -1e6, 1e6
+        for _ in range(200):
+            middle = (low + high) / 2
+            low, high = (middle, high) if taken(middle) < wanted[s] else (low, middle)
+        assert taken(found[s]) == pytest.approx(wanted[s], rel=2e-6)
+        assert found[s] == pytest.approx(low, rel=1e-3, abs=1e-4)
+
+
+def test_targets_that_cannot_be_met_exactly_end(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STEPS", 1)
+    monkeypatch.setattr(mixing, "NEAR", 0.0)
+    sized = spark.createDataFrame([(True, "a", 7, 3)], "named boolean, source string, size long, docs long")
+    goals = spark.createDataFrame(
+        [(True, "a", 21, 10.1)], "named boolean, source string, source_size long, target double"
+    )
+    (found,) = mixing.balance(spark, sized, goals, 2).collect()
+    # Sums have six decimal places.
+    assert 21 * np.exp(found["tilt"]) == pytest.approx(10.1, abs=1e-6) and not found["off"]
+
+
+def test_very_large_and_very_small_vectors_link(spark):
+    base = np.array([[3.0, 4.0, 0.5], [-1.0, 2.0, 2.0]])
+    assert (_units(base * 2.0**900) == _units(base)).all()
+    rows = [(k, 1, (base[k % 2] * scale).tolist()) for k, scale in enumerate([1, 1, 1e200, 1e-200, 1e-300, 1e300])]
+    frame = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in link_vectors(spark, frame).collect()}
+    assert found == {0: (2, 0), 2: (2, 0), 4: (2, 0), 1: (2, 1), 3: (2, 1), 5: (2, 1)}
