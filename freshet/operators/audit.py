@@ -20,6 +20,8 @@ from freshet.registry import POSITION, TopicSpec
 
 # Offsets compared with their neighbours inside one group.
 GAP_BLOCK = 1_000_000
+# Ids compared one by one; a plan with many more comparisons is too deep for Spark.
+FEW_IDS = 200
 
 
 def duplicate_events(bronze: DataFrame, by: tuple[str, ...] = ("_event_id",)) -> DataFrame:
@@ -104,14 +106,25 @@ def _steps(runs: DataFrame, within: list[str]) -> DataFrame:
     )
 
 
-def find_events(bronze: DataFrame, ids: Iterable[str]) -> DataFrame:
-    """All rows of a few events, wherever in the history they are.
+def find_events(bronze: DataFrame, ids: Iterable[str] | DataFrame) -> DataFrame:
+    """All rows of some events, wherever in the history they are.
 
-    The ids are pushed down as comparisons one by one, for which Parquet asks the Bloom
-    filters of a table written with ``id_filters``: row groups without any of the ids are
-    not read. Long lists belong in a table and a join.
+    ``ids`` is a list, or a frame whose first column they are, which stays with the executors.
+    Up to ``FEW_IDS`` are pushed down as comparisons one by one, for which Parquet asks the
+    Bloom filters of a table written with ``id_filters``: row groups without any of the ids
+    are not read. More are joined.
     """
-    return bronze.where(reduce(or_, (F.col("_event_id") == one for one in ids), F.lit(False)))
+    spark = bronze.sparkSession
+    if isinstance(ids, DataFrame):
+        wanted = ids.select(F.col(f"`{ids.columns[0]}`").alias("_event_id"))
+        few = [row["_event_id"] for row in wanted.limit(FEW_IDS + 1).collect()]
+    else:
+        few = list(ids)
+        if len(few) > FEW_IDS:
+            wanted = spark.createDataFrame([(one,) for one in few], "_event_id string")
+    if len(few) > FEW_IDS:
+        return bronze.join(wanted, "_event_id", "left_semi").select(*bronze.columns)
+    return bronze.where(reduce(or_, (F.col("_event_id") == one for one in few), F.lit(False)))
 
 
 def topic_mismatch(bronze: DataFrame) -> DataFrame:

@@ -267,8 +267,9 @@ def find_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     deliver(orders, cfg)
     runner.run(spark, [ORDERS], cfg)
     wanted = parse_bronze(orders, ORDERS).where("cast(order_id as bigint) % 1499 = 7")
-    ids = [row["_event_id"] for row in wanted.select("_event_id").collect()]  # one in 1,499
-    found = audit.find_events(audit.read_bronze(spark, cfg, ORDERS), ids)
+    path = scratch_dir(spark, "wanted")
+    wanted.select("_event_id").write.parquet(path)  # one in 1,499
+    found = audit.find_events(audit.read_bronze(spark, cfg, ORDERS), spark.read.parquet(path))
     return portable(found.select("_event_id", "_kafka_partition", "_kafka_offset", "_bronze_date"))
 
 

@@ -244,6 +244,18 @@ def test_no_id_finds_no_event(spark, cfg):
     assert audit.find_events(bronze(spark, cfg), []).collect() == []
 
 
+def test_many_ids_find_their_events(spark, cfg):
+    log_rows(spark, cfg, 0, 50)
+    runner.run(spark, [ORDERS], cfg)
+    rows = bronze(spark, cfg)
+    ids = [f"e{k}" for k in range(20, 6000)] + ["e20", None]
+    table = spark.createDataFrame([(one,) for one in ids], "wanted string")
+    for few in (ids, table, table.limit(40)):
+        found = audit.find_events(rows, few)
+        assert found.columns == rows.columns
+        assert sorted(int(r.order_id) for r in found.collect()) == list(range(20, 50))
+
+
 def test_starting_time_leaves_out_files_by_their_statistics(spark, cfg):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
