@@ -34,6 +34,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 STAMP = "2024-01-15T08:23:11.432000+00:00"
 CHUNK = 1 << 20  # rows per exported CSV file
 COPY_STEP = 1 << 40  # offset distance between copies of a record
+FILE_ROWS = 1 << 19  # rows of a log file, which one task writes
+FILE_BYTES = 1 << 26  # text of a CSV file, which one task writes
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -153,13 +155,20 @@ def bronze_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(audit.read_bronze(spark, cfg, SPECS["orders"]))
 
 
+def files_each(rows: int, batches: int = 3) -> int:
+    """Log files that one of some batches takes, so that a file has about ``FILE_ROWS`` rows."""
+    return max(1, -(-rows // (batches * FILE_ROWS)))
+
+
 def progress_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and rows without event id that the streams report, batch by batch of one file."""
-    cfg = stream_config(spark, max_files_per_trigger=1)
+    """Rows and rows without event id that the streams report, each in three batches or some more."""
     specs = list(registry().values())
-    for spec in specs:
-        records = feed_records(spark, sf_dir, FEEDS[spec.table])
-        topic_log.write_records(records.repartition(3, "partition"), cfg.log_dir)
+    topics = {spec: feed_records(spark, sf_dir, FEEDS[spec.table]) for spec in specs}
+    rows = {spec: records.count() for spec, records in topics.items()}
+    each = files_each(max(rows.values()))
+    cfg = stream_config(spark, max_files_per_trigger=each)
+    for spec, records in topics.items():
+        topic_log.write_records(records, cfg.log_dir, max(1, -(-rows[spec] // (3 * each))))
     progress = runner.run(spark, specs, cfg)
     lines = [(name, rows, progress.unparsed[name]) for name, rows in progress.rows.items()]
     return spark.createDataFrame(lines, "stream string, rows long, without_event_id long")
@@ -171,14 +180,17 @@ def progress_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORDERS = SPECS["orders"]
 
 
-def deliver(records: DataFrame, cfg: IngestConfig, files: int = 3) -> None:
-    """Append records to the log, spread over some files."""
+def deliver(records: DataFrame, cfg: IngestConfig, batches: int = 3) -> None:
+    """Append records to the log, spread over the files of some batches."""
+    files = batches * cfg.max_files_per_trigger
     topic_log.write_records(records.repartition(files, "offset"), cfg.log_dir)
 
 
-def in_batches(spark: SparkSession, **settings) -> IngestConfig:
-    """A table in batches, which takes one file of the log at a time."""
-    return stream_config(spark, table_format="batches", max_files_per_trigger=1, **settings)
+def in_batches(records: DataFrame, batches: int = 3, **settings) -> IngestConfig:
+    """A table in batches, which takes the files of one of them at a time; few records are in one file."""
+    each = files_each(records.count(), batches)
+    spark = records.sparkSession
+    return stream_config(spark, table_format="batches", max_files_per_trigger=each, **settings)
 
 
 def run_failing(spark: SparkSession, cfg: IngestConfig, number: int) -> None:
@@ -197,9 +209,9 @@ def run_failing(spark: SparkSession, cfg: IngestConfig, number: int) -> None:
 
 
 def batch_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the ledger knows after two runs with a restart in between, batch by batch of one file."""
-    cfg = in_batches(spark)
+    """What the ledger knows after two runs with a restart in between, each of three batches."""
     orders = feed_records(spark, sf_dir, FEEDS["orders"])
+    cfg = in_batches(orders)
     early = F.col("timestamp") < F.lit("2024-01-04T00:00:00+00:00").cast("timestamp")
     for delivery in (orders.where(early), orders.where(~early)):
         deliver(delivery, cfg)
@@ -216,8 +228,9 @@ def batch_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_failed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch that fails after its write is run again and replaces itself."""
-    cfg = in_batches(spark)
-    deliver(feed_records(spark, sf_dir, FEEDS["orders"]), cfg)
+    orders = feed_records(spark, sf_dir, FEEDS["orders"])
+    cfg = in_batches(orders)
+    deliver(orders, cfg)
     run_failing(spark, cfg, 1)
     runner.run(spark, [ORDERS], cfg)
     return portable(audit.read_bronze(spark, cfg, ORDERS))
@@ -225,8 +238,8 @@ def bronze_failed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_lost_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The checkpoint is lost with a batch half done; the next run reads on from the table."""
-    cfg = in_batches(spark)
     orders = feed_records(spark, sf_dir, FEEDS["orders"])
+    cfg = in_batches(orders)
     early = F.col("timestamp") < F.lit("2024-01-04T00:00:00+00:00").cast("timestamp")
     deliver(orders.where(early), cfg)
     run_failing(spark, cfg, 1)
@@ -238,7 +251,6 @@ def bronze_lost_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def offset_gaps_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing offsets of line items that came in eight batches, from the batches' runs."""
-    cfg = in_batches(spark)
     spec = SPECS["order_items"]
     positions = gappy_items(spark, sf_dir)
     records = positions.select(
@@ -250,7 +262,8 @@ def offset_gaps_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("2024-01-01T00:00:00+00:00").cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
-    deliver(records, cfg, files=8)
+    cfg = in_batches(records, batches=8)
+    deliver(records, cfg, batches=8)
     runner.run(spark, [spec], cfg)
     return batches.offset_gap_ranges(spark, cfg, spec)
 
@@ -262,8 +275,8 @@ def bronze_since(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def find_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where the events of some orders are, in a table with a Bloom filter on ids per row group."""
-    cfg = in_batches(spark, id_filters=10_000)
     orders = feed_records(spark, sf_dir, FEEDS["orders"])
+    cfg = in_batches(orders, id_filters=10_000)
     deliver(orders, cfg)
     runner.run(spark, [ORDERS], cfg)
     wanted = parse_bronze(orders, ORDERS).where("cast(order_id as bigint) % 1499 = 7")
