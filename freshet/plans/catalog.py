@@ -757,6 +757,10 @@ def lag_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantiles of the lag from stored daily sketches, and whether their ranks are near enough."""
     needed = ["_kafka_topic", "_bronze_date", "_kafka_timestamp", "_ingested_at"]
     rows = reduce(DataFrame.unionByName, (parsed(spark, sf_dir, name).select(*needed) for name in FEEDS))
+    # Parsed once, for the sketches and for the exact ranks.
+    staged = scratch_dir(spark, "lags")
+    rows.write.parquet(staged)
+    rows = spark.read.schema(rows.schema).parquet(staged)
     path = scratch_dir(spark, "sketches")
     lags.lag_sketches(rows, accuracy=8 * lags.ACCURACY).write.partitionBy("_bronze_date").parquet(path)
     found = lags.lag_quantiles(spark.read.parquet(path), (0.1, 0.5, 0.9, 0.99))

@@ -56,3 +56,8 @@ def test_progress_is_counted_over_files_of_bounded_rows(spark, tmp_path, monkeyp
     for topic in specs:
         assert file_rows(spark, made[0], topic) == [100] * 9
     assert made[0].max_files_per_trigger == 3
+
+
+def test_lags_are_parsed_once(spark):
+    plan = plan_text(catalog.lag_quantiles(spark, "/root/testdata/sf0.001"))
+    assert "from_json" not in plan
