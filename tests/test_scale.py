@@ -61,3 +61,16 @@ def test_progress_is_counted_over_files_of_bounded_rows(spark, tmp_path, monkeyp
 def test_lags_are_parsed_once(spark):
     plan = plan_text(catalog.lag_quantiles(spark, "/root/testdata/sf0.001"))
     assert "from_json" not in plan
+
+
+def test_csv_files_grow_in_number(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "FILE_BYTES", 1000)
+    texts = [(k, "en", "web", f"text {k}\r\nends " + "x" * 100) for k in range(160)]
+    docs = spark.createDataFrame(texts, "doc_id long, lang string, source string, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    made = []
+    scratch = catalog.scratch_dir
+    monkeypatch.setattr(catalog, "scratch_dir", lambda *a: made.append(scratch(*a)) or made[-1])
+    rows = catalog.csv_mixed_row_ends(spark, str(tmp_path)).collect()
+    assert {tuple(r) for r in rows} == {(str(k), *rest) for k, *rest in texts} and len(rows) == 160
+    assert len([f for f in list_folder(spark, made[0]) if "/file=" in f]) == 20
