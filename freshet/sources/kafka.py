@@ -7,7 +7,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from freshet.config import IngestConfig
 from freshet.functions import key_partition
@@ -101,11 +100,10 @@ def each_wave(records: DataFrame, wave_rows: int = WAVE_ROWS) -> Iterator[DataFr
     spark = records.sparkSession
     path = scratch_dir(spark, "waves")
     in_waves(records, wave_rows).write.partitionBy("wave").parquet(path)
-    schema = StructType([*records.schema.fields, StructField("wave", LongType())])
-    staged = spark.read.schema(schema).parquet(path)
     names = (folder.rsplit("/", 1)[-1] for folder in list_folder(spark, path))
     for wave in sorted(int(name.removeprefix("wave=")) for name in names if name.startswith("wave=")):
-        yield staged.where(F.col("wave") == wave).drop("wave")
+        # Its folder alone is looked at, so that a wave costs the same however many there are.
+        yield spark.read.schema(records.schema).parquet(f"{path}/wave={wave}")
 
 
 def publish(

@@ -74,3 +74,13 @@ def test_csv_files_grow_in_number(spark, tmp_path, monkeypatch):
     rows = catalog.csv_mixed_row_ends(spark, str(tmp_path)).collect()
     assert {tuple(r) for r in rows} == {(str(k), *rest) for k, *rest in texts} and len(rows) == 160
     assert len([f for f in list_folder(spark, made[0]) if "/file=" in f]) == 20
+
+
+def test_a_wave_looks_at_its_own_folder(spark):
+    schema = f"topic string, key binary, value binary, {FILE} string, {ORDINAL} long"
+    rows = spark.createDataFrame([("t", b"k", str(k).encode(), "a.csv", k) for k in range(40)], schema)
+    waves = list(kafka.each_wave(rows, 10))
+    files = [set(wave.inputFiles()) for wave in waves]
+    assert len(files) == 4 and all(files) and not set.intersection(*files)
+    assert [wave.columns for wave in waves] == [rows.columns] * 4
+    assert [sorted(r[ORDINAL] for r in w.collect()) for w in waves] == [list(range(k, k + 10)) for k in range(0, 40, 10)]
