@@ -31,13 +31,17 @@ LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)
 
 def pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control and data bytes of unsigned 32-bit numbers."""
-    size = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    top = int(ranks.max(initial=0))
+    width = 1 + (top > 0xFF) + (top > 0xFFFF) + (top > 0xFFFFFF)  # of the longest
+    size = np.zeros(len(ranks), dtype=np.uint8)
+    for k in range(1, width):
+        size += ranks >= 1 << 8 * k
     quads = np.zeros(-(-len(ranks) // 4) * 4, dtype=np.uint8)
     quads[: len(ranks)] = size
     quads = quads.reshape(-1, 4)
     control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    each = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return control.astype(np.uint8).tobytes(), each[np.arange(4) <= size[:, None]].tobytes()
+    each = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width]
+    return control.tobytes(), each[np.arange(width, dtype=np.uint8) <= size[:, None]].tobytes()
 
 
 def unpack_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
@@ -46,7 +50,7 @@ def unpack_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     start = np.cumsum(size) - size
     padded = np.frombuffer(data + b"\0\0\0", dtype=np.uint8)
     ranks = padded[start].astype(np.uint32)
-    for k in range(1, 4):
+    for k in range(1, int(size.max(initial=0))):
         longer = np.flatnonzero(size > k)
         ranks[longer] |= padded[start[longer] + k].astype(np.uint32) << np.uint32(8 * k)
     return ranks

@@ -25,6 +25,7 @@ CLOSING = frozenset(",.;:!?")  # signs that are looked up apart from the word be
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _BEFORE_WORD = re.compile(r"(?= \S)")
 _UNEVEN_SPACE = re.compile(r" (?=\s|$)")
+_UNEVEN_BREAK = re.compile(r"\n(?=\s|\Z)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -107,12 +108,23 @@ class WordIds(dict):
                 out.append(self._sign(signs))
         return b"".join(out)
 
+    def _after_break(self, word: str) -> bytes:
+        """Ids of a line break and the word right after it, without a space between them."""
+        found = _SIMPLE.fullmatch(word, 1)
+        if not found:
+            return self._whole(word)
+        letters, signs = found.groups()
+        ids = self._sign("\n") + self._part(letters)
+        return ids + self._sign(signs) if signs else ids
+
     def __missing__(self, word: str) -> bytes:
-        if word.isascii() and word[-1:] in CLOSING and word[:-1].isalpha():
-            return self[word[:-1]] + self._sign(word[-1])
+        if word[-1:] in CLOSING:
+            letters = word[:-1]
+            if letters.isalpha() and letters.isascii():
+                return self[letters] + self._sign(word[-1])
         ids = self.old.get(word)
         if ids is None:
-            ids = self._new(word)
+            ids = self._after_break(word) if self.spaces and word[0] == "\n" else self._new(word)
             place = hash(word) % (8 * len(self.met))
             if not self.met[place >> 3] >> (place & 7) & 1:
                 self.met[place >> 3] |= 1 << (place & 7)
@@ -129,6 +141,9 @@ class WordIds(dict):
             first, *rest = _BEFORE_WORD.split(text)
             words = [word[1:] for word in rest]
         else:
+            if not _UNEVEN_BREAK.search(text):
+                # A line break between words is cut on both sides. Here no other space comes before one.
+                text = text.replace("\n", " \n")
             first, *words = text.split(" ")
         return self._whole(first) + b"".join(map(self.__getitem__, words))
 

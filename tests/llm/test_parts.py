@@ -21,7 +21,7 @@ from freshet.llm.minhash import BANDS, ROWS, band_keys, signatures
 from freshet.llm.packing import best_two_fit
 from freshet.llm.shingles import shingle_sets
 from freshet.llm.token_files import pack_ranks, unpack_ranks
-from freshet.llm.tokens import word_ids
+from freshet.llm.tokens import WordIds, word_ids
 
 SIGNS = "aAbé ßÉ' .,!\n\t  12 \x1c\x85́ İΣ<|>"
 
@@ -37,6 +37,21 @@ def test_ids_of_words_are_ids_of_whole_texts(name, spaces):
         assert got.tolist() == [*expected.ids, 9], text
 
 
+def test_words_after_line_breaks_are_remembered(monkeypatch):
+    """op10: a word before a line break hid the one after it, so both were looked up each time."""
+    encoder = WordIds(vocabulary_file("byte_bpe_50k.json"), spaces=True)
+    heads = ["One", "two's", "x.", "(three),", "dé", "\t", "1"]
+    texts = [f"{a}\nThe {b}\nThe,\nThe {a}" for a in heads for b in heads]
+    texts += ["\nThe", "The\n", "a \nThe", "a\n\nThe b\nThe", "a\n The", "a\r\nThe"]
+    whole = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    for text, got, expected in zip(texts, encoder.encode(texts, 9), whole, strict=True):
+        assert got.tolist() == [*expected.ids, 9], text
+    looked_up = []
+    monkeypatch.setattr(encoder, "_part", lambda part: looked_up.append(part) or b"")
+    encoder.encode(["x one\nThe two\nThe"], 9)
+    assert "The" not in looked_up
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=60))
 def test_ranks_come_back(ranks):
