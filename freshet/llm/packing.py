@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.llm.ranks import ranked, spread
-from freshet.llm.staging import ship_code, staged
+from freshet.llm.staging import arrow_rows, release_memory, ship_code, staged
 from freshet.llm.tokens import word_ids
 
 SLICE = 256  # texts encoded at once
+HANDED = 1024  # texts handed to a worker at once
 
 
 @dataclass
@@ -130,6 +131,7 @@ def tokenised(
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_memory()
         encoder = word_ids(tokenizer, spaces=False)
         for batch in batches:
             for at in range(0, len(batch), SLICE):
@@ -196,4 +198,6 @@ def pack_documents(
     """
     ship_code(spark)
     pieces = tokenised(docs, tokenizer, end_id, capacity, keep_ids)
-    return pack(spark, staged(spark, pieces, "pieces"), capacity)
+    with arrow_rows(spark, HANDED):
+        pieces = staged(spark, pieces, "pieces")
+    return pack(spark, pieces, capacity)

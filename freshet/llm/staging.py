@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -9,6 +11,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from freshet.session import scratch_dir
@@ -50,6 +53,17 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
+def release_memory() -> None:
+    """Hand back what this Python worker no longer uses but earlier tasks have left with it.
+
+    Workers are kept from one step to the next, and with them all they ever allocated.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of the GNU C library
+        trim(0)
+
+
 def staged(
     spark: SparkSession, df: DataFrame, label: str, compression: str = "snappy"
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import brute_force as plain
-from freshet.llm import fingerprints, mixing, pii
+from freshet.llm import fingerprints, mixing, packing, pii
 from freshet.llm.crf import AROUND, Crf
 from freshet.llm.catalog import vocabulary_file
 from freshet.llm.components import components
@@ -376,3 +376,19 @@ def test_very_large_and_very_small_vectors_link(spark):
     frame = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
     found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in link_vectors(spark, frame).collect()}
     assert found == {0: (2, 0), 2: (2, 0), 4: (2, 0), 1: (2, 1), 3: (2, 1), 5: (2, 1)}
+
+
+def test_packing_hands_few_texts_to_a_worker(spark, monkeypatch):
+    """pipeline: whole batches of ten thousand texts lay in the workers beside what earlier stages left."""
+    setting, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before, stage = spark.conf.get(setting), packing.staged
+
+    def spied(session, *rest):
+        seen.append(int(session.conf.get(setting)))
+        return stage(session, *rest)
+
+    monkeypatch.setattr(packing, "staged", spied)
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    rows = packing.pack_documents(spark, docs, vocabulary_file("word_bpe_49k.json")).collect()
+    assert sorted((r["doc_id"], r["length"]) for r in rows) == [(1, 3), (2, 1)]
+    assert seen == [packing.HANDED] and spark.conf.get(setting) == before
