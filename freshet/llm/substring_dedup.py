@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from itertools import groupby
 
@@ -29,17 +29,28 @@ LEAST, MOST = 1, 512  # bytes of a chunk; a least size would tie a cut to the on
 LEAST_WORDS = 20  # of a repeated passage
 AMONG = 20  # words, the least hash of which makes a cut
 SLICE = 20_000  # rows handed on at once
+TOGETHER = 1 << 17  # bytes of neighbouring texts that are cut at once, or one longer text
+LAST_BITS = 40
+LAST = (1 << LAST_BITS) - 1  # place of a word, counted down
 
 GEAR = np.random.Generator(np.random.PCG64(606)).integers(0, 1 << WINDOW, 256, dtype=np.uint16)
+GAP = b" " * WINDOW
 SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))  # what bytes.split() takes
 
 
-def gear_hashes(codes: np.ndarray) -> np.ndarray:
-    """The gear hash at every byte. It shifts by a bit a byte: 16 bits see 16 bytes."""
-    gears = GEAR[codes]
-    rolled = gears.copy()
-    for k in range(1, min(WINDOW, len(gears))):
-        rolled[k:] += gears[:-k] << np.uint16(k)
+def gear_hashes(codes: np.ndarray, fresh: np.ndarray | None = None) -> np.ndarray:
+    """The gear hash at every byte. It shifts by a bit a byte: 16 bits see 16 bytes.
+
+    Bytes that are ``fresh`` count as none.
+    """
+    rolled = GEAR[codes]
+    if fresh is not None:
+        rolled[fresh] = 0
+    seen = 1
+    while seen < min(WINDOW, len(rolled)):  # each turn adds as many bytes as were seen
+        earlier = rolled[:-seen] << np.uint16(seen)
+        rolled[seen:] += earlier
+        seen *= 2
     return rolled
 
 
@@ -50,12 +61,26 @@ def words_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return turns[::2], turns[1::2]
 
 
-def marked(hashes: np.ndarray) -> np.ndarray:
-    """Words that hold the least hash, the last of equals, among ``AMONG`` in a row."""
+def marked(hashes: np.ndarray, text: np.ndarray | None = None) -> np.ndarray:
+    """Words that hold the least hash, the last of equals, among ``AMONG`` in a row.
+
+    ``text`` has the number of each word's text; words of several are not in a row.
+    """
     if len(hashes) < AMONG:
         return np.empty(0, dtype=np.int64)
-    rows = np.lib.stride_tricks.sliding_window_view(hashes, AMONG)[:, ::-1]
-    return np.unique(np.arange(len(rows)) + AMONG - 1 - rows.argmin(axis=1))
+    # The least hash and, of equals, the last place, in one number.
+    least = hashes.astype(np.uint64) << np.uint64(LAST_BITS)
+    least |= np.arange(LAST, LAST - len(hashes), -1).astype(np.uint64)
+    seen = 1
+    while seen < AMONG:  # each turn looks at as many words as were seen, or those that lack
+        step = min(seen, AMONG - seen)
+        least = np.minimum(least[:-step], least[step:])
+        seen += step
+    if text is not None:
+        least = least[text[: len(least)] == text[AMONG - 1 :]]
+    held = np.zeros(len(hashes), dtype=bool)
+    held[LAST - (least & np.uint64(LAST)).astype(np.int64)] = True
+    return np.flatnonzero(held)
 
 
 def cut_points(raw: bytes) -> list[int]:
@@ -77,23 +102,59 @@ def cut_points(raw: bytes) -> list[int]:
     return points
 
 
-def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and the words at which 20 words are looked up.
+Words = tuple[bytes, np.ndarray, np.ndarray, np.ndarray]
 
-    These are the marked words and the text's last word.
+
+def anchors(texts: Iterable[str | None]) -> Iterator[Words]:
+    """Per text: its bytes, starts and ends of all words, and the words at which 20 words are looked up.
+
+    These are the marked words and the text's last word. Neighbouring texts are cut in one go.
     """
-    codes = np.frombuffer(raw, dtype=np.uint8)
+    raws: list[bytes] = []
+    size = 0
+    for text in texts:
+        raw = (text or "").encode()
+        size += len(raw) + WINDOW
+        if raws and size > TOGETHER:
+            yield from _anchors(raws)
+            raws, size = [], len(raw) + WINDOW
+        raws.append(raw)
+    if raws:
+        yield from _anchors(raws)
+
+
+def _anchors(raws: list[bytes]) -> Iterator[Words]:
+    # Between texts, as many spaces as the hash sees, which count as no bytes.
+    codes = np.frombuffer(GAP.join([b"", *raws]), dtype=np.uint8)
+    sizes = np.array([len(raw) + WINDOW for raw in raws])
+    after = np.cumsum(sizes)
+    begins = after - sizes
+    fresh = (begins[:, None] + np.arange(WINDOW)).ravel()
     starts, ends = words_of(codes)
-    if len(ends) < LEAST_WORDS:
-        return starts, ends, np.empty(0, dtype=np.int64)
-    at = np.union1d(marked(gear_hashes(codes)[ends - 1]), [len(ends) - 1])
-    return starts, ends, at[at >= LEAST_WORDS - 1]
+    bounds = np.searchsorted(starts, after).tolist()  # of the words of each text
+    counts = np.diff([0, *bounds])
+    hashes = gear_hashes(codes, fresh)[ends - 1] if len(ends) else np.empty(0, dtype=np.uint16)
+    text = np.repeat(np.arange(len(raws)), counts)
+    looked_up = np.zeros(len(ends), dtype=bool)
+    looked_up[marked(hashes, text)] = True
+    last = np.array(bounds)[counts >= LEAST_WORDS] - 1
+    looked_up[last] = True
+    found = np.flatnonzero(looked_up)
+    # Only words with 19 before them in their text.
+    found = found[found - np.repeat(np.cumsum(counts) - counts, counts)[found] >= LEAST_WORDS - 1]
+    parts = np.searchsorted(found, bounds).tolist()
+    shift = np.repeat(begins + WINDOW, counts)
+    starts, ends = starts - shift, ends - shift
+    low = first = 0
+    for raw, high, upto in zip(raws, bounds, parts, strict=True):
+        yield raw, starts[low:high], ends[low:high], found[first:upto] - low
+        low, first = high, upto
 
 
 def digests(raw: bytes, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Two 64-bit numbers for the 20 words up to each of the words ``at``."""
     spans = zip(starts[at - LEAST_WORDS + 1].tolist(), ends[at].tolist(), strict=True)
-    joined = b"".join(hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in spans)
+    joined = b"".join([hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in spans])
     return np.frombuffer(joined, dtype=np.int64).reshape(-1, 2)
 
 
@@ -103,9 +164,7 @@ def places(docs: DataFrame) -> DataFrame:
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ids, found, many = [], [], 0
-            for k, text in enumerate(batch["text"]):
-                raw = (text or "").encode()
-                starts, ends, at = anchors(raw)
+            for k, (raw, starts, ends, at) in enumerate(anchors(batch["text"])):
                 if len(at):
                     ids.append(np.full(len(at), k))
                     found.append(digests(raw, starts, ends, at)[:, 0])
@@ -133,9 +192,8 @@ def surroundings(docs: DataFrame) -> DataFrame:
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[tuple] = []
         for batch in batches:
-            for doc_id, text, met in zip(batch["doc_id"], batch["text"], batch["met"], strict=True):
-                raw = (text or "").encode()
-                starts, ends, at = anchors(raw)
+            found = zip(batch["doc_id"], batch["met"], anchors(batch["text"]), strict=True)
+            for doc_id, met, (raw, starts, ends, at) in found:
                 both = digests(raw, starts, ends, at)
                 kept = np.isin(both[:, 0], met)
                 at, first = at[kept], at[kept] - LEAST_WORDS + 1

@@ -5,8 +5,10 @@ import re
 import string
 from collections import defaultdict
 
+import numpy as np
 from edge_rows import TEXTS, edge_documents
-from freshet.llm.substring_dedup import LEAST, MOST, cut_points, repeated_passages
+from freshet.llm.substring_dedup import AMONG, GEAR, LEAST, MOST, anchors, cut_points, gear_hashes
+from freshet.llm.substring_dedup import repeated_passages, words_of
 
 
 def words(rng, n):
@@ -24,6 +26,33 @@ def test_cuts_cover_the_text_and_move_with_it():
     assert cut_points(b"") == [] and cut_points(b"abc") == [3]
 
 
+def test_texts_cut_together_have_the_anchors_they_have_alone():
+    """op6: texts were cut one by one, which took more time than its budget."""
+    rng = random.Random(4)
+    texts = [None, "", " ", "a", "a " * 19, "a " * 20, " a" * 21, "x" * 5000, "é\n" * 300]
+    texts += ["".join(rng.choices("ab é\t", k=rng.randint(0, 300))) for _ in range(300)]
+    texts += [words(rng, 70_000), words(rng, 30)]
+    assert [x[3].tolist() for x in anchors(["", "a b", None])] == [[], [], []]
+    for text, (raw, starts, ends, at) in zip(texts, anchors(texts), strict=True):
+        codes = np.frombuffer((text or "").encode(), dtype=np.uint8)
+        assert raw == codes.tobytes()
+        for got, expected in zip((starts, ends), words_of(codes), strict=True):
+            assert got.tolist() == expected.tolist()
+        hashes = gear_hashes(codes)[ends - 1].tolist()
+        held = {len(hashes) - 1} if hashes else set()
+        for k in range(AMONG, len(hashes) + 1):
+            held.add(min(range(k - AMONG, k), key=lambda w: (hashes[w], -w)))
+        assert at.tolist() == sorted(w for w in held if w >= 19)
+
+
+def test_gear_hashes_see_sixteen_bytes():
+    codes = np.random.default_rng(5).integers(0, 256, 200, dtype=np.uint8)
+    plain = [
+        sum(int(GEAR[codes[i - k]]) << k for k in range(min(16, i + 1))) & 0xFFFF for i in range(200)
+    ]
+    assert gear_hashes(codes).tolist() == plain
+
+
 def test_planted_passages_are_found_and_others_left(spark):
     rng = random.Random(2)
     passage = words(rng, 80)
