@@ -36,12 +36,16 @@ def pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     size = np.zeros(len(ranks), dtype=np.uint8)
     for k in range(1, width):
         size += ranks >= 1 << 8 * k
+    # Four lengths of two bits each go from the low ends of four bytes into one.
     quads = np.zeros(-(-len(ranks) // 4) * 4, dtype=np.uint8)
     quads[: len(ranks)] = size
-    quads = quads.reshape(-1, 4)
-    control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    each = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width]
-    return control.tobytes(), each[np.arange(width, dtype=np.uint8) <= size[:, None]].tobytes()
+    quads = quads.view("<u4")
+    control = (quads | quads >> 6 | quads >> 12 | quads >> 18).astype(np.uint8)
+    wide = width if width < 3 else 4
+    stored = np.ones((len(ranks), wide), dtype=bool)
+    for k in range(1, wide):
+        stored[:, k] = size >= k
+    return control.tobytes(), ranks.astype(f"<u{wide}").view(np.uint8)[stored.ravel()].tobytes()
 
 
 def unpack_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:

@@ -36,6 +36,8 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTE_LETTERS = _byte_letters()
+#: What the bytes of the first 256 code points are written as; plain words have no others.
+_WRITTEN = {c: c.encode().decode("latin-1").translate(_BYTE_LETTERS) for c in map(chr, range(256))}
 
 
 class WordIds(dict):
@@ -54,7 +56,7 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.spaces = spaces
         self.before = _BYTE_LETTERS[0x20] if spaces else ""
         self.old: dict[str, bytes] = {}
@@ -63,11 +65,11 @@ class WordIds(dict):
 
     def _part(self, part: str) -> bytes:
         """Ids of letters, with the space before them, or of punctuation, straight from the merges."""
-        return self._shown(part.encode().decode("latin-1").translate(_BYTE_LETTERS))
+        return self._shown("".join(map(_WRITTEN.__getitem__, part)))
 
     def _shown(self, part: str) -> bytes:
         """Ids of a part whose bytes are written as letters."""
-        return array("I", [token.id for token in self.model.tokenize(part)]).tobytes()
+        return array("I", [token.id for token in self.tokenize(part)]).tobytes()
 
     def _sign(self, signs: str) -> bytes:
         ids = self.signs.get(signs)
@@ -87,9 +89,14 @@ class WordIds(dict):
         Letters and punctuation are looked up apart, single line breaks may join such words;
         all else goes through the tokenizer as a whole.
         """
-        if word.isascii() and word.isalpha():
-            return self._shown(self.before + (word if self.spaces else word.lower()))
         space = " " if self.spaces else ""
+        if found := _SIMPLE.fullmatch(word):
+            letters, signs = found.groups()
+            if not self.spaces:
+                letters = letters.lower()
+            if letters == word:
+                return self._part(space + letters)
+            return self[letters] + self._sign(signs) if signs else self[letters]
         out = []
         for k, piece in enumerate(word.split("\n")):
             found = _SIMPLE.fullmatch(piece)
@@ -118,14 +125,18 @@ class WordIds(dict):
         return ids + self._sign(signs) if signs else ids
 
     def __missing__(self, word: str) -> bytes:
-        if word[-1:] in CLOSING:
-            letters = word[:-1]
-            if letters.isalpha() and letters.isascii():
-                return self[letters] + self._sign(word[-1])
         ids = self.old.get(word)
         if ids is None:
-            ids = self._after_break(word) if self.spaces and word[0] == "\n" else self._new(word)
-            place = hash(word) % (8 * len(self.met))
+            if word.isascii() and word.isalpha():
+                shown = self.before + (word if self.spaces else word.lower())
+                ids = array("I", [token.id for token in self.tokenize(shown)]).tobytes()
+            elif word[-1:] in CLOSING and word[:-1].isalpha() and word.isascii():
+                ids = self[word[:-1]] + self._sign(word[-1])
+            elif self.spaces and word[0] == "\n":
+                ids = self._after_break(word)
+            else:
+                ids = self._new(word)
+            place = hash(word) & MET - 1
             if not self.met[place >> 3] >> (place & 7) & 1:
                 self.met[place >> 3] |= 1 << (place & 7)
                 return ids
@@ -145,7 +156,12 @@ class WordIds(dict):
                 # A line break between words is cut on both sides. Here no other space comes before one.
                 text = text.replace("\n", " \n")
             first, *words = text.split(" ")
-        return self._whole(first) + b"".join(map(self.__getitem__, words))
+        found = _SIMPLE.fullmatch(first)
+        if not found:
+            return self._whole(first) + b"".join(map(self.__getitem__, words))
+        letters, signs = found.groups()
+        begin = self._part(letters) + (self._sign(signs) if signs else b"")
+        return begin + b"".join(map(self.__getitem__, words))
 
     def encode(self, texts: Iterable[str | None], end_id: int) -> list[np.ndarray]:
         """One array of ids per text, each closed by ``end_id``; a null text has only that."""

@@ -52,6 +52,16 @@ def test_words_after_line_breaks_are_remembered(monkeypatch):
     assert "The" not in looked_up
 
 
+def test_words_with_a_closing_sign_are_remembered():
+    """op10: a word with a comma was put together anew each time it came."""
+    encoder = WordIds(vocabulary_file("byte_bpe_50k.json"), spaces=True)
+    text = "Plain words, often met. words, met. Größe, words"
+    whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    for _ in range(3):
+        assert encoder.encode([text], 9)[0].tolist() == [*whole, 9]
+    assert {"words,", "met.", "often", "words"} <= set(encoder)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=60))
 def test_ranks_come_back(ranks):
