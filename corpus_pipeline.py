@@ -16,7 +16,7 @@ from freshet.llm.minhash import document_groups
 from freshet.llm.mixing import mix_documents, word_count
 from freshet.llm.packing import pack_documents
 from freshet.llm.pii import found_in
-from freshet.llm.staging import documents, ship_code, staged
+from freshet.llm.staging import HANDED, arrow_rows, documents, ship_code, staged
 
 LEAST_SCORE = 0.25  # of language identification; a text less near to any profile goes
 
@@ -41,7 +41,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     found = _free_name(docs, "_language")
     judged = docs.withColumn(found, predicted("text", profiles))
     near = (F.col(f"{found}.lang_pred") != UNDETERMINED) & (F.col(f"{found}.score") >= LEAST_SCORE)
-    return judged.where(near).select(*docs.columns)
+    with arrow_rows(spark, HANDED):
+        return staged(spark, judged.where(near).select(*docs.columns), "judged", "zstd")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +67,9 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     masked = docs.withColumn(found, found_in("text")["masked"])
     text = F.when(F.col("text").isNotNull(), F.col(found))
     new = {"text": text, "n_chars": F.coalesce(F.length(text).cast("long"), F.col("n_chars"))}
-    return masked.select(*(new[c].alias(c) if c in new else F.col(c) for c in docs.columns))
+    masked = masked.select(*(new[c].alias(c) if c in new else F.col(c) for c in docs.columns))
+    with arrow_rows(spark, HANDED):
+        return staged(spark, masked, "masked", "zstd")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from freshet.llm.ranks import spread
-from freshet.llm.staging import ship_code
+from freshet.llm.staging import HANDED, arrow_rows, handing_back, ship_code
 
 PROFILE = 300  # n-grams in a language's profile and, at most, in a document's
 LEARNED_FROM = 2000  # labelled documents per language, about, that profiles are learned from
@@ -119,7 +119,7 @@ def learn_profiles(
         return Profiles.of({})
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in handing_back(batches):
             for lang, texts in batch.groupby("lang")["text"]:
                 # One sort per slice bounds memory whatever the batch holds.
                 for at in range(0, len(texts), 200):
@@ -140,7 +140,9 @@ def learn_profiles(
         .where(F.col("place") <= PROFILE)
     )
     ranked: dict[str, list[int]] = {}
-    for r in sorted(top.collect(), key=lambda r: (r["lang"], r["place"])):
+    with arrow_rows(spark, HANDED):
+        lines = top.collect()
+    for r in sorted(lines, key=lambda r: (r["lang"], r["place"])):
         ranked.setdefault(r["lang"], []).append(r["gram"])
     return Profiles.of(ranked)
 
@@ -149,8 +151,9 @@ def predicted(text: str, profiles: Profiles) -> Column:
     """A struct of lang_pred and score for a text column."""
 
     @F.pandas_udf(PREDICTION)
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([profiles.predict(t) for t in texts], columns=["lang_pred", "score"])
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in handing_back(batches):
+            yield pd.DataFrame([profiles.predict(t) for t in texts], columns=["lang_pred", "score"])
 
     return predict(F.col(text))
 

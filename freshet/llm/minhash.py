@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from freshet.llm.components import components
 from freshet.llm.shingles import mix, shingle_sets
-from freshet.llm.staging import arrow_rows, bucketed, ship_code, staged
+from freshet.llm.staging import arrow_rows, bucketed, handing_back, ship_code, staged
 from freshet.session import scratch_scope
 
 BANDS = 50
@@ -90,7 +90,7 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per document: a hash of its text, n_shingles, a digest of the set (null if empty) and its band keys."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in handing_back(batches):
             for at in range(0, len(batch), SLICE):
                 part = batch.iloc[at : at + SLICE]
                 sets = shingle_sets(list(part["text"]))
@@ -117,7 +117,7 @@ def full_sets(texts: DataFrame) -> DataFrame:
     """Columns id and shingles (sorted hashes as bytes) for id, text."""
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in handing_back(batches):
             for at in range(0, len(batch), SLICE):
                 part = batch.iloc[at : at + SLICE]
                 sets = [s.tobytes() for s in shingle_sets(list(part["text"]))]
@@ -362,7 +362,8 @@ def document_groups(
     rows.
     """
     ship_code(spark)
-    hashed = staged(spark, signed(docs, bands, rows), "signatures")
+    with arrow_rows(spark, SETS):
+        hashed = staged(spark, signed(docs, bands, rows), "signatures")
     linkable = hashed.where("doc_id is not null and digest is not null")
     # One representative per set, the smallest id; copies are counted out before the shuffle.
     # What is joined to a hot key is staged first, as Spark only splits joins of bare shuffles.

@@ -18,11 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.llm.ranks import ranked, spread
-from freshet.llm.staging import arrow_rows, release_memory, ship_code, staged
+from freshet.llm.staging import HANDED, arrow_rows, handing_back, ship_code, staged
 from freshet.llm.tokens import word_ids
 
 SLICE = 256  # texts encoded at once
-HANDED = 1024  # texts handed to a worker at once
 
 
 @dataclass
@@ -131,9 +130,8 @@ def tokenised(
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        release_memory()
         encoder = word_ids(tokenizer, spaces=False)
-        for batch in batches:
+        for batch in handing_back(batches):
             for at in range(0, len(batch), SLICE):
                 part = batch.iloc[at : at + SLICE]
                 rows = []

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.llm.crf import Crf
-from freshet.llm.staging import ship_code
+from freshet.llm.staging import handing_back, ship_code
 
 KINDS = ("email", "ip", "card", "phone")
 SLICE_CHARS = 1 << 20  # of texts decoded at once; a longer text is decoded alone
@@ -437,7 +437,7 @@ def found_in(text: str, lines: tuple[str, ...] = LABELLED, mask: bool = True) ->
 
     @F.pandas_udf(SCHEMA)
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in handing_back(batches):
             rows = []
             for texts in _groups([t or "" for t in batch]):
                 for t, (base, spans) in zip(texts, all_spans(texts, field), strict=True):

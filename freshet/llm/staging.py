@@ -10,6 +10,7 @@ import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from freshet.session import scratch_dir
 
 
+HANDED = 1024  # rows of texts handed to a worker at once; the session's own number holds ten times as much
+Batch = TypeVar("Batch")
+
 _shipped: set[str] = set()
 
 
@@ -64,6 +68,16 @@ def release_memory() -> None:
         trim(0)
 
 
+def handing_back(batches: Iterator[Batch]) -> Iterator[Batch]:
+    """A task's batches; before the first and after the last, the worker's idle memory goes back.
+
+    Else the worker keeps what its largest task took while later steps need it elsewhere.
+    """
+    release_memory()
+    yield from batches
+    release_memory()
+
+
 def staged(
     spark: SparkSession, df: DataFrame, label: str, compression: str = "snappy"
 ) -> DataFrame:

@@ -5,12 +5,15 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import brute_force as plain
 import corpus_pipeline
 from compare import differences
 from freshet.llm import catalog
+from freshet.llm.staging import handing_back
 
 SF = "/root/testdata/sf0.001"
 
@@ -149,6 +152,28 @@ def test_token_files_give_back_every_id(spark, docs, library):
         start += len(ids)
 
 
+@pytest.mark.parametrize("stage", [corpus_pipeline.identify_language, corpus_pipeline.mask_personal_data])
+def test_stages_hand_few_texts_to_a_worker_at_once(spark, stage):
+    """pipeline: ten thousand at once, never given back, took more than an executor's memory."""
+
+    @F.pandas_udf("long")
+    def handed(texts: pd.Series) -> pd.Series:
+        return pd.Series(len(texts), index=texts.index)
+
+    rows = [(i, f"some words and the number {i}", "en", "a", 30) for i in range(3000)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema).coalesce(1).withColumn("handed", handed("text"))
+    out = stage(spark, docs, "").agg(F.count("*"), F.max("handed")).first()
+    assert out[0] > 0 and out[1] <= 1024
+
+
+def test_a_task_gives_memory_back_at_its_end(monkeypatch):
+    done = []
+    monkeypatch.setattr("freshet.llm.staging.release_memory", lambda: done.append(True))
+    assert [(x, len(done)) for x in handing_back(iter("ab"))] == [("a", 1), ("b", 1)]
+    assert len(done) == 2
+
+
 def test_pipeline_stage_by_stage(spark, docs):
     """Every stage against its predecessor's rows."""
     frame = spark.read.parquet(f"{SF}/documents.parquet")
