@@ -14,45 +14,69 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from freshet.llm.byte_pieces import SLICE_BYTES, column_of, piece_ids, rows_of, slices
 from freshet.llm.staging import ship_code, staged
-from freshet.llm.tokens import word_ids
 from freshet.session import scratch_scope
 
-SLICE = 256  # texts encoded at once
 LITTLE = 1 << 16  # vocabularies below this are staged in two bytes an id
+PACKED_BYTES = 2 << 20  # of ids or files that are packed or unpacked at once
 
 #: Bytes of each of the four ids that a control byte speaks of.
-LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.int64)
+LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.uint8)
 
 
-def pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data bytes of unsigned 32-bit numbers."""
+def _quads(begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each row's control bytes begin, then the end, and each number's place in quarters."""
+    length = np.diff(begins)
+    controls = np.append(0, np.cumsum(length + 3 >> 2))
+    part = np.repeat(4 * controls[:-1] - begins[:-1], length)
+    part += np.arange(len(part))
+    return controls, part
+
+
+def pack_rows(
+    ranks: np.ndarray, begins: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Control bytes of rows of unsigned 32-bit numbers and where each row's begin; data bytes too.
+
+    A row's numbers are those from its place in ``begins`` up to the next.
+    """
     top = int(ranks.max(initial=0))
     width = 1 + (top > 0xFF) + (top > 0xFFFF) + (top > 0xFFFFFF)  # of the longest
     size = np.zeros(len(ranks), dtype=np.uint8)
     for k in range(1, width):
         size += ranks >= 1 << 8 * k
     # Four lengths of two bits each go from the low ends of four bytes into one.
-    quads = np.zeros(-(-len(ranks) // 4) * 4, dtype=np.uint8)
-    quads[: len(ranks)] = size
+    controls, part = _quads(begins)
+    quads = np.zeros(4 * int(controls[-1]), dtype=np.uint8)
+    quads[part] = size
     quads = quads.view("<u4")
     control = (quads | quads >> 6 | quads >> 12 | quads >> 18).astype(np.uint8)
     wide = width if width < 3 else 4
     stored = np.ones((len(ranks), wide), dtype=bool)
     for k in range(1, wide):
         stored[:, k] = size >= k
-    return control.tobytes(), ranks.astype(f"<u{wide}").view(np.uint8)[stored.ravel()].tobytes()
+    data = ranks.astype(f"<u{wide}").view(np.uint8)[stored.ravel()]
+    longer = np.append(0, np.cumsum(size, dtype=np.int64))
+    return control, controls, data, begins + longer[begins]
 
 
-def unpack_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The numbers that ``pack_ranks`` was given, of which there were ``n``."""
-    size = LENGTHS[np.frombuffer(control, dtype=np.uint8)].reshape(-1)[:n]
-    start = np.cumsum(size) - size
-    padded = np.frombuffer(data + b"\0\0\0", dtype=np.uint8)
+def pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
+    """Control and data bytes of unsigned 32-bit numbers."""
+    control, _, data, _ = pack_rows(ranks, np.array([0, len(ranks)]))
+    return control.tobytes(), data.tobytes()
+
+
+def unpack_rows(control: np.ndarray, data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """The numbers that ``pack_rows`` was given, whose rows began there."""
+    size = LENGTHS[control].reshape(-1)[_quads(begins)[1]]
+    start = np.cumsum(size, dtype=np.int64) - size
+    padded = np.append(data, np.zeros(3, dtype=np.uint8))
     ranks = padded[start].astype(np.uint32)
     for k in range(1, int(size.max(initial=0))):
         longer = np.flatnonzero(size > k)
@@ -60,6 +84,12 @@ def unpack_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return ranks
 
 
+def unpack_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
+    """The numbers that ``pack_ranks`` was given, of which there were ``n``."""
+    raw = [np.frombuffer(x, dtype=np.uint8) for x in (control, data)]
+    return unpack_rows(*raw, np.array([0, n]))
+
+
 def _id_type(vocabulary: int) -> str:
     return "<u2" if vocabulary < LITTLE else "<u4"
 
@@ -70,32 +100,37 @@ def staged_ids(
     """Ids of every document, tokenised once, as a table of doc_id and id bytes."""
     kind = _id_type(vocabulary)
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = word_ids(tokenizer, spaces=True)
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = piece_ids(tokenizer)
         for batch in batches:
-            for at in range(0, len(batch), SLICE):
-                part = batch.iloc[at : at + SLICE]
-                ids = [x.astype(kind).tobytes() for x in encoder.encode(part["text"], end_id)]
-                yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "ids": ids})
+            data, begins = rows_of(batch["text"])
+            for at, to in slices(begins, SLICE_BYTES):
+                texts = data[begins[at] : begins[to]]
+                ids, places = encoder.encode(texts, begins[at : to + 1] - begins[at], end_id, kind)
+                column = column_of(ids.view(np.uint8), places * ids.itemsize)
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"][at:to], column], names=["doc_id", "ids"]
+                )
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return staged(spark, rows.mapInPandas(encode, "doc_id long, ids binary"), "ids", "zstd")
+    return staged(spark, rows.mapInArrow(encode, "doc_id long, ids binary"), "ids", "zstd")
 
 
 def id_counts(ids: DataFrame, vocabulary: int) -> DataFrame:
     """How often each id occurs; counted per task, then summed."""
     kind = _id_type(vocabulary)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, dtype=np.int64)
         for batch in batches:
-            for at in range(0, len(batch), SLICE):
-                joined = b"".join(batch["ids"].iloc[at : at + SLICE])
-                total += np.bincount(np.frombuffer(joined, dtype=kind), minlength=vocabulary)
+            data, begins = rows_of(batch["ids"])
+            for at, to in slices(begins, PACKED_BYTES):
+                found = data[begins[at] : begins[to]].view(kind)
+                total += np.bincount(found, minlength=vocabulary)
         met = np.flatnonzero(total)
-        yield pd.DataFrame({"id": met, "n": total[met]})
+        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(total[met])], names=["id", "n"])
 
-    counted = ids.select("ids").mapInPandas(count, "id long, n long")
+    counted = ids.select("ids").mapInArrow(count, "id long, n long")
     return counted.groupBy("id").agg(F.sum("n").alias("n"))
 
 
@@ -129,21 +164,31 @@ def _write(
     rank[codebook] = np.arange(len(codebook))
     kind = _id_type(vocabulary)
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, begin = TaskContext.get().partitionId(), 0
         for batch in batches:
-            rows = []
-            for doc_id, raw in zip(batch["doc_id"], batch["ids"], strict=True):
-                found = np.frombuffer(raw, dtype=kind)
-                rows.append((doc_id, part, begin, len(found), *pack_ranks(rank[found])))
+            data, begins = rows_of(batch["ids"])
+            for at, to in slices(begins, PACKED_BYTES):
+                found = rank[data[begins[at] : begins[to]].view(kind)]
+                places = (begins[at : to + 1] - begins[at]) // np.dtype(kind).itemsize
+                control, controls, packed, packs = pack_rows(found, places)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch["doc_id"][at:to],
+                        pa.array(np.full(to - at, part, dtype=np.int32)),
+                        pa.array(begin + places[:-1]),
+                        pa.array(np.diff(places)),
+                        column_of(control, controls),
+                        column_of(packed, packs),
+                    ],
+                    names=names,
+                )
                 begin += len(found)
-            out = pd.DataFrame(rows, columns=names)
-            yield out.astype({"doc_id": "Int64"})
 
     schema = "doc_id long, part int, begin long, n_tokens long, control binary, data binary"
     names = [field.split()[0] for field in schema.split(", ")]
     ordered = ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
-    files = ordered.mapInPandas(encode, schema)
+    files = ordered.mapInArrow(encode, schema)
     files.write.option("compression", "zstd").parquet(f"{path}/ids")
     lines = spark.createDataFrame(
         pd.DataFrame({"rank": np.arange(len(codebook)), "id": codebook}), "rank long, id long"
@@ -164,16 +209,19 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     for r in lines:
         codebook[r["rank"]] = r["id"]
 
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [
-                codebook[unpack_ranks(control, data, n)].tobytes()
-                for control, data, n in zip(
-                    batch["control"], batch["data"], batch["n_tokens"], strict=True
+            control, controls = rows_of(batch["control"])
+            data, begins = rows_of(batch["data"])
+            n_tokens = batch["n_tokens"].to_numpy()
+            for at, to in slices(begins, PACKED_BYTES):
+                places = np.append(0, np.cumsum(n_tokens[at:to]))
+                ranks = unpack_rows(
+                    control[controls[at] : controls[to]], data[begins[at] : begins[to]], places
                 )
-            ]
-            out = batch[["doc_id", "part", "begin"]].astype({"doc_id": "Int64"})
-            yield out.assign(n_tokens=[len(x) // 4 for x in ids], ids=ids)
+                ids = column_of(codebook[ranks].view(np.uint8), 4 * places)
+                kept = [batch[name][at:to] for name in ("doc_id", "part", "begin", "n_tokens")]
+                yield pa.RecordBatch.from_arrays([*kept, ids], names=names)
 
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = (
@@ -182,8 +230,9 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         .select("part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
     schema = "doc_id long, part int, begin long, n_tokens long, ids binary"
+    names = [field.split()[0] for field in schema.split(", ")]
     return (
-        files.mapInPandas(decode, schema)
+        files.mapInArrow(decode, schema)
         .join(F.broadcast(parts), "part")
         .select("doc_id", (F.col("_before") + F.col("begin")).alias("start"), "n_tokens", "ids")
     )

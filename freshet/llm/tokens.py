@@ -40,6 +40,11 @@ _BYTE_LETTERS = _byte_letters()
 _WRITTEN = {c: c.encode().decode("latin-1").translate(_BYTE_LETTERS) for c in map(chr, range(256))}
 
 
+def written(part: str) -> str:
+    """How byte-level vocabularies write a part of the first 256 code points."""
+    return "".join(map(_WRITTEN.__getitem__, part))
+
+
 class WordIds(dict):
     """Ids of words, and of whole texts, for one vocabulary file; a new word is looked up once.
 
@@ -65,7 +70,7 @@ class WordIds(dict):
 
     def _part(self, part: str) -> bytes:
         """Ids of letters, with the space before them, or of punctuation, straight from the merges."""
-        return self._shown("".join(map(_WRITTEN.__getitem__, part)))
+        return self._shown(written(part))
 
     def _shown(self, part: str) -> bytes:
         """Ids of a part whose bytes are written as letters."""

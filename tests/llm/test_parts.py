@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -11,6 +12,7 @@ from hypothesis import strategies as st
 import brute_force as plain
 from freshet.llm import fingerprints, mixing, packing, pii
 from freshet.llm.crf import AROUND, Crf
+from freshet.llm.byte_pieces import PieceIds, column_of, rows_of, slices
 from freshet.llm.catalog import vocabulary_file
 from freshet.llm.components import components
 from freshet.llm.cover_tree import CoverTree, Links
@@ -20,7 +22,7 @@ from freshet.llm.language_id import ngrams
 from freshet.llm.minhash import BANDS, ROWS, band_keys, signatures
 from freshet.llm.packing import best_two_fit
 from freshet.llm.shingles import shingle_sets
-from freshet.llm.token_files import pack_ranks, unpack_ranks
+from freshet.llm.token_files import pack_ranks, pack_rows, unpack_ranks, unpack_rows
 from freshet.llm.tokens import WordIds, word_ids
 
 SIGNS = "aAbé ßÉ' .,!\n\t  12 \x1c\x85́ İΣ<|>"
@@ -62,6 +64,68 @@ def test_words_with_a_closing_sign_are_remembered():
     assert {"words,", "met.", "often", "words"} <= set(encoder)
 
 
+def columns_ids(encoder, texts, end_id, most):
+    data, begins = rows_of(pa.array(texts, pa.string()))
+    for at, to in slices(begins, most):
+        ids, places = encoder.encode(
+            data[begins[at] : begins[to]], begins[at : to + 1] - begins[at], end_id
+        )
+        yield from (part.tolist() for part in np.split(ids, places[1:-1]))
+
+
+@pytest.mark.parametrize("signs", [SIGNS, "ab' .,\n1é", "a \n\t\xa0\u2003\u3000×”П日'sé٣"])
+def test_ids_of_pieces_are_ids_of_whole_texts(signs):
+    rng = random.Random(7)
+    texts = ["", " ", "\n", "a ", "a\n", "x\n\ny", "a  b\r\n c", "He's 12th, x<|endoftext|>y!", "a" * 90]
+    texts += ["".join(rng.choices(signs, k=rng.randint(0, 40))) for _ in range(4000)]
+    encoder = PieceIds(vocabulary_file("byte_bpe_50k.json"))
+    whole = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    for most in (1, 5000, 1 << 20):  # pieces met in earlier slices are remembered
+        found = columns_ids(encoder, texts, 9, most)
+        for text, got, expected in zip(texts, found, whole, strict=True):
+            assert got == [*expected.ids, 9], text
+    assert list(columns_ids(encoder, [None, "", None], 9, 10)) == [[9]] * 3
+    assert list(columns_ids(encoder, [], 9, 10)) == []
+
+
+def test_a_slice_looks_each_piece_up_once(monkeypatch):
+    """op10: every word of every text was looked up, and anew with each sign after it."""
+    encoder = PieceIds(vocabulary_file("byte_bpe_50k.json"))
+    looked_up, look_up = [], encoder._look_up
+    monkeypatch.setattr(encoder, "_look_up", lambda new: looked_up.extend(new) or look_up(new))
+    texts = [f"Größe{sign} met{sign}\nOften met{sign}" for sign in ",.;:!?)*&"] * 5
+    whole = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    for _ in range(3):
+        found = list(columns_ids(encoder, texts, 9, 1 << 20))
+        assert found == [[*expected.ids, 9] for expected in whole]
+    # Once when new, once more in the second slice, which keeps them.
+    assert sorted(looked_up) == sorted(["Größe", " met", "\n", "Often", *",.;:!?)*&"] * 2)
+
+
+def test_pieces_of_the_last_generation_are_known(monkeypatch):
+    monkeypatch.setattr("freshet.llm.byte_pieces.GENERATION", 3)
+    encoder = PieceIds(vocabulary_file("byte_bpe_50k.json"))
+    texts = ["some words that are often met"] * 2 + ["and some words that are not"] * 3
+    whole = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    for _ in range(4):
+        found = list(columns_ids(encoder, texts, 9, 1))
+        assert found == [[*expected.ids, 9] for expected in whole]
+        assert len(encoder.known) <= 3 and len(encoder.old) <= 9
+    assert encoder.old
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=9), max_size=9))
+def test_packed_rows_are_rows_packed_alone(rows):
+    begins = np.cumsum([0, *map(len, rows)])
+    raw = np.array([x for row in rows for x in row], dtype=np.uint32)
+    control, controls, data, packs = pack_rows(raw, begins)
+    assert unpack_rows(control, data, begins).tolist() == raw.tolist()
+    alone = [pack_ranks(np.array(row, dtype=np.uint32)) for row in rows]
+    assert column_of(control, controls).to_pylist() == [c for c, _ in alone]
+    assert column_of(data, packs).to_pylist() == [d for _, d in alone]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=60))
 def test_ranks_come_back(ranks):
