@@ -23,7 +23,14 @@ from freshet.operators.drift import undeclared_fields
 from freshet.operators.bronze import parse_bronze, quarantine
 from freshet.plans.feeds import EVENTS, FEEDS, SPECS, Feed, feed_records, payload_rows, table
 from freshet.registry import RECORD_SCHEMA, TopicSpec, registry
-from freshet.session import list_folder, located_file, qualified, remove_folder, scratch_dir
+from freshet.session import (
+    list_folder,
+    located_file,
+    make_folder,
+    qualified,
+    remove_folder,
+    scratch_dir,
+)
 from freshet.sources import kafka, topic_log
 from freshet.sources.csv_records import FILE, ORDINAL, MissingInputs, read_csv, require_inputs
 from freshet.streaming import batches, pace, runner
@@ -582,19 +589,25 @@ def waves_keep_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = numbered_rows(spark, sf_dir, FEEDS["orders"])
     spec = dataclasses.replace(ORDERS, key_field="order_status")
     path = scratch_dir(spark, "sent")
-    for wave, part in enumerate(kafka.each_wave(replay.to_records(rows, spec), 5000)):
+    make_folder(spark, path)
+
+    def send(part: DataFrame, lane: int, wave: int) -> None:
         # A row's place among those of its task says when it was sent.
-        sent = part.repartition("topic", "key").sortWithinPartitions(FILE, ORDINAL).select(
+        gathered = part.repartition("topic", "key").sortWithinPartitions(FILE, ORDINAL)
+        gathered.select(
             F.col("key").cast("string").alias("key"),
             ORDINAL,
             F.lit(wave).alias("wave"),
             F.monotonically_increasing_id().alias("place"),
-        )
-        sent.write.mode("append").parquet(path)
-    sent = spark.read.parquet(path)
+        ).write.mode("append").parquet(f"{path}/lane={lane}")
+
+    kafka.send_waves(replay.to_records(rows, spec), send, 5000)
+    schema = f"key string, {ORDINAL} long, wave int, place long, lane int"
+    sent = spark.read.schema(schema).parquet(path)
     order = Window.partitionBy("key").orderBy("wave", "place")
     late = F.col(ORDINAL) < F.lag(ORDINAL).over(order)
-    loads = sent.groupBy("wave", F.shiftright("place", 33).alias("task")).agg(F.count("*").alias("load"))
+    tasks = F.shiftright("place", 33).alias("task")
+    loads = sent.groupBy("lane", "wave", tasks).agg(F.count("*").alias("load"))
     most = loads.agg(F.max("load")).first()[0] or 0
     return sent.withColumn("late", late).groupBy("key").agg(
         F.count("*").alias("rows"),

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from datetime import datetime
+from itertools import chain
+from threading import Event
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,8 +21,12 @@ from freshet.registry import TopicSpec, partition_count
 from freshet.session import list_folder, scratch_dir
 from freshet.sources.csv_records import FILE, ORDINAL
 
-WAVE_ROWS = 10_000_000  # of a topic, sent before the next ones
+T = TypeVar("T")
+
+WAVE_ROWS = 10_000_000  # of a topic's lane, sent before the next ones
 BLOCK_ROWS = 100_000  # of a file, counted together
+LANES = 64  # of keys, a power of two
+LANES_AT_ONCE = 8
 
 # Producer batching window and compression.
 PRODUCER_OPTIONS = {"kafka.linger.ms": "10", "kafka.compression.type": "lz4"}
@@ -61,7 +71,7 @@ def outgoing(
     The client places records by key in its own way. ``place_by_crc32`` places
     them by ``key_partition``, for topics with as many partitions as declared. Many tasks
     send at once, so a key's records arrive in any order unless ``keep_order`` first
-    gathers each key's records, in file and row order, in one task; see ``each_wave``.
+    gathers each key's records, in file and row order, in one task; see ``send_waves``.
     """
     if keep_order:
         records = records.repartition("topic", "key").sortWithinPartitions(FILE, ORDINAL)
@@ -71,27 +81,52 @@ def outgoing(
 
 
 def in_waves(records: DataFrame, wave_rows: int = WAVE_ROWS) -> DataFrame:
-    """Records with a ``wave``: stretches of about ``wave_rows`` rows of a topic in file and row order.
+    """Records with a ``lane`` and a ``wave``.
 
-    Taken from a histogram of blocks of rows, each of which lies in one wave.
+    A lane has all rows of its keys, a wave about ``wave_rows`` rows of a topic's lane in
+    file and row order. A topic has no more lanes than its rows fill waves. Taken from a
+    histogram of slices, a lane's rows in a block of rows, each of which lies in one wave.
     """
+    spark = records.sparkSession
     block_rows = max(1, min(wave_rows, BLOCK_ROWS))
-    blocked = records.withColumn("_block", F.expr(f"{ORDINAL} div {block_rows}"))
-    blocks = blocked.groupBy("topic", FILE, "_block").agg(F.count("*").alias("_rows"))
+    sliced = records.withColumn("_block", F.expr(f"{ORDINAL} div {block_rows}")).withColumn(
+        "_slice", F.pmod(F.xxhash64("topic", "key"), F.lit(LANES))
+    )
+    # Written once: it is small, so that the records need no shuffle to meet it.
+    path = scratch_dir(spark, "slices")
+    slices = sliced.groupBy("topic", FILE, "_block", "_slice").agg(F.count("*").alias("_rows"))
+    slices.write.parquet(path)
+    slices = spark.read.schema(slices.schema).parquet(path)
+    # Halved and halved again, so that slices of one lane stay together.
+    full = F.greatest(F.lit(1), F.sum("_rows") / wave_rows)
+    fit = F.pow(2, F.floor(F.log2(full))).cast("long")
+    topics = slices.groupBy("topic").agg(F.least(F.lit(LANES), fit).alias("_lanes"))
+    slices = slices.join(F.broadcast(topics), "topic").withColumn("lane", F.col("_slice") % F.col("_lanes"))
     earlier = Window.unboundedPreceding, -1
-    in_file = Window.partitionBy("topic", FILE).orderBy("_block").rowsBetween(*earlier)
-    in_topic = Window.partitionBy("topic").orderBy(FILE).rowsBetween(*earlier)
-    files = blocks.groupBy("topic", FILE).agg(F.sum("_rows").alias("_rows"))
-    bases = files.select("topic", FILE, F.coalesce(F.sum("_rows").over(in_topic), F.lit(0)).alias("_base"))
+    in_file = Window.partitionBy("topic", "lane", FILE).orderBy("_block", "_slice").rowsBetween(*earlier)
+    in_lane = Window.partitionBy("topic", "lane").orderBy(FILE).rowsBetween(*earlier)
+    files = slices.groupBy("topic", "lane", FILE).agg(F.sum("_rows").alias("_rows"))
+    bases = files.select("topic", "lane", FILE, F.coalesce(F.sum("_rows").over(in_lane), F.lit(0)).alias("_base"))
     before = F.col("_base") + F.coalesce(F.sum("_rows").over(in_file), F.lit(0))
-    waves = blocks.join(bases, ["topic", FILE]).select(
-        "topic", FILE, "_block", F.floor(before / wave_rows).alias("wave")
+    waves = slices.join(bases, ["topic", "lane", FILE]).select(
+        "topic", FILE, "_block", "_slice", "lane", F.floor(before / wave_rows).alias("wave")
     )
-    return blocked.join(waves, ["topic", FILE, "_block"]).drop("_block")
+    path = scratch_dir(spark, "wave-slices")
+    waves.write.parquet(path)
+    waves = spark.read.schema(waves.schema).parquet(path)
+    return sliced.join(waves, ["topic", FILE, "_block", "_slice"]).drop("_block", "_slice")
 
 
-def each_wave(records: DataFrame, wave_rows: int = WAVE_ROWS) -> Iterator[DataFrame]:
-    """The records in waves, to be sent one after the other.
+def _numbered(spark: SparkSession, path: str, column: str) -> list[tuple[int, str]]:
+    """Number and path of the folders of a column's values, in order."""
+    names = (folder.rsplit("/", 1)[-1] for folder in list_folder(spark, path))
+    start = f"{column}="
+    numbers = sorted(int(name.removeprefix(start)) for name in names if name.startswith(start))
+    return [(number, f"{path}/{start}{number}") for number in numbers]
+
+
+def each_lane(records: DataFrame, wave_rows: int = WAVE_ROWS) -> dict[int, Iterator[DataFrame]]:
+    """The records in lanes that share no key, each in waves, to be sent one after the other.
 
     All rows of a key that lie in one wave come before those in the next, so that a key's
     order needs no task to hold more of it than a wave has. The records are written once,
@@ -99,11 +134,50 @@ def each_wave(records: DataFrame, wave_rows: int = WAVE_ROWS) -> Iterator[DataFr
     """
     spark = records.sparkSession
     path = scratch_dir(spark, "waves")
-    in_waves(records, wave_rows).write.partitionBy("wave").parquet(path)
-    names = (folder.rsplit("/", 1)[-1] for folder in list_folder(spark, path))
-    for wave in sorted(int(name.removeprefix("wave=")) for name in names if name.startswith("wave=")):
-        # Its folder alone is looked at, so that a wave costs the same however many there are.
-        yield spark.read.schema(records.schema).parquet(f"{path}/wave={wave}")
+    in_waves(records, wave_rows).write.partitionBy("lane", "wave").parquet(path)
+
+    def waves(lane: str) -> Iterator[DataFrame]:
+        for _, folder in _numbered(spark, lane, "wave"):
+            # Its folder alone is looked at, so that a wave costs the same however many there are.
+            yield spark.read.schema(records.schema).parquet(folder)
+
+    return {number: waves(lane) for number, lane in _numbered(spark, path, "lane")}
+
+
+def each_wave(records: DataFrame, wave_rows: int = WAVE_ROWS) -> Iterator[DataFrame]:
+    """The waves of all lanes, one lane after the other."""
+    yield from chain.from_iterable(each_lane(records, wave_rows).values())
+
+
+def send_waves(
+    records: DataFrame, send: Callable[[DataFrame, int, int], T], wave_rows: int = WAVE_ROWS
+) -> list[T]:
+    """What ``send(records, lane, number)`` gives for every wave.
+
+    A lane's waves are sent one after the other, the lanes side by side: a key's rows keep
+    their order, and the wait for one lane's job is spent on another's. If one fails, no
+    further wave is begun.
+    """
+    failed = Event()
+
+    def sent(lane: int, waves: Iterator[DataFrame]) -> list[T]:
+        results = []
+        try:
+            for number, wave in enumerate(waves):
+                if failed.is_set():
+                    break
+                results.append(send(wave, lane, number))
+        except BaseException:
+            failed.set()
+            raise
+        return results
+
+    with ThreadPoolExecutor(LANES_AT_ONCE) as pool:
+        run = inheritable_thread_target(records.sparkSession)(sent)
+        lanes = each_lane(records, wave_rows).items()
+        # Each thread needs a context of its own, all with the caller's scratch scope.
+        jobs = [pool.submit(copy_context().run, run, *lane) for lane in lanes]
+        return [result for job in jobs for result in job.result()]
 
 
 def publish(
@@ -118,9 +192,12 @@ def publish(
     A job fails if a delivery fails.
     """
     specs = list(specs)
-    sent = dict.fromkeys((spec.topic for spec in specs), 0)
-    for part in each_wave(records) if keep_order else [records]:
-        counted, counts = count_by_topic(outgoing(part, specs, place_by_crc32, keep_order), list(sent))
+    topics = list(dict.fromkeys(spec.topic for spec in specs))
+
+    def send(part: DataFrame, *_: int) -> dict[str, int]:
+        counted, counts = count_by_topic(outgoing(part, specs, place_by_crc32, keep_order), topics)
         counted.write.format("kafka").options(**write_options(broker)).save()
-        sent = {topic: count + counts.get[topic] for topic, count in sent.items()}
-    return sent
+        return counts.get
+
+    sent = send_waves(records, send) if keep_order else [send(records)]
+    return {topic: sum(counts[topic] for counts in sent) for topic in topics}
